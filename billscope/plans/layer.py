@@ -29,6 +29,10 @@ class Layer:
         cohort = reconciliation.invoice_cohort(self.staging.invoices, *self.periods.invoices)
         return self.keep("invoice_cohort", cohort)
 
+    @cached_property
+    def charge_outcomes(self) -> DataFrame:
+        return reconciliation.charge_outcomes(self.staging.charges)
+
     @cached_property
     def processor_side(self) -> DataFrame:
         s = self.staging
@@ -99,6 +103,10 @@ class Layer:
     def mrr_driver_peaks(self) -> DataFrame:
         return reports.mrr_driver_peaks(self.mrr_movement_drivers)
 
+    @cached_property
+    def exhausted_invoices(self) -> DataFrame:
+        return retries.exhausted_invoices(self.staging.invoices, self.staging.charges)
+
     @cached_property
     def retry_exhausted_revenue_lost(self) -> DataFrame:
         s = self.staging
@@ -107,6 +115,10 @@ class Layer:
         )
         return self.keep("retry_exhausted_revenue_lost", lost)
 
+    @cached_property
+    def first_paid_invoices(self) -> DataFrame:
+        return retention.first_paid_invoices(self.staging.invoices)
+
     @cached_property
     def paid_signup_cohort(self) -> DataFrame:
         cohort = retention.paid_signup_cohort(self.staging.invoices, self.periods.year_start)

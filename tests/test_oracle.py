@@ -1,0 +1,55 @@
+"""Every catalog query against its SQL definition in DuckDB, values and types."""
+
+import decimal
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+TESTDATA = Path("/root/testdata/sf0.01")
+SAME_TYPE = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in TESTDATA.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM read_parquet('{table}')")
+    return connection
+
+
+def ordered(rows):
+    def plain(value):
+        return float(value) if isinstance(value, decimal.Decimal) else value
+
+    return sorted((tuple(plain(v) for v in row) for row in rows), key=lambda r: [(v is not None, str(v)) for v in r])
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_matches_oracle(spark, duck, name):
+    df = QUERIES[name](spark, str(TESTDATA))
+    columns = sorted(df.columns)
+    result = duck.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})")
+    oracle_types = {d[0]: str(d[1]) for d in result.description}
+    expected = result.fetchall()
+    assert {c: SAME_TYPE[t] for c, t in df.dtypes} == oracle_types
+    described = duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()
+    assert sorted(row[0] for row in described) == columns
+    actual = [tuple(row) for row in df.select(*columns).collect()]
+    assert len(actual) > 0
+    assert ordered(actual) == ordered(expected)
