@@ -65,8 +65,9 @@ def event_months(first_month: date, n_months: int) -> tuple[Column, Column]:
 
 
 def monthly_amount(plan_amount: Column, interval: Column) -> Column:
-    """Plan amount as monthly cents: a year's plan is spread over 12, half a cent rounds up."""
-    yearly = F.round(plan_amount.cast("decimal(20,0)") / 12, 0).cast("bigint")
+    """Plan amount as monthly cents: a year's plan is spread over 12, half a cent rounds away from 0."""
+    half = F.when(plan_amount < 0, -6).otherwise(6)
+    yearly = F.call_function("div", plan_amount + half, F.lit(12))
     return F.when(interval == v.YEARLY, yearly).when(interval == v.MONTHLY, plan_amount).otherwise(0)
 
 

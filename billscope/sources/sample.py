@@ -6,169 +6,162 @@ staging tables are plain projections: no shuffle, and a hot key costs nothing he
 items repeat (order, line number), so a charge id recurs the way a retried charge does.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
 
-from billscope.functions import vocabulary as v
 from billscope.sources.staging import Staging
 
-# Dispute reason and event type an order stands for, by its priority.
-REASONS = {
-    "1-URGENT": "fraudulent",
-    "2-HIGH": "product_not_received",
-    "3-MEDIUM": "subscription_canceled",
-    "4-NOT SPECIFIED": "duplicate",
-}
-EVENT_TYPES = {
-    "1-URGENT": v.CREATED,
-    "2-HIGH": v.UPGRADED,
-    "3-MEDIUM": v.DOWNGRADED,
-    "4-NOT SPECIFIED": v.REACTIVATED,
-    "5-LOW": v.CANCELED,
-}
-INTERVALS = {
-    "AUTOMOBILE": v.YEARLY,
-    "BUILDING": v.YEARLY,
-    "MACHINERY": v.MONTHLY,
-    "HOUSEHOLD": v.MONTHLY,
-    "FURNITURE": "week",
-}
-SECOND_PLAN_PRICE = 250_000
-DISPUTE_FEE_CENTS = 1_500
-
-
-def _lookup(key: str, values: dict[str, str], default: str | None = None) -> Column:
-    cases = F
-    for k, value in values.items():
-        cases = cases.when(F.col(key) == k, value)
-    return cases.otherwise(default)
-
-
-def _days_later(moment: str, days: int) -> Column:
-    return F.col(moment) + F.expr(f"interval {days} days")
+DISPUTED = "(o_orderstatus = 'F' and day between 5 and 14)"
+REVERSED = f"({DISPUTED} and o_orderpriority in ('1-URGENT', '2-HIGH') and day between 8 and 11)"
+REFUND = "case when day = 28 then cents when day <= 10 and o_orderpriority = '3-MEDIUM' then fifth end"
 
+# (condition, entry number, category, amount, net amount, days after the order)
+LEDGER_RULES = (
+    ("day <> 13", 1, "charge", "cents", "cents - fee", 2),
+    ("day = 21 and o_orderpriority = '1-URGENT'", 2, "charge", "cents", "cents - fee", 3),
+    (f"{REFUND} is not null", 3, "refund", f"-({REFUND})", f"-({REFUND})", 35),
+    (DISPUTED, 4, "dispute", "-cents", "-cents - 1500", 60),
+    (REVERSED, 5, "dispute_reversal", "cents", "cents", 90),
+    ("true", 6, "fee", "-fee", "0L", 2),
+)
 
-def sample_invoices(orders: DataFrame) -> DataFrame:
-    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    return orders.select(
-        F.col("o_orderkey").alias("invoice_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("cents").alias("invoice_amount_paid_cents"),
-        F.col("o_orderdate").alias("invoice_created"),
-        F.col("o_orderdate").alias("invoice_period_end"),
-        (status != "P").alias("invoice_paid"),
-        F.when(status == "P", "open")
-        .when((status == "O") & (priority == "3-MEDIUM"), "uncollectible")
-        .otherwise(v.INVOICE_PAID)
-        .alias("invoice_status"),
-        F.when(priority == "5-LOW", v.SEND_INVOICE)
-        .otherwise(v.CHARGE_AUTOMATICALLY)
-        .alias("invoice_collection_method"),
-    )
 
+def sample_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "*",
+        "cast(round(o_totalprice * 100) as bigint) as cents",
+        "dayofmonth(o_orderdate) as day",
+    ).selectExpr("*", "cents div 34 as fee", "cents div 5 as fifth")
 
-def _disputed() -> Column:
-    return (F.col("o_orderstatus") == "F") & F.col("day").between(5, 14)
+
+def sample_invoices(orders: DataFrame) -> DataFrame:
+    return orders.selectExpr(
+        "o_orderkey as invoice_id",
+        "o_custkey as customer_id",
+        "cents as invoice_amount_paid_cents",
+        "o_orderdate as invoice_created",
+        "o_orderdate as invoice_period_end",
+        "o_orderstatus <> 'P' as invoice_paid",
+        """case when o_orderstatus = 'P' then 'open'
+                when o_orderstatus = 'O' and o_orderpriority = '3-MEDIUM' then 'uncollectible'
+                else 'paid' end as invoice_status""",
+        """case when o_orderpriority = '5-LOW' then 'send_invoice'
+                else 'charge_automatically' end as invoice_collection_method""",
+    )
 
 
 def sample_balance_transactions(orders: DataFrame) -> DataFrame:
     """Up to six ledger rows per order, built as one array and exploded."""
-    day, priority, cents = F.col("day"), F.col("o_orderpriority"), F.col("cents")
-    fee, fifth = F.floor(cents / 34), F.floor(cents / 5)
-    reversed_ = _disputed() & priority.isin("1-URGENT", "2-HIGH") & day.between(8, 11)
-    refund = (
-        F.when(day == 28, cents).when((day <= 10) & (priority == "3-MEDIUM"), fifth)
+    rows = ", ".join(
+        f"""if({condition}, named_struct(
+              'balance_transaction_id', o_orderkey * 10 + {number},
+              'balance_reporting_category', '{category}',
+              'balance_amount_cents', {amount},
+              'balance_net_cents', {net},
+              'balance_available_on', o_orderdate + interval {days} days), null)"""
+        for condition, number, category, amount, net, days in LEDGER_RULES
     )
-
-    def row(number: int, category: str, amount: Column, net: Column, days: int) -> Column:
-        return F.struct(
-            (F.col("o_orderkey") * 10 + number).alias("balance_transaction_id"),
-            F.lit(category).alias("balance_reporting_category"),
-            amount.alias("balance_amount_cents"),
-            net.alias("balance_net_cents"),
-            _days_later("o_orderdate", days).alias("balance_available_on"),
-        )
-
-    rows = F.array(
-        F.when(day != 13, row(1, v.CHARGE, cents, cents - fee, 2)),
-        F.when((day == 21) & (priority == "1-URGENT"), row(2, v.CHARGE, cents, cents - fee, 3)),
-        F.when(refund.isNotNull(), row(3, v.REFUND, -refund, -refund, 35)),
-        F.when(_disputed(), row(4, v.DISPUTE, -cents, -cents - DISPUTE_FEE_CENTS, 60)),
-        F.when(reversed_, row(5, v.DISPUTE_REVERSAL, cents, cents, 90)),
-        row(6, "fee", -fee, F.lit(0).cast("bigint"), 2),
+    return orders.selectExpr(
+        f"inline(array_compact(array({rows})))",
+        "o_orderkey as balance_source_id",
+        "o_orderkey as invoice_id",
+        "o_custkey as customer_id",
     )
-    return orders.select(
-        F.explode(F.array_compact(rows)).alias("entry"),
-        F.col("o_orderkey").alias("balance_source_id"),
-        F.col("o_orderkey").alias("invoice_id"),
-        F.col("o_custkey").alias("customer_id"),
-    ).select("entry.*", "balance_source_id", "invoice_id", "customer_id")
 
 
 def sample_disputes(orders: DataFrame) -> DataFrame:
     """The processor's dispute records; disputes of the 14th have none."""
-    return orders.filter(_disputed() & (F.col("day") != 14)).select(
-        F.col("o_orderkey").alias("dispute_id"),
-        _lookup("o_orderpriority", REASONS, "general").alias("dispute_reason"),
+    return orders.filter(f"{DISPUTED} and day <> 14").selectExpr(
+        "o_orderkey as dispute_id",
+        """case o_orderpriority
+             when '1-URGENT' then 'fraudulent'
+             when '2-HIGH' then 'product_not_received'
+             when '3-MEDIUM' then 'subscription_canceled'
+             when '4-NOT SPECIFIED' then 'duplicate'
+             else 'general' end as dispute_reason""",
     )
 
 
 def sample_charges(lineitem: DataFrame) -> DataFrame:
-    returned, open_line = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
-    unknown = returned & open_line & (F.col("l_quantity") >= 46)
-    return lineitem.select(
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("charge_id"),
-        F.col("l_orderkey").alias("invoice_id"),
-        F.when(unknown, None)
-        .when(F.col("l_returnflag") == "A", "failed")
-        .otherwise(v.SUCCEEDED)
-        .alias("charge_status"),
-        (~(returned & open_line)).alias("charge_captured"),
+    """A line item is a charge attempt; some open returned lines have no known status."""
+    open_return = "(l_returnflag = 'R' and l_linestatus = 'O')"
+    return lineitem.selectExpr(
+        "l_orderkey * 100 + l_linenumber as charge_id",
+        "l_orderkey as invoice_id",
+        f"""case when {open_return} and l_quantity >= 46 then null
+                 when l_returnflag = 'A' then 'failed' else 'succeeded' end as charge_status""",
+        f"not {open_return} as charge_captured",
     )
 
 
 def sample_subscription_events(orders: DataFrame) -> DataFrame:
-    kind, cents, fifth = F.col("kind"), F.col("cents"), F.floor(F.col("cents") / 5)
-    second = F.when(F.col("o_totalprice") >= SECOND_PLAN_PRICE, 1).otherwise(0)
-    unknown = (F.col("day") == 30) & (F.col("o_orderstatus") == "P")
-    return orders.withColumn("kind", _lookup("o_orderpriority", EVENT_TYPES)).select(
-        F.col("o_orderkey").alias("subscription_event_id"),
-        (F.col("o_custkey") * 2 + second).alias("subscription_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.when(~unknown, kind).alias("subscription_event_type"),
-        F.col("o_orderdate").alias("event_effective_at"),
-        F.when(kind == v.UPGRADED, cents - fifth)
-        .when(kind == v.DOWNGRADED, cents + fifth)
-        .when(kind == v.CANCELED, cents)
-        .alias("previous_plan_amount_cents"),
-        F.when(kind != v.CANCELED, cents).alias("new_plan_amount_cents"),
+    """An order is a plan event; pending orders of the 30th have no known event type."""
+    return orders.selectExpr(
+        "o_orderkey as subscription_event_id",
+        "o_custkey * 2 + if(o_totalprice >= 250000, 1, 0) as subscription_id",
+        "o_custkey as customer_id",
+        """case when day = 30 and o_orderstatus = 'P' then null
+                when o_orderpriority = '1-URGENT' then 'created'
+                when o_orderpriority = '2-HIGH' then 'upgraded'
+                when o_orderpriority = '3-MEDIUM' then 'downgraded'
+                when o_orderpriority = '4-NOT SPECIFIED' then 'reactivated'
+                else 'canceled' end as subscription_event_type""",
+        "o_orderdate as event_effective_at",
+        """case o_orderpriority when '2-HIGH' then cents - fifth when '3-MEDIUM' then cents + fifth
+                when '5-LOW' then cents end as previous_plan_amount_cents""",
+        "case when o_orderpriority <> '5-LOW' then cents end as new_plan_amount_cents",
     )
 
 
 def sample_subscriptions(customer: DataFrame) -> DataFrame:
     """Two plans per customer; customers in debt have no record of their second one."""
-    numbers = F.when(F.col("c_acctbal") < 0, F.array(F.lit(0))).otherwise(
-        F.array(F.lit(0), F.lit(1))
-    )
-    return customer.select(
-        "c_custkey", "c_mktsegment", F.explode(numbers).alias("number")
-    ).select(
-        (F.col("c_custkey") * 2 + F.col("number")).alias("subscription_id"),
-        _lookup("c_mktsegment", INTERVALS).alias("plan_interval"),
+    return customer.selectExpr(
+        "c_custkey",
+        "c_mktsegment",
+        "explode(if(c_acctbal < 0, array(0), array(0, 1))) as number",
+    ).selectExpr(
+        "c_custkey * 2 + number as subscription_id",
+        """case when c_mktsegment in ('AUTOMOBILE', 'BUILDING') then 'year'
+                when c_mktsegment in ('MACHINERY', 'HOUSEHOLD') then 'month'
+                else 'week' end as plan_interval""",
     )
 
 
+class SampleStaging(Staging):
+    """The sample's staging tables, each set up when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return sample_orders(self.spark, self.sf_dir)
+
+    @cached_property
+    def invoices(self) -> DataFrame:
+        return sample_invoices(self.orders)
+
+    @cached_property
+    def balance_transactions(self) -> DataFrame:
+        return sample_balance_transactions(self.orders)
+
+    @cached_property
+    def charges(self) -> DataFrame:
+        return sample_charges(self.spark.read.parquet(f"{self.sf_dir}/lineitem.parquet"))
+
+    @cached_property
+    def disputes(self) -> DataFrame:
+        return sample_disputes(self.orders)
+
+    @cached_property
+    def subscription_events(self) -> DataFrame:
+        return sample_subscription_events(self.orders)
+
+    @cached_property
+    def subscriptions(self) -> DataFrame:
+        return sample_subscriptions(self.spark.read.parquet(f"{self.sf_dir}/customer.parquet"))
+
+
 def sample_staging(spark: SparkSession, sf_dir: str) -> Staging:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "*",
-        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
-        F.dayofmonth("o_orderdate").alias("day"),
-    )
-    return Staging(
-        invoices=sample_invoices(orders),
-        balance_transactions=sample_balance_transactions(orders),
-        charges=sample_charges(spark.read.parquet(f"{sf_dir}/lineitem.parquet")),
-        disputes=sample_disputes(orders),
-        subscription_events=sample_subscription_events(orders),
-        subscriptions=sample_subscriptions(spark.read.parquet(f"{sf_dir}/customer.parquet")),
-    )
+    return SampleStaging(spark, sf_dir)

@@ -1,13 +1,12 @@
 """The six staging tables the operators read, by name and shape."""
 
-from dataclasses import dataclass, fields
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-@dataclass(frozen=True)
 class Staging:
+    """Six DataFrames; a source may set them up eagerly or when first asked for."""
+
     invoices: DataFrame
     balance_transactions: DataFrame
     charges: DataFrame
@@ -15,8 +14,11 @@ class Staging:
     subscription_events: DataFrame
     subscriptions: DataFrame
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+    def __init__(self, **tables: DataFrame):
+        missing = SCHEMAS.keys() - tables.keys()
+        if missing:
+            raise ValueError(f"staging tables missing: {sorted(missing)}")
+        self.__dict__.update(tables)
 
 
 def _schema(**columns: T.DataType) -> T.StructType:

@@ -1,0 +1,208 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from billscope.operators import reconciliation as recon
+from tests.fixtures import at, by_key, staging
+
+JUNE = (date(2024, 6, 1), date(2024, 7, 1))
+
+
+def invoice(key, **changes):
+    return {
+        "invoice_id": key,
+        "customer_id": f"cus_{key}",
+        "invoice_amount_paid_cents": 10000,
+        "invoice_created": at("2024-06-10"),
+        "invoice_paid": True,
+        "invoice_status": "paid",
+        "invoice_collection_method": "charge_automatically",
+    } | changes
+
+
+def entry(key, category, amount, on="2024-06-12"):
+    return {
+        "invoice_id": key,
+        "balance_reporting_category": category,
+        "balance_amount_cents": amount,
+        "balance_available_on": at(on),
+    }
+
+
+def attempt(key, charge, status="succeeded", captured=True):
+    return {"invoice_id": key, "charge_id": charge, "charge_status": status, "charge_captured": captured}
+
+
+def paid_by(key):
+    return attempt(key, f"ch_{key}")
+
+
+LEDGER = {
+    "settled": [("charge", 10000)],
+    "no_rows": [],
+    "refunded": [("charge", 10000), ("refund", -2000)],
+    "refunded_in_july": [("charge", 10000), ("refund", -2500, "2024-07-20")],
+    "dispute_lost": [("charge", 10000), ("dispute", -10000)],
+    "dispute_won": [("charge", 10000), ("dispute", -10000), ("dispute_reversal", 10000, "2024-08-01")],
+    "charged_twice": [("charge", 10000), ("charge", 10000, "2024-06-15")],
+    "overdrawn": [("charge", 10000), ("refund", -10000), ("dispute", -10000)],
+    "charge_not_in_ledger": [],
+    "ledger_without_charge": [("charge", 9000)],
+    "only_failed": [],
+    "only_null_status": [],
+    "only_null_capture": [],
+    "fee_ignored": [("charge", 10000), ("fee", -300)],
+    "null_amount": [("charge", None)],
+    "outside_cohort": [("charge", 1)],
+}
+ATTEMPTS = [
+    *(paid_by(k) for k in LEDGER if LEDGER[k] and k not in ("ledger_without_charge", "charged_twice")),
+    attempt("charged_twice", "a"),
+    attempt("charged_twice", "b"),
+    attempt("charged_twice", "b"),
+    attempt("charge_not_in_ledger", "a"),
+    attempt("charge_not_in_ledger", "a", captured=False),
+    attempt("ledger_without_charge", "a", status="failed", captured=False),
+    attempt("ledger_without_charge", "b", status="canceled", captured=False),
+    attempt("ledger_without_charge", "c", captured=False),
+    attempt("only_failed", "a", status="failed", captured=False),
+    attempt("only_null_status", "a", status=None),
+    attempt("only_null_capture", "a", captured=None),
+    attempt("settled", None),
+]
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return staging(
+        spark,
+        invoices=[
+            *(invoice(k) for k in LEDGER if k != "outside_cohort"),
+            invoice("sent", invoice_collection_method="send_invoice"),
+            invoice("unpaid", invoice_paid=False),
+            invoice("unknown_paid", invoice_paid=None),
+            invoice("may", invoice_created=at("2024-05-31 23:59:59")),
+            invoice("june_first", invoice_created=at("2024-06-01")),
+            invoice("july", invoice_created=at("2024-07-01")),
+        ],
+        balance_transactions=[
+            *(entry(k, *movement) for k, movements in LEDGER.items() for movement in movements),
+            entry(None, "charge", 5),
+        ],
+        charges=[*ATTEMPTS, attempt(None, "x")],
+    )
+
+
+@pytest.fixture(scope="module")
+def cohort(tables):
+    return recon.invoice_cohort(tables.invoices, *JUNE)
+
+
+@pytest.fixture(scope="module", params=[True, False], ids=["broadcast", "shuffled"])
+def processor(request, spark, tables, cohort):
+    """The processor side under both join strategies."""
+    default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default if request.param else "-1")
+    side = recon.processor_side(tables.balance_transactions, tables.charges, cohort)
+    try:
+        yield by_key(side, "invoice_id"), by_key(recon.reconcile(cohort, side), "invoice_id")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", default)
+
+
+def test_cohort_keeps_paid_automatic_invoices_of_the_window(cohort):
+    expected = set(LEDGER) - {"outside_cohort"} | {"june_first"}
+    assert {r.invoice_id for r in cohort.collect()} == expected
+
+
+def test_processor_rows_exist_only_with_evidence(processor):
+    side, _ = processor
+    absent = {"no_rows", "only_null_status", "only_null_capture", "outside_cohort"}
+    assert set(side) == set(LEDGER) - absent
+    failed = side["only_failed"]
+    assert failed["processor_balance_amount_cents"] == 0
+    assert failed["processor_failed_charge_count"] == 1
+    assert failed["first_charge_available_date"] is None
+
+
+def test_charge_counts_are_distinct_charges(processor):
+    side, _ = processor
+    twice = side["charged_twice"]
+    assert twice["processor_captured_charge_count"] == 2
+    assert twice["processor_balance_amount_cents"] == 20000
+    assert (twice["first_charge_available_date"], twice["last_charge_available_date"]) == (
+        date(2024, 6, 12),
+        date(2024, 6, 15),
+    )
+    mixed = side["charge_not_in_ledger"]
+    assert (mixed["processor_captured_charge_count"], mixed["processor_uncaptured_charge_count"]) == (1, 1)
+    assert side["settled"]["processor_captured_charge_count"] == 1
+
+
+def test_ledger_and_charges_disagree(processor):
+    side, _ = processor
+    flags = ("has_charge_without_balance", "has_balance_without_charge")
+    assert [side["charge_not_in_ledger"][f] for f in flags] == [1, 0]
+    assert [side["ledger_without_charge"][f] for f in flags] == [0, 1]
+    assert [side["settled"][f] for f in flags] == [0, 0]
+    assert side["ledger_without_charge"]["processor_failed_charge_count"] == 2
+    assert side["ledger_without_charge"]["processor_uncaptured_charge_count"] == 1
+
+
+def test_dispute_flags_tell_lost_from_won(processor):
+    side, _ = processor
+    flags = ("has_dispute_activity", "has_dispute_raised", "has_dispute_reversal")
+    assert [side["dispute_won"][f] for f in flags] == [0, 1, 1]
+    assert [side["dispute_lost"][f] for f in flags] == [1, 1, 0]
+
+
+def test_settled_invoices_are_dropped(processor):
+    _, gaps = processor
+    assert {"settled", "dispute_won", "fee_ignored"}.isdisjoint(gaps)
+
+
+@pytest.mark.parametrize(
+    "key, gap, severity, direction",
+    [
+        ("no_rows", 10000, "FULL", "BILLING_HIGHER"),
+        ("refunded", 2000, "PARTIAL", "BILLING_HIGHER"),
+        ("refunded_in_july", 2500, "PARTIAL", "BILLING_HIGHER"),
+        ("dispute_lost", 10000, "FULL", "BILLING_HIGHER"),
+        ("charged_twice", -10000, "NONE", "PROCESSOR_HIGHER"),
+        ("overdrawn", 20000, "NONE", "BILLING_HIGHER"),
+        ("ledger_without_charge", 1000, "PARTIAL", "BILLING_HIGHER"),
+        ("null_amount", 10000, "FULL", "BILLING_HIGHER"),
+    ],
+)
+def test_gap_size_severity_and_direction(processor, key, gap, severity, direction):
+    _, gaps = processor
+    row = gaps[key]
+    assert (row["recon_gap_cents"], row["balance_reduction_severity"], row["gap_direction"]) == (
+        gap,
+        severity,
+        direction,
+    )
+
+
+def test_gap_evidence(processor):
+    _, gaps = processor
+    assert gaps["no_rows"]["has_no_processor_charge"] == 1
+    assert gaps["charged_twice"]["has_multiple_processor_charges"] == 1
+    assert (gaps["refunded"]["has_refund"], gaps["refunded"]["has_dispute"]) == (1, 0)
+    assert (gaps["dispute_lost"]["has_dispute"], gaps["dispute_lost"]["has_dispute_raised"]) == (1, 1)
+    assert gaps["null_amount"]["has_charge_without_balance"] == 0
+    assert len(gaps["no_rows"]) == 17
+
+
+def test_summary_by_evidence(spark):
+    gaps = spark.createDataFrame(
+        [(1, 0, "PARTIAL", 1000), (1, 0, "PARTIAL", 2001), (0, 1, "FULL", 500)],
+        "has_refund int, has_dispute int, balance_reduction_severity string, recon_gap_cents bigint",
+    )
+    found = by_key(
+        recon.recon_summary(gaps).withColumn("mean_gap_cents", F.col("mean_gap_cents").cast("double")),
+        "has_refund",
+    )
+    assert (found[1]["invoice_count"], found[1]["total_gap_cents"], found[1]["mean_gap_cents"]) == (2, 3001, 1500.5)
+    assert found[0]["mean_gap_cents"] == 500.0
