@@ -1,0 +1,71 @@
+from datetime import date
+
+import pytest
+
+from billscope.operators import chargebacks
+from tests.fixtures import at, by_key, staging
+
+JUNE = (date(2024, 6, 1), date(2024, 7, 1))
+CLOSED = (date(2024, 1, 1), date(2024, 6, 1))
+
+
+def moved(dispute, invoice, net, on="2024-06-15", category="dispute"):
+    return {
+        "balance_source_id": dispute,
+        "invoice_id": invoice,
+        "customer_id": f"cus_{invoice}",
+        "balance_reporting_category": category,
+        "balance_amount_cents": net + 15,
+        "balance_net_cents": net,
+        "balance_available_on": at(on),
+    }
+
+
+@pytest.fixture(scope="module")
+def inputs(spark):
+    tables = staging(
+        spark,
+        balance_transactions=[
+            moved("d1", "may", -1000),
+            moved("d1", "may", -500),
+            moved("d2", "may", -300),
+            moved("d3", "january", -200, on="2024-06-01"),
+            moved("d4", "may", -9, on="2024-07-01"),
+            moved("d5", "may", -9, on="2024-05-31 23:59:59"),
+            moved("d6", "june", -9),
+            moved("d7", "december", -9),
+            moved("d8", "may", 9, category="dispute_reversal"),
+            moved("unlisted", "may", -9),
+            moved("d9", "unknown", -9),
+            moved(None, None, -9),
+        ],
+        disputes=[{"dispute_id": f"d{i}", "dispute_reason": "fraudulent" if i < 3 else "duplicate"} for i in range(1, 10)],
+        invoices=[
+            {"invoice_id": "may", "invoice_period_end": at("2024-05-31 12:00:00")},
+            {"invoice_id": "january", "invoice_period_end": at("2024-01-01")},
+            {"invoice_id": "june", "invoice_period_end": at("2024-06-01")},
+            {"invoice_id": "december", "invoice_period_end": at("2023-12-31")},
+        ],
+    )
+    return tables.balance_transactions, tables.disputes, tables.invoices, JUNE, CLOSED
+
+
+def test_restatement_by_reason(inputs):
+    rows = [tuple(r) for r in chargebacks.chargeback_restatement(*inputs).collect()]
+    assert rows == [("duplicate", 1, 200), ("fraudulent", 1, 1800)]
+
+
+def test_rows_behind_the_restatement(inputs):
+    rows = chargebacks.old_invoice_chargebacks(*inputs).collect()
+    assert sorted((r.dispute_id, r.invoice_id, r.balance_net_cents) for r in rows) == [
+        ("d1", "may", -1000),
+        ("d1", "may", -500),
+        ("d2", "may", -300),
+        ("d3", "january", -200),
+    ]
+
+
+def test_share_of_all_losses(inputs):
+    found = by_key(chargebacks.chargeback_share(chargebacks.chargeback_restatement(*inputs)), "dispute_reason")
+    assert float(found["fraudulent"]["lost_share_pct"]) == 90.0
+    assert found["duplicate"]["all_lost_net_cents"] == 2000

@@ -1,0 +1,117 @@
+from datetime import date
+
+import pytest
+
+from billscope.operators import retention
+from tests.fixtures import at, by_key, staging
+
+START, END = date(2023, 12, 1), date(2024, 12, 1)
+
+
+def paid(customer, created, is_paid=True, status="paid"):
+    return {"customer_id": customer, "invoice_created": at(created), "invoice_paid": is_paid, "invoice_status": status}
+
+
+INVOICES = [
+    paid("december", "2023-12-31 23:00:00"),
+    paid("december", "2024-01-05"),
+    paid("newcomer", "2024-01-01"),
+    paid("uncollected", "2023-03-01", status="uncollectible"),
+    paid("uncollected", "2023-06-09"),
+    paid("unpaid", "2023-03-01", is_paid=False),
+    *(paid(c, "2023-02-10") for c in ("grew", "shrank", "left", "zeroed", "held", "no_start", "zero_start")),
+]
+STATE = [
+    ("grew", START, 100),
+    ("grew", START, 50),
+    ("grew", END, 200),
+    ("grew", date(2024, 6, 1), 9999),
+    ("shrank", START, 300),
+    ("shrank", END, 120),
+    ("left", START, 400),
+    ("zeroed", START, 500),
+    ("zeroed", END, 0),
+    ("held", START, 60),
+    ("held", END, 60),
+    ("no_start", END, 60),
+    ("zero_start", START, 0),
+    ("zero_start", END, 10),
+    ("december", START, 10),
+    ("december", END, 30),
+    ("newcomer", START, 10),
+    (None, START, 10),
+]
+
+
+@pytest.fixture(scope="module")
+def cohort(spark):
+    return retention.paid_signup_cohort(staging(spark, invoices=INVOICES).invoices, date(2024, 1, 1))
+
+
+@pytest.fixture(scope="module")
+def base(spark, cohort):
+    state = spark.createDataFrame(STATE, "customer_id string, mrr_month date, mrr_cents bigint")
+    return retention.customer_nrr_base(cohort, state, START, END).cache()
+
+
+def test_cohort_is_the_month_of_the_true_first_payment(cohort):
+    found = {c: r["paid_signup_cohort_month"] for c, r in by_key(cohort, "customer_id").items()}
+    assert found["december"] == date(2023, 12, 1)
+    assert found["uncollected"] == date(2023, 6, 1)
+    assert {"newcomer", "unpaid"}.isdisjoint(found)
+
+
+def test_base_needs_starting_mrr_and_keeps_missing_endings(base):
+    found = by_key(base, "customer_id")
+    assert {c: (r["starting_mrr_cents"], r["ending_mrr_cents"]) for c, r in found.items()} == {
+        "grew": (150, 200),
+        "shrank": (300, 120),
+        "left": (400, None),
+        "zeroed": (500, 0),
+        "held": (60, 60),
+        "december": (10, 30),
+    }
+
+
+def test_customer_movement(base):
+    found = by_key(retention.customer_nrr_movement(base), "customer_id")
+    kinds = ("expansion", "contraction", "churn", "unchanged")
+    moved = {
+        c: (r["customer_movement_type"], *(r[f"{k}_mrr_cents"] for k in kinds), r["net_mrr_change_cents"])
+        for c, r in found.items()
+    }
+    assert moved == {
+        "grew": ("expanded", 50, 0, 0, 0, 50),
+        "shrank": ("contracted", 0, 180, 0, 0, -180),
+        "left": ("churned", 0, 0, 400, 0, -400),
+        "zeroed": ("churned", 0, 0, 500, 0, -500),
+        "held": ("unchanged", 0, 0, 0, 60, 0),
+        "december": ("expanded", 20, 0, 0, 0, 20),
+    }
+
+
+def test_cohort_movement(base):
+    found = by_key(
+        retention.cohort_nrr_movement(retention.customer_nrr_movement(base)), "paid_signup_cohort_month"
+    )
+    february = found[date(2023, 2, 1)]
+    assert len(february) == 18
+    assert [february[f"{k}_customer_count"] for k in ("expanded", "contracted", "churned", "unchanged")] == [1, 1, 2, 1]
+    assert (february["starting_mrr_cents"], february["ending_mrr_cents"]) == (1410, 380)
+    rates = ("expansion_rate_pct", "contraction_rate_pct", "churn_rate_pct", "grr_pct", "nrr_pct")
+    assert [float(february[r]) for r in rates] == [3.55, 12.77, 63.83, 23.4, 26.95]
+
+
+def test_ties_share_a_rank_and_skip_the_next(spark):
+    base = spark.createDataFrame(
+        [("a", date(2022, 1, 1), 100, 90), ("b", date(2022, 2, 1), 200, 180), ("c", date(2022, 3, 1), 100, None),
+         ("d", date(2022, 4, 1), 100, 120)],
+        "customer_id string, paid_signup_cohort_month date, starting_mrr_cents bigint, ending_mrr_cents bigint",
+    )
+    rows = retention.cohort_nrr(base).collect()
+    assert [(float(r.nrr_pct), r.nrr_rank_highest, r.nrr_rank_lowest) for r in rows] == [
+        (1.2, 1, 4),
+        (0.9, 2, 2),
+        (0.9, 2, 2),
+        (0.0, 4, 1),
+    ]

@@ -1,0 +1,43 @@
+from datetime import date
+
+from billscope.operators.retries import retry_exhausted_revenue_lost
+from tests.fixtures import at, by_key, staging
+
+
+def test_only_churn_after_an_exhausted_invoice_counts(spark):
+    july, august = date(2024, 7, 1), date(2024, 8, 1)
+    state = spark.createDataFrame(
+        [
+            ("s1", "exhausted", "created", july, 100),
+            ("s2", "exhausted", "created", july, 40),
+            ("s3", "paid_late", "created", july, 100),
+            ("s4", "earlier", "created", july, 100),
+            ("s5", "exhausted", "created", july, 100),
+            ("s5", "exhausted", "created", august, 100),
+            ("s6", None, "created", july, 100),
+        ],
+        "subscription_id string, customer_id string, subscription_event_type string, mrr_month date, mrr_cents bigint",
+    )
+
+    def invoice(key, customer, on):
+        return {"invoice_id": key, "customer_id": customer, "invoice_created": at(on)}
+
+    def attempt(key, charge, status):
+        return {"invoice_id": key, "charge_id": charge, "charge_status": status, "charge_captured": status == "succeeded"}
+
+    tables = staging(
+        spark,
+        invoices=[
+            invoice("i1", "exhausted", "2024-07-03"),
+            invoice("i2", "exhausted", "2024-07-30"),
+            invoice("i3", "paid_late", "2024-07-03"),
+            invoice("i4", "earlier", "2024-06-30"),
+            invoice("i5", None, "2024-07-03"),
+        ],
+        charges=[attempt(f"i{i}", f"c{i}{n}", "failed") for i in (1, 2, 3, 4, 5) for n in (1, 2)]
+        + [attempt("i3", "c33", "succeeded")],
+    )
+    found = by_key(retry_exhausted_revenue_lost(state, tables.invoices, tables.charges, 2024), "mrr_month")
+    assert {m: (r["subscriptions_lost"], r["retry_exhausted_mrr_lost_cents"]) for m, r in found.items()} == {
+        august: (2, 140)
+    }
