@@ -12,13 +12,13 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     executor lost afterwards costs a re-read and not a recomputation.
     """
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def replace_catalog_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """The same for a catalog table."""
     df.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(name)
-    return df.sparkSession.table(name)
+    return df.sparkSession.table(name).select(*df.columns)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -20,6 +20,9 @@ class Staging:
             raise ValueError(f"staging tables missing: {sorted(missing)}")
         self.__dict__.update(tables)
 
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in SCHEMAS}
+
 
 def _schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
