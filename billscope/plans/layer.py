@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from billscope.operators import chargebacks, mrr, quality, reconciliation, reports, retention, retries
 from billscope.plans.periods import Periods
-from billscope.sources.sinks import replace_table
+from billscope.sources.sinks import export_csv, replace_table
 from billscope.sources.staging import Staging
 
 
@@ -208,6 +208,18 @@ STORED = (
 )
 
 
+# The tables that are also published as CSV files.
+EXPORTED = (
+    "invoice_recon",
+    "chargeback_restatement",
+    "mrr_rate_of_change",
+    "mrr_movement_drivers",
+    "retry_exhausted_revenue_lost",
+    "cohort_nrr",
+    "cohort_nrr_movement",
+)
+
+
 def write_layer(staging: Staging, periods: Periods, root: str) -> Layer:
     """Store every table under `root` (a folder all executors share) and return the layer.
 
@@ -223,3 +235,9 @@ def write_layer(staging: Staging, periods: Periods, root: str) -> Layer:
     for name in STORED:
         getattr(layer, name)
     return layer
+
+
+def export_layer(layer: Layer, root: str) -> None:
+    """The published reports as CSV under `root`."""
+    for name in EXPORTED:
+        export_csv(getattr(layer, name), f"{root}/{name}")

@@ -107,7 +107,7 @@ def layer(p: Periods) -> str:
     rates = ", ".join(f"{percentage(n, 'starting_mrr_cents')} AS {name}" for name, n in movement_rate.items())
     losses = {"contraction": -1, "churn": -1}
     drivers = ", ".join(
-        f"CAST({losses.get(d, 1)} * coalesce(sum(net_mrr_change_cents) FILTER (mrr_movement_driver = '{d}'), 0)"
+        f"CAST({losses.get(d, 1)} * coalesce(sum(net_mrr_change_cents) FILTER (WHERE mrr_movement_driver = '{d}'), 0)"
         f" AS BIGINT) AS {d}_mrr_cents"
         for d in ("new", "reactivation", "expansion", "contraction", "churn")
     )
@@ -119,12 +119,12 @@ cohort AS (
 money AS (
   SELECT invoice_id, sum(amount) AS balance,
     max(CAST(category = 'refund' AS INTEGER)) AS refund,
-    sum(amount) FILTER (category LIKE 'dispute%') AS dispute_net,
+    sum(amount) FILTER (WHERE category LIKE 'dispute%') AS dispute_net,
     max(CAST(category = 'dispute' AS INTEGER)) AS raised,
     max(CAST(category = 'dispute_reversal' AS INTEGER)) AS reversal,
-    count(*) FILTER (category = 'charge') AS charge_rows,
-    min(CAST(available_on AS DATE)) FILTER (category = 'charge') AS first_date,
-    max(CAST(available_on AS DATE)) FILTER (category = 'charge') AS last_date
+    count(*) FILTER (WHERE category = 'charge') AS charge_rows,
+    min(CAST(available_on AS DATE)) FILTER (WHERE category = 'charge') AS first_date,
+    max(CAST(available_on AS DATE)) FILTER (WHERE category = 'charge') AS last_date
   FROM ledger WHERE category <> 'fee' GROUP BY invoice_id
 ),
 attempts AS (
@@ -299,10 +299,10 @@ customer_moves AS (
 cohort_moves AS (
   SELECT *, {rates} FROM (
     SELECT paid_signup_cohort_month, count(*) AS customer_count,
-      count(*) FILTER (customer_movement_type = 'expanded') AS expanded_customer_count,
-      count(*) FILTER (customer_movement_type = 'contracted') AS contracted_customer_count,
-      count(*) FILTER (customer_movement_type = 'churned') AS churned_customer_count,
-      count(*) FILTER (customer_movement_type = 'unchanged') AS unchanged_customer_count,
+      count(*) FILTER (WHERE customer_movement_type = 'expanded') AS expanded_customer_count,
+      count(*) FILTER (WHERE customer_movement_type = 'contracted') AS contracted_customer_count,
+      count(*) FILTER (WHERE customer_movement_type = 'churned') AS churned_customer_count,
+      count(*) FILTER (WHERE customer_movement_type = 'unchanged') AS unchanged_customer_count,
       CAST(sum(starting_mrr_cents) AS BIGINT) AS starting_mrr_cents,
       CAST(sum(kept) AS BIGINT) AS ending_mrr_cents,
       CAST(sum(expansion_mrr_cents) AS BIGINT) AS expansion_mrr_cents,
@@ -337,7 +337,7 @@ def _grain_sql() -> str:
     return " UNION ALL ".join(
         f"""SELECT '{name}' AS table_name, '{STAGING_NAMES.get(name, keys)}' AS grain,
   CAST(coalesce(sum(n), 0) AS BIGINT) AS row_count, count(*) AS key_count,
-  count(*) FILTER (n > 1) AS repeated_key_count
+  count(*) FILTER (WHERE n > 1) AS repeated_key_count
 FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys})"""
         for name, (table, keys) in GRAINS.items()
     )
@@ -404,8 +404,8 @@ GROUP BY mrr_month""",
     ORDER BY nrr_pct DESC, paid_signup_cohort_month LIMIT 1),
   (SELECT paid_signup_cohort_month AS weakest_cohort, nrr_pct AS weakest_nrr FROM nrr
     ORDER BY nrr_pct, paid_signup_cohort_month LIMIT 1)""",
-    "nrr_above_below": """SELECT count(*) AS cohort_count, count(*) FILTER (nrr_pct < 1) AS below_count,
-  count(*) FILTER (nrr_pct >= 1) AS at_or_above_count FROM nrr""",
+    "nrr_above_below": """SELECT count(*) AS cohort_count, count(*) FILTER (WHERE nrr_pct < 1) AS below_count,
+  count(*) FILTER (WHERE nrr_pct >= 1) AS at_or_above_count FROM nrr""",
     "nrr_by_cohort_year": f"""SELECT CAST(year(paid_signup_cohort_month) AS INTEGER) AS cohort_year,
   count(*) AS cohort_count,
   CAST({half_up("sum(CAST(round(nrr_pct * 10000) AS BIGINT))", "count(*)", 1)} AS DOUBLE) / 10000 AS mean_nrr
@@ -419,16 +419,16 @@ FROM nrr GROUP BY year(paid_signup_cohort_month)""",
 FROM cohort_moves GROUP BY 1""",
     "grain_violations": _grain_sql(),
     "movement_identity_check": """SELECT count(*) AS months_checked,
-  count(*) FILTER (d.net_mrr_change_cents IS DISTINCT FROM new_mrr_cents + reactivation_mrr_cents
+  count(*) FILTER (WHERE d.net_mrr_change_cents IS DISTINCT FROM new_mrr_cents + reactivation_mrr_cents
     + expansion_mrr_cents - contraction_mrr_cents - churn_mrr_cents) AS split_violations,
-  count(*) FILTER (d.net_mrr_change_cents IS DISTINCT FROM r.net_mrr_change_cents) AS total_violations
+  count(*) FILTER (WHERE d.net_mrr_change_cents IS DISTINCT FROM r.net_mrr_change_cents) AS total_violations
 FROM drivers d FULL JOIN rate_of_change r USING (mrr_month)""",
     "nrr_identity_check": """SELECT count(*) AS cohorts_checked,
-  count(*) FILTER (m.ending_mrr_cents IS DISTINCT FROM m.starting_mrr_cents + expansion_mrr_cents
+  count(*) FILTER (WHERE m.ending_mrr_cents IS DISTINCT FROM m.starting_mrr_cents + expansion_mrr_cents
     - contraction_mrr_cents - churn_mrr_cents) AS ending_violations,
-  count(*) FILTER (m.customer_count IS DISTINCT FROM expanded_customer_count + contracted_customer_count
+  count(*) FILTER (WHERE m.customer_count IS DISTINCT FROM expanded_customer_count + contracted_customer_count
     + churned_customer_count + unchanged_customer_count) AS count_violations,
-  count(*) FILTER (m.customer_count IS DISTINCT FROM n.customer_count
+  count(*) FILTER (WHERE m.customer_count IS DISTINCT FROM n.customer_count
     OR m.starting_mrr_cents IS DISTINCT FROM n.starting_mrr_cents
     OR m.ending_mrr_cents IS DISTINCT FROM n.ending_mrr_cents
     OR round(m.nrr_pct * 100) IS DISTINCT FROM round(n.nrr_pct * 10000)) AS report_violations

@@ -15,6 +15,13 @@ class Periods:
     chargebacks: tuple[date, date]
     closed: tuple[date, date]
 
+    @classmethod
+    def for_month(cls, year: int, month: int) -> "Periods":
+        """Reconcile one month; its chargebacks restate the closed months of the year before it."""
+        start = date(year, month, 1)
+        whole = (start, later_month(start, 1))
+        return cls(year=year, invoices=whole, chargebacks=whole, closed=(date(year, 1, 1), start))
+
     @property
     def anchor_month(self) -> date:
         """The December before the year: start of the MRR calendar and of the NRR period."""
@@ -33,13 +40,8 @@ class Periods:
         return date(self.year, 1, 1)
 
 
-# The periods of the published reports.
-JUNE_2024 = Periods(
-    year=2024,
-    invoices=(date(2024, 6, 1), date(2024, 7, 1)),
-    chargebacks=(date(2024, 6, 1), date(2024, 7, 1)),
-    closed=(date(2024, 1, 1), date(2024, 6, 1)),
-)
+# The periods of the published reports.
+JUNE_2024 = Periods.for_month(2024, 6)
 
 # The same kind of periods inside the years the sample orders cover.
 SAMPLE_1999 = Periods(

@@ -81,3 +81,32 @@ def test_staging_from_catalog(spark):
 def test_incomplete_staging_is_refused(spark):
     with pytest.raises(ValueError, match="charges"):
         Staging(**{name: spark.range(1) for name in SCHEMAS if name != "charges"})
+
+
+def test_command_line_builds_tables_and_exports(spark, tmp_path):
+    from billscope.__main__ import main
+
+    staged, out, csv = (str(tmp_path / name) for name in ("staging", "out", "csv"))
+    for name, df in sample_staging(spark, SMALL).tables().items():
+        df.write.parquet(f"{staged}/{name}")
+    main(["--staging-path", staged, "--out", out, "--csv", csv, "--year", "1999", "--month", "6"])
+    cohort = spark.read.parquet(f"{out}/invoice_cohort")
+    june = sample_staging(spark, SMALL).invoices.filter(
+        "invoice_created >= '1999-06-01' and invoice_created < '1999-07-01' and invoice_paid"
+        " and invoice_collection_method = 'charge_automatically'"
+    )
+    assert 0 < cohort.count() == june.count()
+    assert {p.name for p in (tmp_path / "out").iterdir()} == set(STORED)
+    exported = spark.read.option("header", True).csv(f"{csv}/mrr_movement_drivers")
+    assert exported.count() == 12
+    assert exported.columns[0] == "MRR_MONTH"
+
+
+def test_periods_of_a_month():
+    from datetime import date
+
+    from billscope.plans.periods import JUNE_2024, Periods
+
+    assert JUNE_2024.closed == (date(2024, 1, 1), date(2024, 6, 1))
+    assert (JUNE_2024.anchor_month, JUNE_2024.last_month) == (date(2023, 12, 1), date(2024, 12, 1))
+    assert Periods.for_month(2024, 12).invoices == (date(2024, 12, 1), date(2025, 1, 1))

@@ -67,3 +67,22 @@ def test_operators_stay_in_the_engine(folder):
 
 def test_query_names_are_unique():
     assert len(set(QUERIES)) == len(QUERIES)
+
+
+def test_bloom_filter_of_the_cohort_reaches_both_scans(spark):
+    """Beyond broadcast size the cohort still prunes ledger and charges before any shuffle."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        text = plan(queries()["processor_side"](spark, SF))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    filters = [line for line in text.splitlines() if "might_contain" in line and "Filter" in line]
+    assert any("o_orderkey" in line for line in filters)
+    assert any("l_orderkey" in line for line in filters)
