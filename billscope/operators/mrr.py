@@ -148,55 +148,49 @@ def mrr_rate_of_change(state: DataFrame, year: int) -> DataFrame:
 def month_pairs(state: DataFrame) -> DataFrame:
     """Each subscription's MRR in a month beside its MRR in the month before.
 
-    Every state row speaks for two months: its own, and the next one as "previous". Grouping
-    both statements by (subscription, month) gives what a full outer self-join would, in one
-    pass that reuses the shuffle by subscription the state already has. Two rows for the same
-    subscription-month would need the join's fan-out, so they are refused rather than merged;
-    `grain_report` finds them. Rows without a subscription id never match another row.
+    The result of a full outer self-join on consecutive months, in one pass: a row looks back
+    at its predecessor, and a row without a successor in the next month also speaks for that
+    month, with nothing left. A subscription has at most one row per month, so the window holds
+    few rows, and it reuses the shuffle by subscription a lazy state already has. Repeated rows
+    would need the join's fan-out; they are refused rather than miscounted (`grain_report`
+    finds them). Rows without a subscription id never match another row.
     """
-    spoken = F.explode(
-        F.array(
-            F.struct(F.col("mrr_month").alias("month"), F.lit(True).alias("is_current")),
-            F.struct(F.add_months("mrr_month", 1).alias("month"), F.lit(False).alias("is_current")),
-        )
+    history = Window.partitionBy("subscription_id").orderBy("mrr_month")
+    month, known = F.col("mrr_month"), F.col("subscription_id").isNotNull()
+    carried = ("customer_id", "subscription_event_type", "mrr_cents")
+    follows = known & (F.col("earlier_month") == F.add_months(month, -1))
+    followed = known & (F.col("later_month") == F.add_months(month, 1))
+    repeated = known & (F.col("later_month") == month)
+    cents = F.coalesce("mrr_cents", F.lit(0))
+    refusal = F.raise_error(F.lit("more than one state row for a subscription and month"))
+    nothing = F.lit(0).cast("bigint")
+
+    def earlier(column: str) -> Column:
+        return F.when(follows, F.col(f"earlier_{column}"))
+
+    own = F.struct(
+        month.alias("mrr_month"),
+        *(F.coalesce(c, earlier(c)).alias(c) for c in carried[:2]),
+        F.coalesce(earlier("mrr_cents"), nothing).alias("prev_mrr_cents"),
+        F.when(repeated, refusal).otherwise(cents).alias("mrr_cents"),
     )
-    current, previous = F.col("is_current"), ~F.col("is_current")
-
-    def of(side: Column, column: str) -> Column:
-        return F.max(F.when(side, F.col(column)))
-
-    def cents(side: Column) -> Column:
-        repeated = F.raise_error(F.lit("more than one state row for a subscription and month"))
-        return F.when(F.count(F.when(side, 1)) > 1, repeated).otherwise(
-            F.coalesce(of(side, "mrr_cents"), F.lit(0))
-        )
-
-    reactivated = (F.col("subscription_event_type") == v.REACTIVATED).cast("int")
+    next_without_row = F.struct(
+        F.add_months(month, 1).alias("mrr_month"),
+        "customer_id",
+        "subscription_event_type",
+        cents.alias("prev_mrr_cents"),
+        nothing.alias("mrr_cents"),
+    )
+    rows = F.when(followed, F.array(own)).otherwise(F.array(own, next_without_row))
     return (
         state.select(
             "subscription_id",
-            "customer_id",
-            "subscription_event_type",
-            reactivated.alias("reactivated"),
-            "mrr_cents",
-            spoken.alias("spoken"),
-        )
-        .select("*", "spoken.*")
-        .groupBy(
-            "subscription_id",
-            F.col("month").alias("mrr_month"),
-            F.when(F.col("subscription_id").isNull(), current).alias("unmatched_side"),
-        )
-        .agg(
-            F.coalesce(of(current, "customer_id"), of(previous, "customer_id")).alias("customer_id"),
-            F.coalesce(
-                of(current, "subscription_event_type"), of(previous, "subscription_event_type")
-            ).alias("subscription_event_type"),
-            F.coalesce(of(current, "reactivated"), of(previous, "reactivated")).alias("reactivated"),
-            cents(previous).alias("prev_mrr_cents"),
-            cents(current).alias("mrr_cents"),
-        )
-        .drop("unmatched_side")
+            "mrr_month",
+            *carried,
+            *(F.lag(c).over(history).alias(f"earlier_{c}") for c in carried),
+            F.lag("mrr_month").over(history).alias("earlier_month"),
+            F.lead("mrr_month").over(history).alias("later_month"),
+        ).select("subscription_id", F.inline(rows))
     )
 
 
@@ -205,7 +199,7 @@ def mrr_movements(state: DataFrame, year: int) -> DataFrame:
     now, before = F.col("mrr_cents"), F.col("prev_mrr_cents")
     appeared = (now > 0) & (before == 0)
     driver = (
-        F.when(appeared & (F.col("reactivated") == 1), "reactivation")
+        F.when(appeared & (F.col("subscription_event_type") == v.REACTIVATED), "reactivation")
         .when(appeared, "new")
         .when((now == 0) & (before > 0), "churn")
         .when((now > before) & (before > 0), "expansion")

@@ -5,19 +5,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
+def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one table partition side by side, in tasks of the advisory size.
+
+    Without this every task would write a small file into every partition. Adaptive execution
+    splits large partitions over many tasks; with it off, the hint does nothing.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write `df` as a parquet table, replacing what is there, and return it read back.
 
     The counterpart of CREATE OR REPLACE TABLE AS. Later steps read the written files, so an
     executor lost afterwards costs a re-read and not a recomputation.
     """
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _gathered(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def replace_catalog_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """The same for a catalog table."""
-    df.write.mode("overwrite").format("parquet").partitionBy(*partition_by).saveAsTable(name)
+    writer = _gathered(df, partition_by).write.mode("overwrite").format("parquet")
+    writer.partitionBy(*partition_by).saveAsTable(name)
     return df.sparkSession.table(name).select(*df.columns)
 
 
