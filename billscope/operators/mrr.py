@@ -55,7 +55,7 @@ def event_months(first_month: date, n_months: int) -> tuple[Column, Column]:
     An ordinary event holds until the month before the next one. A cancellation (or an event
     of unknown type) counts only in the month it happened.
     """
-    last_month = F.lit(later_month(first_month, n_months - 1))
+    first_month, last_month = later_month(first_month, 0), F.lit(later_month(first_month, n_months - 1))
     holds_until = F.coalesce(F.add_months("next_event_month", -1), last_month)
     starts = F.greatest(F.col("event_month"), F.lit(first_month))
     ends = F.when(F.col("subscription_event_type") != v.CANCELED, holds_until).otherwise(

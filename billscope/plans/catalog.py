@@ -12,18 +12,22 @@ from billscope.sources.sample import sample_staging
 
 QUERIES = (
     "invoice_cohort",
+    "ledger_movements",
     "charge_outcomes",
     "processor_side",
     "billed_and_processed",
     "invoice_recon",
     "recon_summary",
+    "chargebacks",
     "old_invoice_chargebacks",
     "chargeback_restatement",
     "chargeback_share",
+    "closing_events",
     "mrr_state",
     "mrr_totals",
     "mrr_rate_of_change",
     "mrr_growth_summary",
+    "month_pairs",
     "mrr_movements",
     "mrr_movement_drivers",
     "mrr_driver_peaks",

@@ -29,6 +29,10 @@ class Layer:
         cohort = reconciliation.invoice_cohort(self.staging.invoices, *self.periods.invoices)
         return self.keep("invoice_cohort", cohort)
 
+    @cached_property
+    def ledger_movements(self) -> DataFrame:
+        return reconciliation.ledger_movements(self.staging.balance_transactions)
+
     @cached_property
     def charge_outcomes(self) -> DataFrame:
         return reconciliation.charge_outcomes(self.staging.charges)
@@ -52,6 +56,10 @@ class Layer:
     def recon_summary(self) -> DataFrame:
         return reconciliation.recon_summary(self.invoice_recon)
 
+    @cached_property
+    def chargebacks(self) -> DataFrame:
+        return chargebacks.chargebacks(self.staging.balance_transactions, self.periods.chargebacks)
+
     @cached_property
     def old_invoice_chargebacks(self) -> DataFrame:
         s, p = self.staging, self.periods
@@ -71,6 +79,11 @@ class Layer:
     def chargeback_share(self) -> DataFrame:
         return chargebacks.chargeback_share(self.chargeback_restatement)
 
+    @cached_property
+    def closing_events(self) -> DataFrame:
+        p = self.periods
+        return mrr.closing_events(self.staging.subscription_events, p.anchor_month, p.n_months)
+
     @cached_property
     def mrr_state(self) -> DataFrame:
         s, p = self.staging, self.periods
@@ -90,6 +103,10 @@ class Layer:
     def mrr_growth_summary(self) -> DataFrame:
         return reports.mrr_growth_summary(self.mrr_rate_of_change)
 
+    @cached_property
+    def month_pairs(self) -> DataFrame:
+        return mrr.month_pairs(self.mrr_state)
+
     @cached_property
     def mrr_movements(self) -> DataFrame:
         return mrr.mrr_movements(self.mrr_state, self.periods.year)

@@ -4,6 +4,7 @@ The SQL states each result by its definition (latest event before a cutoff by ro
 previous month by self-join, ratios in whole numbers) and not in the shape the Spark plans use.
 """
 
+from billscope.functions.months import later_month
 from billscope.plans.periods import SAMPLE_1999, Periods
 
 STAGING = """
@@ -180,6 +181,12 @@ gaps AS (
          ELSE 'BILLING_HIGHER' END AS gap_direction
   FROM side_by_side WHERE invoice_amount_paid_cents IS DISTINCT FROM processor_balance_amount_cents
 ),
+taken_back AS (
+  SELECT invoice_id AS dispute_id, invoice_id, customer_id, available_on AS balance_available_on,
+    net AS balance_net_cents
+  FROM ledger WHERE category = 'dispute'
+    AND available_on >= DATE '{p.chargebacks[0]}' AND available_on < DATE '{p.chargebacks[1]}'
+),
 lost AS (
   SELECT d.dispute_id, l.invoice_id, l.customer_id, i.created AS invoice_period_end,
     l.available_on AS balance_available_on, l.net AS balance_net_cents, d.reason AS dispute_reason
@@ -193,6 +200,21 @@ restated AS (
     CAST(abs(sum(balance_net_cents)) AS BIGINT) AS total_lost_net_cents
   FROM lost GROUP BY dispute_reason
 ),
+closing AS (
+  SELECT subscription_id, event_month, effective_at AS event_effective_at, event_id AS subscription_event_id,
+    customer_id, kind AS subscription_event_type, amount_before AS previous_plan_amount_cents,
+    amount_after AS new_plan_amount_cents,
+    (SELECT CAST(min(date_trunc('month', later.effective_at)) AS DATE) FROM plan_events later
+      WHERE later.subscription_id = b.subscription_id AND later.effective_at < DATE '{later_month(p.last_month, 1)}'
+        AND later.effective_at >= event_month + INTERVAL 1 MONTH) AS next_event_month
+  FROM (
+    SELECT *, CAST(greatest(date_trunc('month', effective_at), DATE '{later_month(p.anchor_month, -1)}') AS DATE)
+      AS event_month
+    FROM plan_events WHERE effective_at < DATE '{later_month(p.last_month, 1)}'
+  ) b
+  QUALIFY row_number() OVER (PARTITION BY subscription_id, event_month
+    ORDER BY effective_at DESC, event_id DESC) = 1
+),
 calendar AS (
   SELECT CAST(DATE '{p.anchor_month}' + to_months(CAST(i AS INTEGER)) AS DATE) AS month
   FROM range({p.n_months}) AS steps(i)
@@ -226,6 +248,14 @@ rate_of_change AS (
   FROM totals t LEFT JOIN totals b ON b.mrr_month = t.prev_mrr_month
   WHERE year(t.mrr_month) = {p.year}
 ),
+pairs AS (
+  SELECT coalesce(n.subscription_id, b.subscription_id) AS subscription_id,
+    coalesce(n.customer_id, b.customer_id) AS customer_id,
+    coalesce(n.subscription_event_type, b.subscription_event_type) AS subscription_event_type,
+    coalesce(n.mrr_month, b.mrr_cutoff) AS mrr_month,
+    coalesce(b.mrr_cents, 0) AS prev_mrr_cents, coalesce(n.mrr_cents, 0) AS mrr_cents
+  FROM state n FULL JOIN state b ON b.subscription_id = n.subscription_id AND b.mrr_month = n.prev_mrr_month
+),
 movements AS (
   SELECT subscription_id, customer_id, subscription_event_type, mrr_month, prev_mrr_cents, mrr_cents,
     mrr_cents - prev_mrr_cents AS net_mrr_change_cents,
@@ -236,14 +266,7 @@ movements AS (
          WHEN mrr_cents > prev_mrr_cents THEN 'expansion'
          WHEN mrr_cents < prev_mrr_cents THEN 'contraction'
          ELSE 'flat' END AS mrr_movement_driver
-  FROM (
-    SELECT coalesce(n.subscription_id, b.subscription_id) AS subscription_id,
-      coalesce(n.customer_id, b.customer_id) AS customer_id,
-      coalesce(n.subscription_event_type, b.subscription_event_type) AS subscription_event_type,
-      coalesce(n.mrr_month, b.mrr_cutoff) AS mrr_month,
-      coalesce(b.mrr_cents, 0) AS prev_mrr_cents, coalesce(n.mrr_cents, 0) AS mrr_cents
-    FROM state n FULL JOIN state b ON b.subscription_id = n.subscription_id AND b.mrr_month = n.prev_mrr_month
-  ) WHERE year(mrr_month) = {p.year}
+  FROM pairs WHERE year(mrr_month) = {p.year}
 ),
 drivers AS (
   SELECT mrr_month, CAST(sum(net_mrr_change_cents) AS BIGINT) AS net_mrr_change_cents, {drivers}
@@ -354,6 +377,8 @@ def _peaks_sql() -> str:
 
 FINAL = {
     "invoice_cohort": "SELECT * FROM cohort",
+    "ledger_movements": """SELECT invoice_id, category, amount AS amount_cents,
+  CAST(available_on AS DATE) AS available_date FROM ledger WHERE category <> 'fee'""",
     "charge_outcomes": """SELECT invoice_id, charge_id,
   max(CAST(status = 'succeeded' AND captured AS INTEGER)) AS captured,
   max(CAST(status = 'succeeded' AND NOT captured AS INTEGER)) AS uncaptured,
@@ -366,12 +391,14 @@ FROM charges WHERE status IS NOT NULL GROUP BY invoice_id, charge_id""",
   CAST(sum(recon_gap_cents) AS BIGINT) AS total_gap_cents,
   CAST({half_up("sum(recon_gap_cents)", "count(*)", 100)} AS DOUBLE) / 100 AS mean_gap_cents
 FROM gaps GROUP BY has_refund, has_dispute, balance_reduction_severity""",
+    "chargebacks": "SELECT * FROM taken_back",
     "old_invoice_chargebacks": "SELECT * FROM lost",
     "chargeback_restatement": "SELECT * FROM restated",
     "chargeback_share": f"""SELECT r.*, all_invoice_count, all_lost_net_cents,
   {percentage("total_lost_net_cents", "all_lost_net_cents")} AS lost_share_pct
 FROM restated r, (SELECT CAST(sum(invoice_count) AS BIGINT) AS all_invoice_count,
   CAST(sum(total_lost_net_cents) AS BIGINT) AS all_lost_net_cents FROM restated)""",
+    "closing_events": "SELECT * FROM closing",
     "mrr_state": "SELECT * FROM state",
     "mrr_totals": "SELECT * FROM totals",
     "mrr_rate_of_change": "SELECT * FROM rate_of_change",
@@ -383,6 +410,7 @@ FROM restated r, (SELECT CAST(sum(invoice_count) AS BIGINT) AS all_invoice_count
 FROM (SELECT * FROM rate_of_change ORDER BY mrr_month LIMIT 1) f,
   (SELECT * FROM rate_of_change ORDER BY mrr_month DESC LIMIT 1) l,
   (SELECT * FROM rate_of_change ORDER BY net_mrr_change_cents DESC, mrr_month LIMIT 1) b""",
+    "month_pairs": "SELECT * FROM pairs",
     "mrr_movements": "SELECT * FROM movements",
     "mrr_movement_drivers": "SELECT * FROM drivers",
     "mrr_driver_peaks": _peaks_sql(),
