@@ -1,9 +1,11 @@
 """MRR lost to payments whose retries ran out."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billscope.functions.months import month_of
+from billscope.functions.months import month_of, within
 from billscope.operators.mrr import mrr_movements
 from billscope.operators.reconciliation import charge_outcomes
 
@@ -40,8 +42,9 @@ def retry_exhausted_revenue_lost(
         )
     )
     month_after = F.add_months(month_of(F.col("invoice_created")), 1)
+    relevant = within(F.col("invoice_created"), date(year - 1, 12, 1), date(year, 12, 1))
     exhausted = (
-        exhausted_invoices(invoices, charges)
+        exhausted_invoices(invoices.filter(relevant), charges)
         .select("customer_id", month_after.alias("mrr_month"))
         .distinct()
     )

@@ -52,7 +52,7 @@ def sample_invoices(orders: DataFrame) -> DataFrame:
 
 
 def sample_balance_transactions(orders: DataFrame) -> DataFrame:
-    """Up to six ledger rows per order, built as one array and exploded."""
+    """Up to six ledger rows per order, built as one array and exploded; rules not met give no row."""
     rows = ", ".join(
         f"""if({condition}, named_struct(
               'balance_transaction_id', o_orderkey * 10 + {number},
@@ -63,11 +63,11 @@ def sample_balance_transactions(orders: DataFrame) -> DataFrame:
         for condition, number, category, amount, net, days in LEDGER_RULES
     )
     return orders.selectExpr(
-        f"inline(array_compact(array({rows})))",
+        f"inline(array({rows}))",
         "o_orderkey as balance_source_id",
         "o_orderkey as invoice_id",
         "o_custkey as customer_id",
-    )
+    ).filter("balance_transaction_id is not null")
 
 
 def sample_disputes(orders: DataFrame) -> DataFrame:

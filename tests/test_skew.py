@@ -99,3 +99,45 @@ def test_attempts_of_one_invoice_spread_over_partitions(spark, skewed):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(spread) > 1
+
+
+def test_chargebacks_of_one_invoice_are_split_or_summed_first(spark):
+    """A third of the chargebacks hit one invoice: row-level joins split it, the report sums first."""
+    from datetime import date
+
+    from billscope.operators import chargebacks
+
+    rows = 300_000
+    ledger = spark.range(rows).selectExpr(
+        f"concat('d', if(id < {rows // 3}, 0, id)) as balance_source_id",
+        f"concat('in_', if(id < {rows // 3}, 0, id)) as invoice_id",
+        "concat('cus_', sha2(string(id), 256)) as customer_id",
+        "'dispute' as balance_reporting_category",
+        "-id as balance_net_cents",
+        "timestamp_ntz'2024-06-10' as balance_available_on",
+    )
+    disputes = spark.range(rows).selectExpr("concat('d', id) as dispute_id", "if(id = 0, 'hot', 'cold') as dispute_reason")
+    invoices = spark.range(rows).selectExpr("concat('in_', id) as invoice_id", "timestamp_ntz'2024-05-01' as invoice_period_end")
+    periods = ((date(2024, 6, 1), date(2024, 7, 1)), (date(2024, 1, 1), date(2024, 6, 1)))
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        detail = chargebacks.old_invoice_chargebacks(ledger, disputes, invoices, *periods)
+        detail = detail.select("dispute_reason", "customer_id", "balance_net_cents")
+        assert len(detail.collect()) == rows
+        assert "skew=true" in detail._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    report = chargebacks.chargeback_restatement(ledger, disputes, invoices, *periods)
+    third = rows // 3
+    assert sorted(tuple(r) for r in report.collect()) == [
+        ("cold", rows - third, sum(range(third, rows))),
+        ("hot", 1, sum(range(third))),
+    ]
