@@ -5,7 +5,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from billscope.plans.layer import export_layer, write_layer
+from billscope.plans.layer import export_layer, in_database, in_folder, write_layer
 from billscope.plans.periods import Periods
 from billscope.sources.staging import staging_from_catalog, staging_from_parquet
 
@@ -15,7 +15,9 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--staging-path", help="folder with one parquet dataset per staging table")
     source.add_argument("--staging-database", help="catalog database with stg_* tables")
-    parser.add_argument("--out", required=True, help="folder for the tables, shared by all executors")
+    target = parser.add_mutually_exclusive_group(required=True)
+    target.add_argument("--out-path", help="folder for the tables, shared by all executors")
+    target.add_argument("--out-database", help="catalog database for the tables")
     parser.add_argument("--csv", help="folder for CSV exports of the reports")
     parser.add_argument("--year", type=int, required=True, help="year of the MRR and retention reports")
     parser.add_argument("--month", type=int, required=True, help="month to reconcile, 1-12")
@@ -29,7 +31,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         staging = staging_from_parquet(spark, args.staging_path)
     else:
         staging = staging_from_catalog(spark, args.staging_database)
-    layer = write_layer(staging, Periods.for_month(args.year, args.month), args.out)
+    store = in_folder(args.out_path) if args.out_path else in_database(args.out_database)
+    layer = write_layer(staging, Periods.for_month(args.year, args.month), store)
     if args.csv:
         export_layer(layer, args.csv)
 

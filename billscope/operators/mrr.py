@@ -111,11 +111,26 @@ def mrr_state(
 
 
 def mrr_totals(state: DataFrame) -> DataFrame:
-    """Total MRR, customers and subscriptions per month."""
-    return state.groupBy("prev_mrr_month", "mrr_month", "mrr_cutoff").agg(
-        F.countDistinct("customer_id").alias("customer_count"),
-        F.countDistinct("subscription_id").alias("subscription_count"),
-        F.sum("mrr_cents").alias("mrr_cents"),
+    """Total MRR, customers and subscriptions per month.
+
+    The neighbouring months follow from the month, so they stay out of the grouping keys that
+    the two distinct counts carry through the shuffle.
+    """
+    return (
+        state.groupBy("mrr_month")
+        .agg(
+            F.countDistinct("customer_id").alias("customer_count"),
+            F.countDistinct("subscription_id").alias("subscription_count"),
+            F.sum("mrr_cents").alias("mrr_cents"),
+        )
+        .select(
+            F.add_months("mrr_month", -1).alias("prev_mrr_month"),
+            "mrr_month",
+            F.add_months("mrr_month", 1).alias("mrr_cutoff"),
+            "customer_count",
+            "subscription_count",
+            "mrr_cents",
+        )
     )
 
 

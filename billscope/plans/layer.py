@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from billscope.operators import chargebacks, mrr, quality, reconciliation, reports, retention, retries
 from billscope.plans.periods import Periods
-from billscope.sources.sinks import export_csv, replace_table
+from billscope.sources.sinks import export_csv, replace_catalog_table, replace_table
 from billscope.sources.staging import Staging
 
 
@@ -237,17 +237,28 @@ EXPORTED = (
 )
 
 
-def write_layer(staging: Staging, periods: Periods, root: str) -> Layer:
-    """Store every table under `root` (a folder all executors share) and return the layer.
+# Tables stored by month, so that a later step opens only the months it needs.
+PARTITIONED = {"mrr_state": ("mrr_month",)}
+
+Store = Callable[[str, DataFrame], DataFrame]
+
+
+def in_folder(root: str) -> Store:
+    """Store tables as parquet under a folder all executors share."""
+    return lambda name, df: replace_table(df, f"{root}/{name}", PARTITIONED.get(name, ()))
+
+
+def in_database(database: str) -> Store:
+    """Store tables in a catalog database."""
+    return lambda name, df: replace_catalog_table(df, f"{database}.{name}", PARTITIONED.get(name, ()))
+
+
+def write_layer(staging: Staging, periods: Periods, store: Store) -> Layer:
+    """Store every table and return the layer reading them.
 
     Each table is computed once and read back by its successors. The MRR state is partitioned
     by month, so the retention base opens two of its thirteen partitions.
     """
-    partitions = {"mrr_state": ("mrr_month",)}
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        return replace_table(df, f"{root}/{name}", partitions.get(name, ()))
-
     layer = Layer(staging, periods, store)
     for name in STORED:
         getattr(layer, name)

@@ -3,7 +3,7 @@
 import pytest
 
 from billscope.plans.catalog import sample_layer
-from billscope.plans.layer import STORED, write_layer
+from billscope.plans.layer import STORED, in_folder, write_layer
 from billscope.plans.periods import SAMPLE_1999
 from billscope.sources.sample import sample_staging
 from billscope.sources.sinks import export_csv, replace_catalog_table, replace_table
@@ -15,7 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("layer"))
-    return root, write_layer(sample_staging(spark, SMALL), SAMPLE_1999, root)
+    return root, write_layer(sample_staging(spark, SMALL), SAMPLE_1999, in_folder(root))
 
 
 def test_stored_tables_equal_the_lazy_plans(spark, stored):
@@ -89,7 +89,7 @@ def test_command_line_builds_tables_and_exports(spark, tmp_path):
     staged, out, csv = (str(tmp_path / name) for name in ("staging", "out", "csv"))
     for name, df in sample_staging(spark, SMALL).tables().items():
         df.write.parquet(f"{staged}/{name}")
-    main(["--staging-path", staged, "--out", out, "--csv", csv, "--year", "1999", "--month", "6"])
+    main(["--staging-path", staged, "--out-path", out, "--csv", csv, "--year", "1999", "--month", "6"])
     cohort = spark.read.parquet(f"{out}/invoice_cohort")
     june = sample_staging(spark, SMALL).invoices.filter(
         "invoice_created >= '1999-06-01' and invoice_created < '1999-07-01' and invoice_paid"
@@ -102,6 +102,28 @@ def test_command_line_builds_tables_and_exports(spark, tmp_path):
     assert exported.columns[0] == "MRR_MONTH"
 
 
+def test_command_line_reads_and_writes_catalog_tables(spark, tmp_path):
+    from billscope.__main__ import main
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS billscope_raw LOCATION '{tmp_path}/raw'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS billscope_out LOCATION '{tmp_path}/out'")
+    try:
+        for name, df in sample_staging(spark, SMALL).tables().items():
+            df.write.saveAsTable(f"billscope_raw.stg_{name}")
+        command = ["--staging-database", "billscope_raw", "--out-database", "billscope_out", "--year", "1999", "--month", "6"]
+        main(command)
+        first = spark.table("billscope_out.cohort_nrr").count()
+        main(command)
+        assert 0 < first == spark.table("billscope_out.cohort_nrr").count()
+        assert {t.name for t in spark.catalog.listTables("billscope_out") if not t.isTemporary} == set(STORED)
+        lazy = sample_layer(spark, SMALL).mrr_movement_drivers
+        kept = spark.sql("SELECT * FROM billscope_out.mrr_movement_drivers")
+        assert kept.exceptAll(lazy).count() == 0 == lazy.exceptAll(kept).count()
+    finally:
+        spark.sql("DROP DATABASE billscope_raw CASCADE")
+        spark.sql("DROP DATABASE billscope_out CASCADE")
+
+
 def test_periods_of_a_month():
     from datetime import date
 
