@@ -171,32 +171,18 @@ def month_pairs(state: DataFrame) -> DataFrame:
     finds them). Rows without a subscription id never match another row.
     """
     history = Window.partitionBy("subscription_id").orderBy("mrr_month")
-    month, known = F.col("mrr_month"), F.col("subscription_id").isNotNull()
     carried = ("customer_id", "subscription_event_type", "mrr_cents")
+    month, gone, known = F.col("mrr_month"), F.col("gone"), F.col("subscription_id").isNotNull()
     follows = known & (F.col("earlier_month") == F.add_months(month, -1))
     followed = known & (F.col("later_month") == F.add_months(month, 1))
     repeated = known & (F.col("later_month") == month)
-    cents = F.coalesce("mrr_cents", F.lit(0))
     refusal = F.raise_error(F.lit("more than one state row for a subscription and month"))
-    nothing = F.lit(0).cast("bigint")
+    cents, nothing = F.coalesce("mrr_cents", F.lit(0)), F.lit(0).cast("bigint")
+    states = F.when(followed, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
 
     def earlier(column: str) -> Column:
         return F.when(follows, F.col(f"earlier_{column}"))
 
-    own = F.struct(
-        month.alias("mrr_month"),
-        *(F.coalesce(c, earlier(c)).alias(c) for c in carried[:2]),
-        F.coalesce(earlier("mrr_cents"), nothing).alias("prev_mrr_cents"),
-        F.when(repeated, refusal).otherwise(cents).alias("mrr_cents"),
-    )
-    next_without_row = F.struct(
-        F.add_months(month, 1).alias("mrr_month"),
-        "customer_id",
-        "subscription_event_type",
-        cents.alias("prev_mrr_cents"),
-        nothing.alias("mrr_cents"),
-    )
-    rows = F.when(followed, F.array(own)).otherwise(F.array(own, next_without_row))
     return (
         state.select(
             "subscription_id",
@@ -205,7 +191,15 @@ def month_pairs(state: DataFrame) -> DataFrame:
             *(F.lag(c).over(history).alias(f"earlier_{c}") for c in carried),
             F.lag("mrr_month").over(history).alias("earlier_month"),
             F.lead("mrr_month").over(history).alias("later_month"),
-        ).select("subscription_id", F.inline(rows))
+        )
+        .withColumn("gone", F.explode(states))
+        .select(
+            "subscription_id",
+            F.when(gone, F.add_months(month, 1)).otherwise(month).alias("mrr_month"),
+            *(F.when(gone, F.col(c)).otherwise(F.coalesce(c, earlier(c))).alias(c) for c in carried[:2]),
+            F.when(gone, cents).otherwise(F.coalesce(earlier("mrr_cents"), nothing)).alias("prev_mrr_cents"),
+            F.when(repeated, refusal).when(gone, nothing).otherwise(cents).alias("mrr_cents"),
+        )
     )
 
 
