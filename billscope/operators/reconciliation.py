@@ -10,6 +10,10 @@ from billscope.functions.months import within
 from billscope.functions.numbers import any_flag, flag, quotient, sum_where
 
 
+# One bit per charge outcome.
+CAPTURED, UNCAPTURED, FAILED = 1, 2, 4
+
+
 def invoice_cohort(
     invoices: DataFrame, start: date, end: date, method: str = v.CHARGE_AUTOMATICALLY
 ) -> DataFrame:
@@ -37,21 +41,54 @@ def charge_outcomes(charges: DataFrame) -> DataFrame:
     """One row per (invoice, charge) telling which outcomes the charge ever had.
 
     Grouping by charge first is what makes the later per-invoice sums distinct counts, and it
-    spreads an invoice with very many attempts over all tasks. A row whose status or capture
-    flag is NULL has no outcome and is left out, so it cannot make an invoice appear.
+    spreads an invoice with very many attempts over all tasks. The outcomes of a charge travel
+    as one bit mask. A row whose status or capture flag is NULL has no outcome and is left out,
+    so it cannot make an invoice appear.
     """
-    approved = F.col("charge_status") == v.SUCCEEDED
-    captured = approved & F.col("charge_captured")
-    uncaptured = approved & ~F.col("charge_captured")
-    failed = F.col("charge_status") != v.SUCCEEDED
-    known = F.col("charge_id").isNotNull()
+    approved, captured = F.col("charge_status") == v.SUCCEEDED, F.col("charge_captured")
+    outcome = (
+        F.when(approved & captured, CAPTURED).when(approved & ~captured, UNCAPTURED).when(~approved, FAILED)
+    )
+    counted = F.col("charge_id").isNotNull()
     return (
-        charges.filter(captured | uncaptured | failed)
+        charges.select("invoice_id", "charge_id", outcome.alias("outcome"))
+        .filter(F.col("outcome").isNotNull())
         .groupBy("invoice_id", "charge_id")
-        .agg(
-            any_flag(known & captured).alias("captured"),
-            any_flag(known & uncaptured).alias("uncaptured"),
-            any_flag(known & failed).alias("failed"),
+        .agg(F.bit_or("outcome").alias("outcomes"))
+        .select(
+            "invoice_id",
+            "charge_id",
+            *(
+                flag(counted & (F.col("outcomes").bitwiseAND(bit) > 0)).alias(name)
+                for name, bit in (("captured", CAPTURED), ("uncaptured", UNCAPTURED), ("failed", FAILED))
+            ),
+        )
+    )
+
+
+def ledger_by_invoice(balance_transactions: DataFrame) -> DataFrame:
+    """Net money of each invoice, what happened to it, and when it was charged."""
+    category, amount = F.col("category"), F.col("amount_cents")
+    charge_date = F.when(category == v.CHARGE, F.col("available_date"))
+    disputed = sum_where(category.isin(v.DISPUTE, v.DISPUTE_REVERSAL), amount)
+    return ledger_movements(balance_transactions).groupBy("invoice_id").agg(
+        F.sum(amount).alias("processor_balance_amount_cents"),
+        any_flag(category == v.CHARGE).alias("has_charge_row"),
+        any_flag(category == v.REFUND).alias("has_refund_activity"),
+        flag(disputed < 0).alias("has_dispute_activity"),
+        any_flag(category == v.DISPUTE).alias("has_dispute_raised"),
+        any_flag(category == v.DISPUTE_REVERSAL).alias("has_dispute_reversal"),
+        F.min(charge_date).alias("first_charge_available_date"),
+        F.max(charge_date).alias("last_charge_available_date"),
+    )
+
+
+def attempts_by_invoice(charges: DataFrame) -> DataFrame:
+    """Distinct charges of each invoice by outcome."""
+    return charge_outcomes(charges).groupBy("invoice_id").agg(
+        *(
+            F.sum(name).alias(f"processor_{name}_charge_count")
+            for name in ("captured", "uncaptured", "failed")
         )
     )
 
@@ -61,37 +98,32 @@ def processor_side(
 ) -> DataFrame:
     """What the processor shows for each cohort invoice; one row per invoice.
 
-    Ledger rows and charge outcomes are stacked and aggregated once, so the two sources meet
-    without a join and an invoice known to only one of them keeps its row. The cohort is
-    applied above the aggregation: Catalyst moves the semi join down to the scans when the
-    cohort is small enough to broadcast, and otherwise joins rows that are already one per
-    invoice, so an invoice with very many ledger rows never lands in one join task.
+    Ledger and charges are aggregated apart, so they cannot fan out, and an invoice known to
+    only one of them keeps its row. The cohort is applied above the aggregations: Catalyst
+    moves the semi joins down to the scans when the cohort is small enough to broadcast, and
+    otherwise joins rows that are already one per invoice, so an invoice with very many ledger
+    rows or attempts never lands in one join task. All joins share the aggregations' shuffle.
     """
-    stacked = ledger_movements(balance_transactions).unionByName(
-        charge_outcomes(charges).drop("charge_id"), allowMissingColumns=True
-    )
-    category, amount = F.col("category"), F.col("amount_cents")
-    is_charge = category == v.CHARGE
-    charge_date = F.when(is_charge, F.col("available_date"))
-    disputed = sum_where(category.isin(v.DISPUTE, v.DISPUTE_REVERSAL), amount)
-    captured_count = F.coalesce(F.sum("captured"), F.lit(0))
-    return (
-        stacked.groupBy("invoice_id")
-        .agg(
-            F.coalesce(F.sum(amount), F.lit(0)).alias("processor_balance_amount_cents"),
-            captured_count.alias("processor_captured_charge_count"),
-            F.coalesce(F.sum("uncaptured"), F.lit(0)).alias("processor_uncaptured_charge_count"),
-            F.coalesce(F.sum("failed"), F.lit(0)).alias("processor_failed_charge_count"),
-            any_flag(category == v.REFUND).alias("has_refund_activity"),
-            flag(disputed < 0).alias("has_dispute_activity"),
-            any_flag(category == v.DISPUTE).alias("has_dispute_raised"),
-            any_flag(category == v.DISPUTE_REVERSAL).alias("has_dispute_reversal"),
-            flag((captured_count > 0) & (any_flag(is_charge) == 0)).alias("has_charge_without_balance"),
-            flag((any_flag(is_charge) == 1) & (captured_count == 0)).alias("has_balance_without_charge"),
-            F.min(charge_date).alias("first_charge_available_date"),
-            F.max(charge_date).alias("last_charge_available_date"),
-        )
-        .join(cohort.select("invoice_id"), "invoice_id", "left_semi")
+    invoice_ids = cohort.select("invoice_id")
+    ledger = ledger_by_invoice(balance_transactions).join(invoice_ids, "invoice_id", "left_semi")
+    attempts = attempts_by_invoice(charges).join(invoice_ids, "invoice_id", "left_semi")
+    both = ledger.join(attempts, "invoice_id", "full")
+    zeros = [c for c in both.columns if c != "invoice_id" and not c.endswith("_date")]
+    has_charge_row, captured = F.col("has_charge_row") == 1, F.col("processor_captured_charge_count")
+    return both.fillna(0, subset=zeros).select(
+        "invoice_id",
+        "processor_balance_amount_cents",
+        "processor_captured_charge_count",
+        "processor_uncaptured_charge_count",
+        "processor_failed_charge_count",
+        "has_refund_activity",
+        "has_dispute_activity",
+        "has_dispute_raised",
+        "has_dispute_reversal",
+        flag((captured > 0) & ~has_charge_row).alias("has_charge_without_balance"),
+        flag(has_charge_row & (captured == 0)).alias("has_balance_without_charge"),
+        "first_charge_available_date",
+        "last_charge_available_date",
     )
 
 

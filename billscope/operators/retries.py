@@ -7,19 +7,16 @@ from pyspark.sql import functions as F
 
 from billscope.functions.months import month_of, within
 from billscope.operators.mrr import mrr_movements
-from billscope.operators.reconciliation import charge_outcomes
+from billscope.operators.reconciliation import attempts_by_invoice
 
 
 def exhausted_invoices(invoices: DataFrame, charges: DataFrame) -> DataFrame:
     """Invoices with at least one failed charge attempt and none that collected money."""
-    outcome = (
-        charge_outcomes(charges)
-        .groupBy("invoice_id")
-        .agg(F.sum("failed").alias("failed_count"), F.sum("captured").alias("captured_count"))
-        .filter((F.col("failed_count") > 0) & (F.col("captured_count") == 0))
+    outcome = attempts_by_invoice(charges).filter(
+        (F.col("processor_failed_charge_count") > 0) & (F.col("processor_captured_charge_count") == 0)
     )
     return invoices.select("invoice_id", "customer_id", "invoice_created").join(
-        outcome.select("invoice_id", "failed_count"), "invoice_id"
+        outcome.select("invoice_id", F.col("processor_failed_charge_count").alias("failed_count")), "invoice_id"
     )
 
 
