@@ -86,3 +86,16 @@ def test_bloom_filter_of_the_cohort_reaches_both_scans(spark):
     filters = [line for line in text.splitlines() if "might_contain" in line and "Filter" in line]
     assert any("o_orderkey" in line for line in filters)
     assert any("l_orderkey" in line for line in filters)
+
+
+def test_small_cohort_prunes_below_every_aggregation(spark):
+    """With a broadcastable cohort the semi joins read the scans, not aggregated history."""
+    text = queries()["processor_side"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    lines = [(re.search(r"[A-Z]", line).start(), line) for line in text.splitlines()]
+    semi = [i for i, (_, line) in enumerate(lines) if "Join LeftSemi" in line]
+    assert len(semi) == 2
+    for i in semi:
+        for depth, line in lines[i + 1 :]:
+            if depth <= lines[i][0]:
+                break
+            assert "Aggregate" not in line
