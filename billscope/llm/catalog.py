@@ -2,10 +2,15 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billscope.llm.chat import format_conversations, read_back
 from billscope.llm.line_dedup import dedup_lines
+from billscope.llm.quality import judge_quality
+from billscope.llm.scratch import new_folder
+from billscope.llm.token_files import read_token_files, write_token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +38,64 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_line_dedup": op1_line_dedup}
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents")).drop("text", "rejected_by")
 
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL}
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = r"\### Assistant: </turn> ok"
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(marks).alias("text")
+    )
+    spoken = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read_back(format_conversations(given.unionByName(added))).select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(spoken, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), safe AS (
+  SELECT *, regexp_replace(role, '<(\\*)(/?turn|text)>', '<\\\1\2>', 'g') AS safe_role,
+    regexp_replace(text, '<(\\*)(/?turn|text)>', '<\\\1\2>', 'g') AS safe_text FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<turn>' || safe_role || '<text>' || safe_text || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM safe GROUP BY conv_id
+"""
+
+
+#: The end id of the token files.
+END_ID = 2
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    parts = write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    return read_token_files(spark, folder, parts).select(
+        "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_chat_formatting": op6_chat_formatting,
+    "op7_token_files": op7_token_files,
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": LINE_DEDUP_SQL,
+    "op6_chat_formatting": CHAT_SQL,
+}
