@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billscope.llm.chat import format_conversations, read_back
+from billscope.llm.licenses import scan_licenses
 from billscope.llm.line_dedup import dedup_lines
+from billscope.llm.mixing import mix_sources
 from billscope.llm.quality import judge_quality
 from billscope.llm.scratch import new_folder
 from billscope.llm.token_files import read_token_files, write_token_files
+from billscope.llm.toxicity import fit_toxicity, held_out, score_toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,10 +41,53 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+MIXING_SQL = """
+WITH sizes AS (
+  SELECT coalesce(source, '') AS s, CAST(sum(length(coalesce(text, ''))) AS DOUBLE) AS chars FROM documents GROUP BY 1
+), rates AS (
+  SELECT s, (SELECT sum(chars) FROM sizes) * (pow(chars, 0.5) / (SELECT sum(pow(chars, 0.5)) FROM sizes)) / chars AS rate
+  FROM sizes WHERE chars > 0
+), terms AS (
+  SELECT s, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p, rate FROM rates, range(0, 100) AS t(k)
+), cdf AS (
+  SELECT s, k, sum(p) OVER (PARTITION BY s ORDER BY k) AS c FROM terms WHERE k <= rate + 1 OR p >= 1e-18
+), draws AS (
+  SELECT *, CAST('0x' || substr(md5('7|' || doc_id), 1, 13) AS BIGINT) / pow(2, 52) AS u FROM documents
+), counted AS (
+  SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, count(*) AS n
+  FROM draws d JOIN cdf ON cdf.s = coalesce(d.source, '') AND cdf.c <= d.u GROUP BY ALL
+)
+SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS copy,
+  CAST('0x' || substr(md5('order 7|' || doc_id || '|' || copy), 1, 15) AS BIGINT) AS shuffle_key
+FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted)
+"""
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents")).drop("text", "rejected_by")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    base, own = F.col("places.label"), F.col("detections.label")
+    starts = F.col("places.first_word")
+    strongest = F.coalesce(F.array_max(F.col("detections.priority")), F.lit(0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.sort_array(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.sort_array(F.array_distinct(F.concat(base, own))), ",").alias("labels"),
+        (F.greatest(strongest, F.when(F.size("places") > 0, 60).otherwise(0)) / 100).cast("double").alias("score"),
+    )
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = r"\### Assistant: </turn> ok"
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -88,14 +134,24 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = fit_toxicity(documents, table(spark, sf_dir, "labels"))
+    return score_toxicity(documents, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_source_mixing": op3_source_mixing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_license_scan": op5_license_scan,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_token_files": op7_token_files,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP_SQL,
+    "op3_source_mixing": MIXING_SQL,
     "op6_chat_formatting": CHAT_SQL,
 }

@@ -22,6 +22,17 @@ def lower_words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+#: Every byte that is no digit, no letter and not part of a character beyond ASCII becomes a space; A-Z become a-z.
+_WORD_BYTES = bytes(
+    byte + 32 if 0x41 <= byte <= 0x5A else byte if byte >= 0x80 or 0x30 <= byte <= 0x39 or 0x61 <= byte <= 0x7A else 0x20 for byte in range(256)
+)
+
+
+def plain_words(text: str) -> list[bytes]:
+    """UTF-8 words of digits, ASCII letters in lower case and characters beyond ASCII."""
+    return text.encode().translate(_WORD_BYTES).split()
+
+
 class WordHashes(dict):
     """64-bit hash of a word, kept for words seen before; bounded."""
 
