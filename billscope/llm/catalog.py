@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billscope.llm.chat import format_conversations, read_back
+from billscope.llm.decontamination import find_contamination
 from billscope.llm.licenses import scan_licenses
 from billscope.llm.line_dedup import dedup_lines
 from billscope.llm.mixing import mix_sources
 from billscope.llm.quality import judge_quality
 from billscope.llm.scratch import new_folder
+from billscope.llm.token_counts import count_after_edits
 from billscope.llm.token_files import read_token_files, write_token_files
 from billscope.llm.toxicity import fit_toxicity, held_out, score_toxicity
 
@@ -41,6 +43,11 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each overlap of a document with a benchmark item; documents without one have no row."""
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -134,6 +141,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after personal data is scrubbed from each document."""
+    counted = count_after_edits(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_tokens", "n_edits", "n_tokens_after", "reencoded_chars", F.size("leaf_starts").cast("long").alias("n_leaves"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = fit_toxicity(documents, table(spark, sf_dir, "labels"))
@@ -142,11 +155,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_decontamination": op2_decontamination,
     "op3_source_mixing": op3_source_mixing,
     "op4_quality_rules": op4_quality_rules,
     "op5_license_scan": op5_license_scan,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_token_files": op7_token_files,
+    "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
 
