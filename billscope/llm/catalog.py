@@ -10,6 +10,7 @@ from billscope.llm.chat import format_conversations, read_back
 from billscope.llm.decontamination import find_contamination
 from billscope.llm.licenses import scan_licenses
 from billscope.llm.line_dedup import dedup_lines
+from billscope.llm.minhash import near_duplicates
 from billscope.llm.mixing import mix_sources
 from billscope.llm.quality import judge_quality
 from billscope.llm.scratch import new_folder
@@ -141,6 +142,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts before and after personal data is scrubbed from each document."""
     counted = count_after_edits(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -161,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_license_scan": op5_license_scan,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_token_files": op7_token_files,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }

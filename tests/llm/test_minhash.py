@@ -1,0 +1,109 @@
+import random
+import re
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from billscope.llm.components import components
+from billscope.llm.minhash import ROWS, band_keys, hub_members, near_duplicates, signature, sketches
+
+
+def shingle_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_force(rows):
+    """doc_id to (n_shingles, component) by comparing all pairs."""
+    sets = {i: shingle_set(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            common = len(sets[a] & sets[b])
+            if common and 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common):
+                root[max(top(a), top(b))] = min(top(a), top(b))
+    return {i: (len(sets[i]), top(i)) for i in sets}
+
+
+def result(spark, rows):
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in found}, len(found)
+
+
+def corpus(seed):
+    """Groups around a base text: copies, copies of copies, texts just above and just below the similarity."""
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(400)]
+    texts = []
+    for size, length, most in ((90, 150, 4), (60, 60, 3), (40, 300, 9), (30, 12, 2), (20, 5, 1)):
+        base = [rng.choice(words) for _ in range(length)]
+        group = [base] if seed % 2 else []
+        for _ in range(size):
+            copy = list(rng.choice([base, base, *group[-5:]]))
+            for _ in range(rng.randint(0, most)):
+                where = rng.randrange(len(copy))
+                copy[where : where + rng.choice([1, 1, 0, 2])] = [rng.choice(words)]
+            group.append(copy)
+        texts += [" ".join(x) for x in group]
+    texts += [" ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    texts += ["", "  \n", "one", "One", "a b c d", "A  B c d", "a b c d e", None]
+    ids = rng.sample(range(10_000), len(texts))
+    return [(i, t.upper() if t and rng.random() < 0.1 else t) for i, t in zip(ids, texts, strict=True)]
+
+
+def test_components_equal_those_of_all_pairs(spark):
+    for seed in (1, 2):
+        rows = corpus(seed)
+        found, n = result(spark, rows)
+        assert n == len(rows)
+        want = brute_force(rows)
+        assert found == want
+        assert len({c for _, c in want.values()}) < len(rows) - 60
+
+
+def test_repeated_rows_and_missing_ids(spark):
+    long = "some words that stand in one long text " * 9
+    rows = [(5, long), (5, long), (3, long.upper()), (None, long), (None, None), (9, "x " * 50_000 + long)]
+    found = near_duplicates(spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, component_id int, n int")).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in found if r.doc_id is not None) == [(3, 3, True), (5, 3, False), (5, 3, False), (9, 9, True)]
+    assert [(r.component_id, r.kept) for r in found if r.doc_id is None] == [(None, True)] * 2
+    assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_signature_estimates_the_similarity():
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    b = np.concatenate([a[:2400], rng.integers(0, 1 << 63, 600, dtype=np.uint64)])
+    assert abs((signature(a) == signature(b)).mean() - 2400 / 3600) < 0.15
+    assert len(set(band_keys(signature(a)).tolist())) == len(signature(a)) // ROWS
+
+
+def test_a_bucket_gives_one_row_for_each_member(spark):
+    rows = spark.range(500).select(F.col("id").alias("doc"), F.explode(F.array(F.lit(1), F.lit(2))).alias("key"))
+    members = hub_members(rows)
+    assert members.count() == 499
+
+
+def test_sketches_of_equal_sets_are_equal(spark):
+    docs = spark.createDataFrame([(1, "a b c d e a b c d e"), (2, "A b c d e a b c d e a"), (3, "a b c d e f")], "doc_id long, text string")
+    keys = {r.doc_id: r.set_key for r in sketches(docs).collect()}
+    assert keys[1] == keys[2] != keys[3]
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(k, k + 1) for k in range(100, 160)]
+    star = [(50, k) for k in range(200, 260)]
+    odd = [(7, 7), (1, 2), (2, 1), (2, 3)]
+    found = {r.doc: r.component for r in components(spark.createDataFrame(chain + star + odd, "a long, b long")).collect()}
+    assert all(found[k] == 100 for k in range(101, 161))
+    assert all(found[k] == 50 for k in range(200, 260))
+    assert found[2] == found[3] == 1 and 7 not in found
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
