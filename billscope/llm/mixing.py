@@ -62,12 +62,14 @@ def mix_sources(
     id_column: str = "doc_id",
     text_column: str = "text",
     source_column: str = "source",
+    copy_column: str = "copy",
+    key_column: str = "shuffle_key",
 ) -> DataFrame:
     """The columns of documents, copy (1, 2, ...) and shuffle_key, in the order of shuffle_key across all partitions.
 
     Shares are of characters. A null source is the empty one; a source without any text has rate 0. Rows that repeat a
     doc_id draw alike; rows without doc_id draw by their text. An empty table gives an empty one. A column of documents
-    named copy or shuffle_key is replaced.
+    with the name of copy_column or key_column is replaced.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     own = F.coalesce(F.col(id_column).cast("string"), F.concat(F.lit("text "), F.md5(text)))
@@ -80,7 +82,7 @@ def mix_sources(
 
     # A row for each source; stored, so that its true size decides between a broadcast and a join with split partitions.
     drawn_from = stored(rates.mapInPandas(with_cdf, "of string, cdf array<double>"), "source-rates")
-    kept = [F.col(f"row.{name}").alias(name) for name in dict.fromkeys(documents.columns) if name not in ("copy", "shuffle_key")]
+    kept = [F.col(f"row.{name}").alias(name) for name in dict.fromkeys(documents.columns) if name not in (copy_column, key_column)]
     drawn = (
         documents.select(F.struct("*").alias("row"), own.alias("own"), source.alias("source"))
         .join(drawn_from, F.col("source") == F.col("of"))
@@ -90,4 +92,4 @@ def mix_sources(
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n"))))
     )
     key = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(f"order {seed}"), F.col("own"), F.col("copy").cast("string"))), 1, 15), 16, 10).cast("long")
-    return drawn.select(*kept, "copy", key.alias("shuffle_key")).orderBy("shuffle_key", "copy")
+    return drawn.select(*kept, F.col("copy").alias(copy_column), key.alias(key_column)).orderBy(key_column, copy_column)

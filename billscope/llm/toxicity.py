@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -169,27 +170,31 @@ class _Known(dict):
         return found
 
 
-def score_toxicity(documents: DataFrame, model: Model | None, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, score (0 to 1), predicted (1 from 0.5 on): one row for each row of documents.
+def with_toxicity(documents: DataFrame, model: Model | None, name: str = "score", *, text_column: str = "text") -> DataFrame:
+    """documents and a score from 0 to 1 for each whole text, in a column of this name; no row moves.
 
     Null texts are empty, and empty texts are scored like others. Without a model every score is 0. Repeated rows score
     alike, an empty table gives an empty one, other columns play no part.
     """
-    docs = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # max_features weights
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # max_features weights
 
-    def scored(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("double")
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = shared.value
         known = _Known(model)
 
-        def score(text: str) -> float:
-            if model is None:
-                return 0.0
-            words = plain_words(text)
+        def margin(text: str | None) -> float:
+            words = plain_words(text or "")
             found = {f for some in map(known.__getitem__, set(words)) for f in some}
-            return float(_sigmoid(np.float64(model.margin(sorted(found), len(words)))))
+            return model.margin(sorted(found), len(words))
+
+        for part in parts:
+            yield pd.Series(_sigmoid(np.array([margin(text) for text in part], float)) if model else np.zeros(len(part)))
 
-        return batches(((i, score(text)) for batch in parts for i, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)), schema)
+    return documents.withColumn(name, score(F.col(text_column)))
 
-    return docs.mapInArrow(scored, "doc_id long, score double").withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+def score_toxicity(documents: DataFrame, model: Model | None, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, score, predicted (1 from 0.5 on): one row for each row of documents, as with_toxicity scores it."""
+    docs = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    return with_toxicity(docs, model).select("doc_id", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
