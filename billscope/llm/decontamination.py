@@ -26,12 +26,12 @@ MIN_SIMILARITY = 0.8
 CONTEXT = 64
 MAX_FILTER_BYTES = 16 << 20
 
-_MASK_SALT = np.uint64(0xD6E8FEB86659FD93)
+_SALTS = np.arange(1, 65, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
 
 
 def seeds(words: np.ndarray, masks: tuple[tuple[int, ...], ...]) -> tuple[np.ndarray, np.ndarray]:
     """All seeds of hashed words, and the position of each."""
-    found = [window_hashes(words, mask) ^ (np.uint64(k + 1) * _MASK_SALT) for k, mask in enumerate(masks)]
+    found = [window_hashes(words, mask) ^ _SALTS[k] for k, mask in enumerate(masks)]
     return np.concatenate(found), np.concatenate([np.arange(len(x)) for x in found])
 
 
