@@ -1,0 +1,75 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from billscope.llm.catalog import op7_token_files
+from billscope.llm.scratch import new_folder
+from billscope.llm.token_files import read_token_files, write_token_files
+from tests.llm.helpers import DATA, SCHEMA, planted_documents
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+THEIRS = Tokenizer.from_file(PATH)
+
+
+def encoded(text, end=2):
+    return [*THEIRS.encode(text or "", add_special_tokens=False).ids, end]
+
+
+def round_trip(spark, frame, end=2, path=PATH):
+    folder = new_folder(spark, "test-tokens")
+    parts = write_token_files(frame, folder, path, end)
+    rows = [(r.doc_id, r.start, np.frombuffer(r.ids, "<u4").tolist()) for r in read_token_files(spark, folder, parts).collect()]
+    return sorted(rows, key=lambda r: r[1]), [r.asDict() for r in parts.collect()], folder
+
+
+def test_odd_rows(spark):
+    rows = planted_documents()
+    got, parts, folder = round_trip(spark, spark.createDataFrame(rows, SCHEMA).repartition(4))
+    assert [r[0] for r in got] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i))
+    assert sorted(map(str, (r[2] for r in got))) == sorted(str(encoded(r[1])) for r in rows)
+    assert [r[1] for r in got] == np.cumsum([0, *(len(r[2]) for r in got[:-1])]).tolist()
+    assert sum(p["n_tokens"] for p in parts) == sum(len(r[2]) for r in got)
+    store, path = pa.fs.FileSystem.from_uri(folder)
+    for p in parts:
+        assert p["id_bytes"] == 2
+        assert store.get_file_info(f"{path}/{p['name']}.bin").size == 2 * p["n_tokens"]
+        offsets = np.frombuffer(store.open_input_file(f"{path}/{p['name']}.off").read(), "<i8")
+        assert (offsets[0], offsets[-1], len(offsets)) == (p["base"], p["base"] + p["n_tokens"], p["n_docs"] + 1)
+
+
+def test_large_ids_take_four_bytes(spark):
+    got, parts, _ = round_trip(spark, spark.createDataFrame([(1, "some words")], "doc_id long, text string"), end=70_000)
+    assert parts[0]["id_bytes"] == 4 and got[0][2] == encoded("some words", 70_000)
+
+
+def test_another_kind_of_tokenizer(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    got, _, _ = round_trip(spark, spark.createDataFrame([(1, "Some  Words, here")], "doc_id long, text string"), path=path)
+    assert got[0][2] == [*Tokenizer.from_file(path).encode("Some  Words, here", add_special_tokens=False).ids, 2]
+
+
+def test_many_rows_of_one_id_are_split(spark):
+    frame = spark.range(4000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("same text").alias("text"))
+    got, _, _ = round_trip(spark, frame.repartition(8))
+    assert len(got) == 4000 and {tuple(r[2]) for r in got} == {tuple(encoded("same text"))}
+
+
+def test_empty_table(spark):
+    got, parts, _ = round_trip(spark, spark.createDataFrame([], "doc_id long, text string"))
+    assert got == [] and parts == []
+
+
+def test_query_against_the_tokenizer(spark):
+    sf = str(DATA / "sf0.001")
+    start = 0
+    got = {r.doc_id: r for r in op7_token_files(spark, sf).collect()}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect():
+        ids = encoded(r.text)
+        row = got.pop(r.doc_id)
+        assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert not got

@@ -1,0 +1,81 @@
+import random
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from billscope.llm.catalog import op10_toxicity
+from billscope.llm.toxicity import features, fit_toxicity, held_out, nnpu_fit, score_toxicity, with_toxicity
+from tests.llm.helpers import DATA, SCHEMA, planted_documents
+
+
+def corpus(n=1500, seed=4):
+    rng = random.Random(seed)
+    words, bad = [f"word{chr(97 + k % 26)}{k}" for k in range(300)], ["vilex", "grotty", "nastywort"]
+    rows, labels = [], []
+    for k in range(n):
+        text = [rng.choice(words) for _ in range(rng.randint(5, 60))]
+        toxic = k % 8 == 0
+        if toxic:
+            for _ in range(2):
+                text.insert(rng.randrange(len(text)), rng.choice(bad) + rng.choice(["", "en", "um"]))
+        rows.append((k, " ".join(text).title() + "."))
+        if k % 3 == 0:
+            labels.append((k, 1, int(toxic)))
+    return rows, labels
+
+
+def frames(spark, rows, labels):
+    return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_held_out_rows(spark):
+    frame = spark.range(40).select("id", held_out(F.col("id")).alias("out"))
+    assert all(r.out == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in frame.collect())
+
+
+def test_finds_toxic_text_and_leaves_the_rest(spark):
+    rows, labels = corpus()
+    docs, marks = frames(spark, rows, labels)
+    scores = {r.doc_id: r.score for r in score_toxicity(docs, fit_toxicity(docs, marks)).collect()}
+    assert np.mean([scores[k] >= 0.5 for k in range(0, 1500, 8)]) > 0.95
+    assert np.mean([scores[k] >= 0.5 for k in range(1500) if k % 8]) < 0.02
+
+
+def test_held_out_labels_play_no_part(spark):
+    rows, labels = corpus(400)
+    docs, marks = frames(spark, rows, labels)
+    flipped = spark.createDataFrame([(i, q, t if zlib.crc32(str(i).encode()) % 5 else 1 - t) for i, q, t in labels], marks.schema)
+    assert fit_toxicity(docs, marks) == fit_toxicity(docs, flipped)
+
+
+def test_non_negative_risk_beats_counting_unlabelled_text_as_clean():
+    rng = np.random.default_rng(1)
+    make = lambda n, mean: rng.normal(mean, 1, (n, 3)).astype(np.float32)
+    toxic, mixture = make(200, 1.5), np.vstack([make(400, 1.5), make(600, -1.5)])
+    weights = nnpu_fit(toxic, mixture, 0.4)
+    margin = np.hstack([mixture, np.ones((1000, 1))]) @ weights
+    assert ((margin > 0) == (np.arange(1000) < 400)).mean() > 0.95
+
+
+def test_odd_rows(spark):
+    rows, labels = corpus(300)
+    docs, marks = frames(spark, rows, [*labels, (0, None, None), (None, 1, 1), (9999, 1, 1)])
+    model = fit_toxicity(docs, marks)
+    frame = spark.createDataFrame(planted_documents(), SCHEMA)
+    scored = score_toxicity(frame, model).collect()
+    assert len(scored) == frame.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in scored)
+    assert with_toxicity(frame, model, "extra").columns == [*frame.columns, "extra"]
+    assert score_toxicity(frame.limit(0), model).count() == 0
+    assert fit_toxicity(docs, marks.where("toxic = 0")) is None and fit_toxicity(docs.limit(0), marks) is None
+    assert {r.score for r in score_toxicity(frame, None).collect()} == {0.0}
+    assert features("") == ([], 0)
+
+
+def test_query(spark):
+    sf = str(DATA / "sf0.01")
+    got = {r.doc_id: r for r in op10_toxicity(spark, sf).collect()}
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    marks = spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null").collect()
+    toxic, clean = ([got[m.doc_id].score for m in marks if m.toxic == t] for t in (1, 0))
+    assert np.mean([a > b for a in toxic for b in clean]) > 0.75  # 44 toxic examples in four languages
