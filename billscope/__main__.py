@@ -2,6 +2,7 @@
 
 import argparse
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +22,8 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--csv", help="folder for CSV exports of the reports")
     parser.add_argument("--year", type=int, required=True, help="year of the MRR and retention reports")
     parser.add_argument("--month", type=int, required=True, help="month to reconcile, 1-12")
+    parser.add_argument("--closed-from", type=date.fromisoformat, help="first day that chargebacks restate; by default the year of the month before")
+    parser.add_argument("--months", type=int, default=13, help="months of the MRR calendar, from the December before the year")
     return parser.parse_args(argv)
 
 
@@ -32,7 +35,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     else:
         staging = staging_from_catalog(spark, args.staging_database)
     store = in_folder(args.out_path) if args.out_path else in_database(args.out_database)
-    layer = write_layer(staging, Periods.for_month(args.year, args.month), store)
+    layer = write_layer(staging, Periods.for_month(args.year, args.month, args.closed_from, args.months), store)
     if args.csv:
         export_layer(layer, args.csv)
 

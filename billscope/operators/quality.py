@@ -37,8 +37,16 @@ def grain_report(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataF
 
 
 def movement_identity_check(rate_of_change: DataFrame, drivers: DataFrame) -> DataFrame:
-    """The drivers of a month must add up to its net change, and to the change in total MRR."""
-    totals = rate_of_change.select("mrr_month", F.col("net_mrr_change_cents").alias("total_change"))
+    """The drivers of a month must add up to its net change, and to the change in total MRR.
+
+    A business's first month has no month before it, hence no change in total MRR to hold the
+    drivers against; such months are counted apart and are no violation.
+    """
+    totals = rate_of_change.select(
+        "mrr_month",
+        F.col("net_mrr_change_cents").alias("total_change"),
+        F.col("net_mrr_change_cents").isNull().alias("first"),
+    )
     split = (
         F.col("new_mrr_cents")
         + F.col("reactivation_mrr_cents")
@@ -50,7 +58,10 @@ def movement_identity_check(rate_of_change: DataFrame, drivers: DataFrame) -> Da
     return drivers.join(totals, "mrr_month", "full").agg(
         F.count("*").alias("months_checked"),
         count_where(~net.eqNullSafe(split)).alias("split_violations"),
-        count_where(~net.eqNullSafe(F.col("total_change"))).alias("total_violations"),
+        count_where(~net.eqNullSafe(F.col("total_change")) & ~F.coalesce("first", F.lit(False))).alias(
+            "total_violations"
+        ),
+        count_where(F.col("first")).alias("months_without_predecessor"),
     )
 
 

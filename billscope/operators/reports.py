@@ -8,8 +8,8 @@ from billscope.functions.numbers import count_where, fraction
 
 
 def largest(value: Column, period: Column) -> Column:
-    """Aggregate: struct(value, period) of the largest value; the earliest period wins a tie."""
-    return F.min(F.struct((-value).alias("negated"), period.alias("period")))
+    """Aggregate: struct(value, period) of the largest value; the earliest period wins a tie, a NULL never."""
+    return F.min(F.when(value.isNotNull(), F.struct((-value).alias("negated"), period.alias("period"))))
 
 
 def mrr_growth_summary(rate_of_change: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def nrr_extremes(nrr: DataFrame) -> DataFrame:
         F.sum("customer_count").alias("customer_count"),
         fraction(F.sum("ending_mrr_cents"), F.sum("starting_mrr_cents"), 4).alias("overall_nrr"),
         largest(rate, month).alias("best"),
-        F.min(F.struct(rate.alias("rate"), month.alias("period"))).alias("worst"),
+        F.min(F.when(rate.isNotNull(), F.struct(rate.alias("rate"), month.alias("period")))).alias("worst"),
     ).select(
         "customer_count",
         "overall_nrr",

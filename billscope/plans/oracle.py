@@ -4,6 +4,8 @@ The SQL states each result by its definition (latest event before a cutoff by ro
 previous month by self-join, ratios in whole numbers) and not in the shape the Spark plans use.
 """
 
+import re
+
 from billscope.functions.months import later_month
 from billscope.plans.periods import SAMPLE_1999, Periods
 
@@ -59,7 +61,7 @@ charges AS (
     NOT (l_returnflag = 'R' AND l_linestatus = 'O') AS captured
   FROM lineitem
 ),
-plan_events AS (
+plan_events AS MATERIALIZED (
   SELECT o_orderkey AS event_id, o_custkey AS customer_id, o_orderdate AS effective_at,
     o_custkey * 2 + CASE WHEN o_totalprice >= 250000 THEN 1 ELSE 0 END AS subscription_id,
     CASE WHEN dom = 30 AND o_orderstatus = 'P' THEN NULL
@@ -133,7 +135,7 @@ attempts AS (
     count(DISTINCT CASE WHEN status = 'succeeded' AND captured THEN charge_id END) AS n_captured,
     count(DISTINCT CASE WHEN status = 'succeeded' AND NOT captured THEN charge_id END) AS n_uncaptured,
     count(DISTINCT CASE WHEN status <> 'succeeded' THEN charge_id END) AS n_failed
-  FROM charges WHERE status IS NOT NULL GROUP BY invoice_id
+  FROM charges WHERE status <> 'succeeded' OR (status = 'succeeded' AND captured IS NOT NULL) GROUP BY invoice_id
 ),
 processor AS (
   SELECT c.invoice_id,
@@ -179,7 +181,7 @@ gaps AS (
          ELSE 'NONE' END AS balance_reduction_severity,
     CASE WHEN processor_balance_amount_cents > invoice_amount_paid_cents THEN 'PROCESSOR_HIGHER'
          ELSE 'BILLING_HIGHER' END AS gap_direction
-  FROM side_by_side WHERE invoice_amount_paid_cents IS DISTINCT FROM processor_balance_amount_cents
+  FROM side_by_side WHERE invoice_amount_paid_cents <> processor_balance_amount_cents
 ),
 taken_back AS (
   SELECT invoice_id AS dispute_id, invoice_id, customer_id, available_on AS balance_available_on,
@@ -213,7 +215,7 @@ closing AS (
     FROM plan_events WHERE effective_at < DATE '{later_month(p.last_month, 1)}'
   ) b
   QUALIFY row_number() OVER (PARTITION BY subscription_id, event_month
-    ORDER BY effective_at DESC, event_id DESC) = 1
+    ORDER BY effective_at DESC, event_id DESC NULLS FIRST) = 1
 ),
 calendar AS (
   SELECT CAST(DATE '{p.anchor_month}' + to_months(CAST(i AS INTEGER)) AS DATE) AS month
@@ -221,10 +223,10 @@ calendar AS (
 ),
 in_force AS (
   SELECT month, e.*,
-    row_number() OVER (PARTITION BY month, subscription_id ORDER BY effective_at DESC, event_id DESC) AS recency
+    row_number() OVER (PARTITION BY month, subscription_id ORDER BY effective_at DESC, event_id DESC NULLS FIRST) AS recency
   FROM calendar JOIN plan_events e ON e.effective_at < month + INTERVAL 1 MONTH
 ),
-state AS (
+state AS MATERIALIZED (
   SELECT subscription_id, event_id AS subscription_event_id, customer_id, kind AS subscription_event_type,
     CAST(month - INTERVAL 1 MONTH AS DATE) AS prev_mrr_month, month AS mrr_month,
     CAST(month + INTERVAL 1 MONTH AS DATE) AS mrr_cutoff, plan_interval,
@@ -241,31 +243,33 @@ totals AS (
   FROM state GROUP BY ALL
 ),
 rate_of_change AS (
-  SELECT t.prev_mrr_month, t.mrr_month, t.mrr_cutoff, b.mrr_cents AS prev_mrr_cents, t.mrr_cents,
-    t.mrr_cents - b.mrr_cents AS net_mrr_change_cents,
-    CAST({half_up("t.mrr_cents - b.mrr_cents", "b.mrr_cents", 10**6)} AS DOUBLE) / 1000000 AS mrr_change_rate,
-    t.customer_count, t.subscription_count
-  FROM totals t LEFT JOIN totals b ON b.mrr_month = t.prev_mrr_month
-  WHERE year(t.mrr_month) = {p.year}
+  SELECT prev_mrr_month, mrr_month, mrr_cutoff, prev_mrr_cents, mrr_cents,
+    mrr_cents - prev_mrr_cents AS net_mrr_change_cents,
+    CAST({half_up("mrr_cents - prev_mrr_cents", "prev_mrr_cents", 10**6)} AS DOUBLE) / 1000000 AS mrr_change_rate,
+    customer_count, subscription_count
+  FROM (SELECT *, (SELECT max_by(b.mrr_cents, b.mrr_month) FROM totals b WHERE b.mrr_month < t.mrr_month) AS prev_mrr_cents
+        FROM totals t)
+  WHERE year(mrr_month) = {p.year}
 ),
 pairs AS (
-  SELECT coalesce(n.subscription_id, b.subscription_id) AS subscription_id,
-    coalesce(n.customer_id, b.customer_id) AS customer_id,
+  SELECT n.subscription_id, coalesce(n.customer_id, b.customer_id) AS customer_id,
     coalesce(n.subscription_event_type, b.subscription_event_type) AS subscription_event_type,
-    coalesce(n.mrr_month, b.mrr_cutoff) AS mrr_month,
-    coalesce(b.mrr_cents, 0) AS prev_mrr_cents, coalesce(n.mrr_cents, 0) AS mrr_cents
-  FROM state n FULL JOIN state b ON b.subscription_id = n.subscription_id AND b.mrr_month = n.prev_mrr_month
+    n.mrr_month, coalesce(b.mrr_cents, 0) AS prev_mrr_cents, coalesce(n.mrr_cents, 0) AS mrr_cents
+  FROM state n LEFT JOIN state b ON b.subscription_id = n.subscription_id AND b.mrr_cutoff = n.mrr_month
+  UNION ALL
+  SELECT subscription_id, customer_id, subscription_event_type, mrr_cutoff, coalesce(mrr_cents, 0), 0
+  FROM state ANTI JOIN (SELECT subscription_id, mrr_month AS mrr_cutoff FROM state) USING (subscription_id, mrr_cutoff)
 ),
 movements AS (
   SELECT subscription_id, customer_id, subscription_event_type, mrr_month, prev_mrr_cents, mrr_cents,
     mrr_cents - prev_mrr_cents AS net_mrr_change_cents,
-    CASE WHEN mrr_cents <= 0 AND prev_mrr_cents <= 0 THEN 'no_mrr'
-         WHEN prev_mrr_cents = 0 AND subscription_event_type = 'reactivated' THEN 'reactivation'
-         WHEN prev_mrr_cents = 0 THEN 'new'
+    CASE WHEN mrr_cents < 0 OR prev_mrr_cents < 0 AND mrr_cents = 0 OR mrr_cents = 0 AND prev_mrr_cents = 0 THEN 'no_mrr'
          WHEN mrr_cents = 0 THEN 'churn'
-         WHEN mrr_cents > prev_mrr_cents THEN 'expansion'
+         WHEN prev_mrr_cents = 0 THEN CASE subscription_event_type WHEN 'reactivated' THEN 'reactivation' ELSE 'new' END
+         WHEN mrr_cents = prev_mrr_cents THEN 'flat'
+         WHEN prev_mrr_cents > 0 AND mrr_cents > prev_mrr_cents THEN 'expansion'
          WHEN mrr_cents < prev_mrr_cents THEN 'contraction'
-         ELSE 'flat' END AS mrr_movement_driver
+         ELSE 'no_mrr' END AS mrr_movement_driver
   FROM pairs WHERE year(mrr_month) = {p.year}
 ),
 drivers AS (
@@ -310,14 +314,17 @@ nrr_ranked AS (
 ),
 customer_moves AS (
   SELECT *,
-    greatest(kept - starting_mrr_cents, 0) AS expansion_mrr_cents,
-    CASE WHEN kept > 0 THEN greatest(starting_mrr_cents - kept, 0) ELSE 0 END AS contraction_mrr_cents,
-    CASE WHEN kept = 0 THEN starting_mrr_cents ELSE 0 END AS churn_mrr_cents,
+    CASE customer_movement_type WHEN 'expanded' THEN kept - starting_mrr_cents ELSE 0 END AS expansion_mrr_cents,
+    CASE customer_movement_type WHEN 'contracted' THEN starting_mrr_cents - kept ELSE 0 END AS contraction_mrr_cents,
+    CASE customer_movement_type WHEN 'churned' THEN starting_mrr_cents ELSE 0 END AS churn_mrr_cents,
     CASE WHEN kept = starting_mrr_cents THEN kept ELSE 0 END AS unchanged_mrr_cents,
-    kept - starting_mrr_cents AS net_mrr_change_cents,
-    CASE WHEN kept = 0 THEN 'churned' WHEN kept = starting_mrr_cents THEN 'unchanged'
-         WHEN kept > starting_mrr_cents THEN 'expanded' ELSE 'contracted' END AS customer_movement_type
-  FROM (SELECT *, coalesce(ending_mrr_cents, 0) AS kept FROM base)
+    kept - starting_mrr_cents AS net_mrr_change_cents
+  FROM (
+    SELECT *, coalesce(ending_mrr_cents, 0) AS kept,
+      CASE WHEN coalesce(ending_mrr_cents, 0) = 0 THEN 'churned' WHEN ending_mrr_cents > starting_mrr_cents THEN 'expanded'
+           WHEN ending_mrr_cents > 0 AND ending_mrr_cents < starting_mrr_cents THEN 'contracted'
+           ELSE 'unchanged' END AS customer_movement_type
+    FROM base)
 ),
 cohort_moves AS (
   SELECT *, {rates} FROM (
@@ -383,7 +390,7 @@ FINAL = {
   max(CAST(status = 'succeeded' AND captured AS INTEGER)) AS captured,
   max(CAST(status = 'succeeded' AND NOT captured AS INTEGER)) AS uncaptured,
   max(CAST(status <> 'succeeded' AS INTEGER)) AS failed
-FROM charges WHERE status IS NOT NULL GROUP BY invoice_id, charge_id""",
+FROM charges WHERE status <> 'succeeded' OR (status = 'succeeded' AND captured IS NOT NULL) GROUP BY invoice_id, charge_id""",
     "processor_side": "SELECT * FROM processor",
     "billed_and_processed": "SELECT * FROM side_by_side",
     "invoice_recon": "SELECT * FROM gaps",
@@ -409,7 +416,7 @@ FROM restated r, (SELECT CAST(sum(invoice_count) AS BIGINT) AS all_invoice_count
   (SELECT count(*) FROM rate_of_change WHERE net_mrr_change_cents < 0) AS declining_months
 FROM (SELECT * FROM rate_of_change ORDER BY mrr_month LIMIT 1) f,
   (SELECT * FROM rate_of_change ORDER BY mrr_month DESC LIMIT 1) l,
-  (SELECT * FROM rate_of_change ORDER BY net_mrr_change_cents DESC, mrr_month LIMIT 1) b""",
+  (SELECT * FROM rate_of_change ORDER BY net_mrr_change_cents DESC NULLS LAST, mrr_month LIMIT 1) b""",
     "month_pairs": "SELECT * FROM pairs",
     "mrr_movements": "SELECT * FROM movements",
     "mrr_movement_drivers": "SELECT * FROM drivers",
@@ -449,7 +456,9 @@ FROM cohort_moves GROUP BY 1""",
     "movement_identity_check": """SELECT count(*) AS months_checked,
   count(*) FILTER (WHERE d.net_mrr_change_cents IS DISTINCT FROM new_mrr_cents + reactivation_mrr_cents
     + expansion_mrr_cents - contraction_mrr_cents - churn_mrr_cents) AS split_violations,
-  count(*) FILTER (WHERE d.net_mrr_change_cents IS DISTINCT FROM r.net_mrr_change_cents) AS total_violations
+  count(*) FILTER (WHERE d.net_mrr_change_cents IS DISTINCT FROM r.net_mrr_change_cents AND r.mrr_month IS NOT NULL
+    AND r.net_mrr_change_cents IS NOT NULL OR r.mrr_month IS NULL) AS total_violations,
+  count(*) FILTER (WHERE r.mrr_month IS NOT NULL AND r.net_mrr_change_cents IS NULL) AS months_without_predecessor
 FROM drivers d FULL JOIN rate_of_change r USING (mrr_month)""",
     "nrr_identity_check": """SELECT count(*) AS cohorts_checked,
   count(*) FILTER (WHERE m.ending_mrr_cents IS DISTINCT FROM m.starting_mrr_cents + expansion_mrr_cents
@@ -464,6 +473,33 @@ FROM cohort_moves m FULL JOIN nrr n USING (paid_signup_cohort_month)""",
 }
 
 
+_CTE = re.compile(r"^(\w+) AS (?:MATERIALIZED )?\(", re.MULTILINE)
+
+
+def _needed(parts: dict[str, str], text: str) -> list[str]:
+    """The named parts that a text needs, in their order."""
+    wanted: set[str] = set()
+    texts = [text]
+    while texts:
+        names = set(re.findall(r"\w+", texts.pop())) & parts.keys() - wanted
+        wanted |= names
+        texts += [parts[name] for name in names]
+    return [name for name in parts if name in wanted]
+
+
+def _named(text: str) -> dict[str, str]:
+    """Parts of a prelude by name; each starts a line."""
+    starts = [*_CTE.finditer(text)]
+    ends = [m.start() for m in starts[1:]] + [len(text)]
+    return {m[1]: text[m.start() : end].strip().rstrip(",") for m, end in zip(starts, ends, strict=True)}
+
+
+def query_sql(name: str, periods: Periods = SAMPLE_1999, staging: str = STAGING) -> str:
+    """One query with the parts it needs; without staging it reads staging relations that are there."""
+    parts = _named(f"{staging.strip()},{layer(periods)}" if staging else layer(periods))
+    prelude = ",\n".join(parts[part] for part in _needed(parts, FINAL[name]))
+    return f"WITH {prelude}\n{FINAL[name]}" if prelude else FINAL[name]
+
+
 def oracle_sql(periods: Periods = SAMPLE_1999) -> dict[str, str]:
-    prelude = f"WITH {STAGING.strip()},{layer(periods)}\n"
-    return {name: prelude + final for name, final in FINAL.items()}
+    return {name: query_sql(name, periods) for name in FINAL}

@@ -8,19 +8,38 @@ from billscope.functions.months import later_month
 
 @dataclass(frozen=True)
 class Periods:
-    """`year` drives MRR and retention; `invoices`, `chargebacks` and `closed` are half-open."""
+    """`year` drives MRR and retention; `invoices`, `chargebacks` and `closed` are half-open.
+
+    The MRR calendar has `n_months` months from the December before the year on.
+    """
 
     year: int
     invoices: tuple[date, date]
     chargebacks: tuple[date, date]
     closed: tuple[date, date]
+    n_months: int = 13
+
+    def __post_init__(self) -> None:
+        for name in ("invoices", "chargebacks", "closed"):
+            start, end = getattr(self, name)
+            if start >= end:
+                raise ValueError(f"the period {name} from {start} to {end} is empty")
+        if self.n_months < 1:
+            raise ValueError("the calendar needs a month")
 
     @classmethod
-    def for_month(cls, year: int, month: int) -> "Periods":
-        """Reconcile one month; its chargebacks restate the closed months of the year before it."""
+    def for_month(
+        cls, year: int, month: int, closed_from: date | None = None, n_months: int = 13
+    ) -> "Periods":
+        """Reconcile one month; its chargebacks restate the closed months before it.
+
+        These start with the year of the month before (so January restates the whole year
+        before it), or with `closed_from`.
+        """
         start = date(year, month, 1)
         whole = (start, later_month(start, 1))
-        return cls(year=year, invoices=whole, chargebacks=whole, closed=(date(year, 1, 1), start))
+        closed_from = closed_from or date(later_month(start, -1).year, 1, 1)
+        return cls(year, invoices=whole, chargebacks=whole, closed=(closed_from, start), n_months=n_months)
 
     @property
     def anchor_month(self) -> date:
@@ -31,10 +50,6 @@ class Periods:
     def last_month(self) -> date:
         return later_month(self.anchor_month, self.n_months - 1)
 
-    @property
-    def n_months(self) -> int:
-        return 13
-
     @property
     def year_start(self) -> date:
         return date(self.year, 1, 1)

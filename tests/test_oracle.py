@@ -6,7 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from billscope.plans import catalog, oracle
 
 TESTDATA = Path("/root/testdata/sf0.01")
 SAME_TYPE = {
@@ -18,7 +18,7 @@ SAME_TYPE = {
     "timestamp_ntz": "TIMESTAMP",
     "boolean": "BOOLEAN",
 }
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -48,9 +48,9 @@ def test_movement_identity(spark):
         "mrr_month",
         F.when(F.month("mrr_month") == 3, 59).otherwise(F.col("net_mrr_change_cents")).alias("net_mrr_change_cents"),
     )
-    assert tuple(quality.movement_identity_check(totals, drivers).first()) == (3, 1, 1)
+    assert tuple(quality.movement_identity_check(totals, drivers).first()) == (3, 1, 1, 0)
     only_one_side = totals.filter(F.month("mrr_month") < 3)
-    assert tuple(quality.movement_identity_check(only_one_side, drivers).first()) == (3, 1, 1)
+    assert tuple(quality.movement_identity_check(only_one_side, drivers).first()) == (3, 1, 1, 0)
 
 
 @pytest.mark.parametrize(
