@@ -7,45 +7,63 @@ from pyspark.sql import functions as F
 
 from billscope.functions import vocabulary as v
 from billscope.functions.months import in_year, later_month, month_of
-from billscope.functions.numbers import quotient, sum_where
+from billscope.functions.numbers import flag, quotient, sum_where
+
+
+EVENT_FIELDS = (
+    "event_effective_at",
+    "subscription_event_id",
+    "customer_id",
+    "subscription_event_type",
+    "previous_plan_amount_cents",
+    "new_plan_amount_cents",
+)
 
 
 def closing_events(events: DataFrame, first_month: date, n_months: int) -> DataFrame:
     """The last event of each subscription in each month, with the month of the next one.
 
-    Only the last event before a month's cutoff can be in force in that month, so events are
-    first reduced to one per (subscription, month); everything before the first reported month
-    is one bucket. The reduction combines map-side: a subscription with very many events ships
-    at most n_months + 1 rows per task, and the LEAD below sorts at most that many per
-    subscription. The order is (effective_at, event id) with a NULL id last; the payload sits
-    behind the ordering fields of one struct, so MAX picks a whole row.
+    Only the last event before a month's cutoff can be in force in that month, so one
+    aggregation by subscription keeps one event for each month, and one for everything before
+    the first reported month. It combines map-side: a subscription with very many events ships
+    one row per task. The next event is then read from the kept ones beside it, without a
+    second shuffle or a window. The order is (effective_at, event id) with a NULL id last; the
+    payload sits behind the ordering fields of one struct, so MAX picks a whole row.
     """
-    before_first = later_month(first_month, -1)
+    months = [later_month(first_month, k) for k in range(-1, n_months)]
+    event = F.struct(
+        "event_effective_at",
+        F.col("subscription_event_id").isNull().alias("id_missing"),
+        "subscription_event_id",
+        "customer_id",
+        "subscription_event_type",
+        "previous_plan_amount_cents",
+        "new_plan_amount_cents",
+    )
     in_scope = events.filter(
         F.col("event_effective_at") < F.lit(later_month(first_month, n_months))
+    ).select(
+        "subscription_id",
+        F.greatest(month_of(F.col("event_effective_at")), F.lit(months[0])).alias("event_month"),
+        event.alias("event"),
     )
-    latest = F.max(
-        F.struct(
-            "event_effective_at",
-            F.col("subscription_event_id").isNull().alias("id_missing"),
-            "subscription_event_id",
-            "customer_id",
-            "subscription_event_type",
-            "previous_plan_amount_cents",
-            "new_plan_amount_cents",
-        )
+    latest = [F.max(F.when(F.col("event_month") == F.lit(m), F.col("event"))) for m in months]
+    of_month = (
+        F.struct(F.lit(m).alias("event_month"), F.col(f"latest_{k}").alias("event"))
+        for k, m in enumerate(months)
     )
-    by_subscription = Window.partitionBy("subscription_id").orderBy("event_month")
+    held = F.filter(F.array(*of_month), lambda kept: kept["event"].isNotNull())
     return (
-        in_scope.withColumn(
-            "event_month",
-            F.greatest(month_of(F.col("event_effective_at")), F.lit(before_first)),
+        in_scope.groupBy("subscription_id")
+        .agg(*(column.alias(f"latest_{k}") for k, column in enumerate(latest)))
+        .select("subscription_id", held.alias("held"))
+        .select("subscription_id", "held", F.posexplode("held").alias("place", "kept"))
+        .select(
+            "subscription_id",
+            F.col("kept.event_month").alias("event_month"),
+            *(F.col(f"kept.event.{f}").alias(f) for f in EVENT_FIELDS),
+            F.get("held", F.col("place") + 1)["event_month"].alias("next_event_month"),
         )
-        .groupBy("subscription_id", "event_month")
-        .agg(latest.alias("event"))
-        .select("subscription_id", "event_month", "event.*")
-        .drop("id_missing")
-        .withColumn("next_event_month", F.lead("event_month").over(by_subscription))
     )
 
 
@@ -81,7 +99,7 @@ def mrr_state(
 
     As-of matching needs no range join: each closing event is joined to its plan once and
     expanded into the months it holds, so the work grows with live subscription-months. The
-    join and the LEAD share one shuffle by subscription.
+    join shares the events' only shuffle.
     """
     first, last = event_months(first_month, n_months)
     held = (
@@ -113,14 +131,20 @@ def mrr_state(
 def mrr_totals(state: DataFrame) -> DataFrame:
     """Total MRR, customers and subscriptions per month.
 
-    The neighbouring months follow from the month, so they stay out of the grouping keys that
-    the two distinct counts carry through the shuffle.
+    Two distinct counts side by side would send every state row three times. Here each
+    (subscription, month) marks one of its rows, on the partitioning a lazy state already has,
+    and one aggregation by (month, customer) gives both counts and the sum.
     """
+    one_row = Window.partitionBy("subscription_id", "mrr_month").orderBy("customer_id")
+    first = F.col("subscription_id").isNotNull() & (F.row_number().over(one_row) == 1)
     return (
-        state.groupBy("mrr_month")
+        state.select("mrr_month", "customer_id", "mrr_cents", flag(first).alias("subscription"))
+        .groupBy("mrr_month", "customer_id")
+        .agg(F.sum("mrr_cents").alias("mrr_cents"), F.sum("subscription").alias("subscriptions"))
+        .groupBy("mrr_month")
         .agg(
-            F.countDistinct("customer_id").alias("customer_count"),
-            F.countDistinct("subscription_id").alias("subscription_count"),
+            F.count("customer_id").alias("customer_count"),
+            F.sum("subscriptions").alias("subscription_count"),
             F.sum("mrr_cents").alias("mrr_cents"),
         )
         .select(

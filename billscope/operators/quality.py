@@ -7,7 +7,7 @@ result cannot pass for a clean one.
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billscope.functions.numbers import count_where
@@ -18,22 +18,46 @@ def grain_violations(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     return table.groupBy(*keys).agg(F.count("*").alias("row_count")).filter("row_count > 1")
 
 
-def grain_report(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """One row per table: rows, distinct keys, and keys that occur more than once."""
+# A table's rows, the columns that identify one, and which rows count.
+Grain = tuple[DataFrame, Sequence[str], Mapping[str, Column]]
 
-    def one(name: str, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return (
-            table.groupBy(*keys)
-            .agg(F.count("*").alias("n"))
-            .agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-                F.count("*").alias("key_count"),
-                count_where(F.col("n") > 1).alias("repeated_key_count"),
+
+def grain_report(tables: Sequence[Grain]) -> DataFrame:
+    """One row per table: rows, distinct keys, and keys that occur more than once.
+
+    A table that is a part of another one's rows is counted in the same pass: each grain names
+    the tables in it and the condition that makes a row one of theirs.
+    """
+
+    def one(table: DataFrame, keys: Sequence[str], parts: Mapping[str, Column]) -> DataFrame:
+        counted = table.groupBy(*keys).agg(*(count_where(is_row).alias(name) for name, is_row in parts.items()))
+        summed = counted.agg(
+            *(
+                F.struct(
+                    F.lit(name).alias("table_name"),
+                    F.lit(", ".join(keys)).alias("grain"),
+                    F.coalesce(F.sum(name), F.lit(0)).alias("row_count"),
+                    count_where(F.col(name) > 0).alias("key_count"),
+                    count_where(F.col(name) > 1).alias("repeated_key_count"),
+                ).alias(name)
+                for name in parts
             )
-            .select(F.lit(name).alias("table_name"), F.lit(", ".join(keys)).alias("grain"), "*")
         )
+        return summed.select(F.inline(F.array(*parts)))
+
+    return reduce(DataFrame.unionByName, (one(*grain) for grain in tables))
+
+
+def grain_listing(tables: Sequence[Grain]) -> DataFrame:
+    """The repeated keys behind the report: table, key (columns joined by a comma) and rows."""
+
+    def one(table: DataFrame, keys: Sequence[str], parts: Mapping[str, Column]) -> DataFrame:
+        counted = table.groupBy(*keys).agg(*(count_where(is_row).alias(name) for name, is_row in parts.items()))
+        key = F.concat_ws(", ", *(F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys))
+        each = F.array(*(F.struct(F.lit(name).alias("table_name"), F.col(name).alias("row_count")) for name in parts))
+        return counted.select(key.alias("key"), F.inline(each)).filter("row_count > 1")
 
-    return reduce(DataFrame.unionByName, (one(n, t, k) for n, (t, k) in tables.items()))
+    return reduce(DataFrame.unionByName, (one(*grain) for grain in tables)).select("table_name", "key", "row_count")
 
 
 def movement_identity_check(rate_of_change: DataFrame, drivers: DataFrame) -> DataFrame:

@@ -19,11 +19,17 @@ def invoice_cohort(
     invoices: DataFrame, start: date, end: date, method: str = v.CHARGE_AUTOMATICALLY
 ) -> DataFrame:
     """Paid invoices created in [start, end) and collected by `method`; one row per invoice."""
-    return invoices.filter(
+    return invoices.filter(in_cohort(start, end, method)).select(
+        "invoice_id", "customer_id", "invoice_amount_paid_cents"
+    )
+
+
+def in_cohort(start: date, end: date, method: str = v.CHARGE_AUTOMATICALLY) -> Column:
+    return (
         within(F.col("invoice_created"), start, end)
         & F.col("invoice_paid")
         & (F.col("invoice_collection_method") == method)
-    ).select("invoice_id", "customer_id", "invoice_amount_paid_cents")
+    )
 
 
 def ledger_movements(balance_transactions: DataFrame) -> DataFrame:

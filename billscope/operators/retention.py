@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from billscope.functions import vocabulary as v
-from billscope.functions.months import month_of
+from billscope.functions.months import later_month, month_of
 from billscope.functions.numbers import count_where, fraction, percent
 
 
@@ -23,8 +23,12 @@ def paid_signup_cohort(invoices: DataFrame, before: date) -> DataFrame:
     """Customers whose first payment fell in a month before `before`, with that month.
 
     The date test follows the MIN: a later payment must not stand in for an early first one.
+    An upper bound may also precede it, and prunes the scan: a customer without an invoice
+    below the bound has no first one below it either.
     """
-    return first_paid_invoices(invoices).withColumn(
+    month = before.replace(day=1)
+    bound = month if month == before else later_month(month, 1)
+    return first_paid_invoices(invoices.filter(F.col("invoice_created") < F.lit(bound))).withColumn(
         "paid_signup_cohort_month", month_of(F.col("first_paid_invoice_date"))
     ).filter(F.col("paid_signup_cohort_month") < F.lit(before))
 

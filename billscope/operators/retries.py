@@ -11,8 +11,13 @@ from billscope.operators.reconciliation import attempts_by_invoice
 
 
 def exhausted_invoices(invoices: DataFrame, charges: DataFrame) -> DataFrame:
-    """Invoices with at least one failed charge attempt and none that collected money."""
-    outcome = attempts_by_invoice(charges).filter(
+    """Invoices with at least one failed charge attempt and none that collected money.
+
+    Charges of other invoices go first: where the invoices are few the semi join prunes the
+    scan, else it moves the history once, and what is aggregated afterwards is only theirs.
+    """
+    own = charges.join(invoices.select("invoice_id"), "invoice_id", "left_semi")
+    outcome = attempts_by_invoice(own).filter(
         (F.col("processor_failed_charge_count") > 0) & (F.col("processor_captured_charge_count") == 0)
     )
     return invoices.select("invoice_id", "customer_id", "invoice_created").join(
@@ -27,7 +32,8 @@ def retry_exhausted_revenue_lost(
 
     Only the result's columns are given for this report, so the definition is ours. Both sides
     are one row per (customer, month) before they meet; movements are one row per
-    (subscription, month), so the row count is the subscription count.
+    (subscription, month), so the row count is the subscription count. Invoices are cut to the
+    customers that churned a month later before any charge is looked at.
     """
     churned = (
         mrr_movements(state, year)
@@ -40,8 +46,13 @@ def retry_exhausted_revenue_lost(
     )
     month_after = F.add_months(month_of(F.col("invoice_created")), 1)
     relevant = within(F.col("invoice_created"), date(year - 1, 12, 1), date(year, 12, 1))
+    before_churn = (
+        invoices.filter(relevant)
+        .select("invoice_id", "customer_id", "invoice_created", month_after.alias("mrr_month"))
+        .join(churned, ["customer_id", "mrr_month"], "left_semi")
+    )
     exhausted = (
-        exhausted_invoices(invoices.filter(relevant), charges)
+        exhausted_invoices(before_churn, charges)
         .select("customer_id", month_after.alias("mrr_month"))
         .distinct()
     )

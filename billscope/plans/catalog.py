@@ -43,6 +43,7 @@ QUERIES = (
     "customer_nrr_movement",
     "cohort_nrr_movement",
     "dominant_negative_driver",
+    "grain_report",
     "grain_violations",
     "movement_identity_check",
     "nrr_identity_check",

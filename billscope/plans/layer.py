@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from billscope.operators import chargebacks, mrr, quality, reconciliation, reports, retention, retries
 from billscope.plans.periods import Periods
@@ -179,24 +180,30 @@ class Layer:
     def dominant_negative_driver(self) -> DataFrame:
         return reports.dominant_negative_driver(self.cohort_nrr_movement)
 
+    @cached_property
+    def _grains(self) -> list[quality.Grain]:
+        s, every = self.staging, F.lit(True)
+        cohort = reconciliation.in_cohort(*self.periods.invoices)
+        return [
+            (s.invoices, ["invoice_id"], {"invoices": every, "invoice_cohort": cohort}),
+            (s.balance_transactions, ["balance_transaction_id"], {"balance_transactions": every}),
+            (s.charges, ["charge_id"], {"charges": every}),
+            (s.disputes, ["dispute_id"], {"disputes": every}),
+            (s.subscription_events, ["subscription_event_id"], {"subscription_events": every}),
+            (s.subscriptions, ["subscription_id"], {"subscriptions": every}),
+            (self.processor_side, ["invoice_id"], {"processor_side": every}),
+            (self.mrr_state, ["subscription_id", "mrr_month"], {"mrr_state": every}),
+            (self.paid_signup_cohort, ["customer_id"], {"paid_signup_cohort": every}),
+            (self.customer_nrr_base, ["customer_id"], {"customer_nrr_base": every}),
+        ]
+
+    @cached_property
+    def grain_report(self) -> DataFrame:
+        return quality.grain_report(self._grains)
+
     @cached_property
     def grain_violations(self) -> DataFrame:
-        s = self.staging
-        return quality.grain_report(
-            {
-                "invoices": (s.invoices, ["invoice_id"]),
-                "balance_transactions": (s.balance_transactions, ["balance_transaction_id"]),
-                "charges": (s.charges, ["charge_id"]),
-                "disputes": (s.disputes, ["dispute_id"]),
-                "subscription_events": (s.subscription_events, ["subscription_event_id"]),
-                "subscriptions": (s.subscriptions, ["subscription_id"]),
-                "invoice_cohort": (self.invoice_cohort, ["invoice_id"]),
-                "processor_side": (self.processor_side, ["invoice_id"]),
-                "mrr_state": (self.mrr_state, ["subscription_id", "mrr_month"]),
-                "paid_signup_cohort": (self.paid_signup_cohort, ["customer_id"]),
-                "customer_nrr_base": (self.customer_nrr_base, ["customer_id"]),
-            }
-        )
+        return quality.grain_listing(self._grains)
 
     @cached_property
     def movement_identity_check(self) -> DataFrame:

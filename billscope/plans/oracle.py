@@ -373,6 +373,15 @@ FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys})"""
     )
 
 
+def _listing_sql() -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name,
+  concat_ws(', ', {", ".join(f"coalesce(CAST({k} AS VARCHAR), 'NULL')" for k in keys.split(", "))}) AS key, count(*) AS row_count
+FROM {table} GROUP BY {keys} HAVING count(*) > 1"""
+        for name, (table, keys) in GRAINS.items()
+    )
+
+
 def _peaks_sql() -> str:
     return " UNION ALL ".join(
         f"""SELECT '{d}' AS driver,
@@ -452,7 +461,8 @@ FROM nrr GROUP BY year(paid_signup_cohort_month)""",
   count(*) AS cohort_count, CAST(sum(churn_mrr_cents) AS BIGINT) AS churn_mrr_cents,
   CAST(sum(contraction_mrr_cents) AS BIGINT) AS contraction_mrr_cents
 FROM cohort_moves GROUP BY 1""",
-    "grain_violations": _grain_sql(),
+    "grain_report": _grain_sql(),
+    "grain_violations": _listing_sql(),
     "movement_identity_check": """SELECT count(*) AS months_checked,
   count(*) FILTER (WHERE d.net_mrr_change_cents IS DISTINCT FROM new_mrr_cents + reactivation_mrr_cents
     + expansion_mrr_cents - contraction_mrr_cents - churn_mrr_cents) AS split_violations,

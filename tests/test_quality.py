@@ -16,15 +16,24 @@ def test_grain_violations_and_report(spark):
         (0, "c", 2),
         (1, "b", 2),
     ]
-    report = by_key(
-        quality.grain_report({"clean": (clean, ["id"]), "repeated": (repeated, ["id", "k"]), "empty": (empty, ["id"])}),
-        "table_name",
-    )
+    every, part = F.lit(True), F.col("k") == "b"
+    grains = [
+        (clean, ["id"], {"clean": every}),
+        (repeated, ["id", "k"], {"repeated": every, "part": part}),
+        (empty, ["id"], {"empty": every}),
+    ]
+    report = by_key(quality.grain_report(grains), "table_name")
     assert {t: (r["grain"], r["row_count"], r["key_count"], r["repeated_key_count"]) for t, r in report.items()} == {
         "clean": ("id", 2, 2, 0),
         "repeated": ("id, k", 5, 3, 2),
+        "part": ("id, k", 2, 1, 1),
         "empty": ("id", 0, 0, 0),
     }
+    assert sorted(tuple(r) for r in quality.grain_listing(grains).collect()) == [
+        ("part", "1, b", 2),
+        ("repeated", "1, b", 2),
+        ("repeated", "NULL, c", 2),
+    ]
 
 
 def monthly(spark, rows):
