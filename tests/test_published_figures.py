@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 
 from billscope.functions.months import later_month
-from billscope.operators import chargebacks, mrr, reports, retention
+from billscope.operators import chargebacks, mrr, quality, reconciliation, reports, retention
 from tests.fixtures import by_key
 
 DECEMBER = date(2023, 12, 1)
@@ -29,6 +29,20 @@ CHURN = [
     3282200, 6553902, 6328816, 8832685, 9305232, 7857555,
     9859201, 15891665, 7355502, 8760584, 10663783, 9354672,
 ]
+# The other drivers and the net change in cents, January to December 2024.
+NEW = [
+    21051550, 22862945, 24710093, 22086410, 22920043, 23947049,
+    23859217, 22240708, 21505758, 18801811, 20709974, 18987508,
+]
+REACTIVATION = [0, 0, 1197300, 1266600, 1565000, 986800, 2155100, 2224000, 458500, 0, 0, 0]
+CONTRACTION = [
+    1816665, 2508331, 3051666, 2613331, 2508330, 2926663,
+    6631662, 3611666, 4033332, 2925000, 3843334, 4851664,
+]
+NET_CHANGE = [
+    22401017, 19662377, 24150248, 19635329, 20901480, 34912959,
+    18091789, 13396376, 20438753, 16761227, 19704526, 18947840,
+]
 # Starting and ending MRR in cents of the cohorts January 2022 to December 2023.
 COHORT_STARTING = [
     30465007, 31007853, 33889574, 30721238, 30098095, 27752509, 29805135, 25763426,
@@ -40,6 +54,19 @@ COHORT_ENDING = [
     23778174, 25439254, 23301118, 24943643, 24292821, 27191243, 22716503, 27961890,
     25869741, 26567046, 24731396, 21484645, 22356840, 22155340, 20502256, 22894918,
 ]
+# Expansion, contraction and churn in cents of the same cohorts.
+COHORT_EXPANSION = [
+    3180502, 2094484, 13412385, 2797733, 2771997, 1892198, 2649066, 2057366, 3014866, 3708251, 2387367, 2197502,
+    3533947, 3739766, 3633588, 4016236, 4741435, 4889031, 4584618, 4133001, 4712380, 4115133, 4719635, 3891682,
+]
+COHORT_CONTRACTION = [
+    1022667, 1139466, 701250, 1162898, 1076583, 1419500, 1031100, 1099652, 613132, 1112867, 1076483, 809898,
+    1168231, 1571566, 4662781, 1628132, 1348230, 1446445, 1111466, 1181564, 1108334, 971767, 711648, 766733,
+]
+COHORT_CHURN = [
+    3443752, 3571533, 3699202, 3833416, 3445438, 3078568, 4792682, 3168635, 2826634, 3280849, 2803688, 1926300,
+    1625800, 2453500, 2881700, 1884600, 3092500, 2523400, 2015000, 1724600, 1825200, 2513500, 1924300, 2084400,
+]
 # NRR of the same cohorts.
 COHORT_NRR = [
     0.9578, 0.9156, 1.2659, 0.9284, 0.9419, 0.9061, 0.8935, 0.9142, 0.9824, 0.9738, 0.9398, 0.9789,
@@ -95,18 +122,46 @@ def test_growth_summary(rates):
     assert (row.best_month, row.best_gain_cents, row.declining_months) == (date(2024, 6, 1), 34912959, 0)
 
 
-def test_driver_peaks(spark):
-    rows = [(later_month(DECEMBER, i + 1), 0, 0, e, 0, c) for i, (e, c) in enumerate(zip(EXPANSION, CHURN))]
-    drivers = spark.createDataFrame(
-        rows,
-        "mrr_month date, new_mrr_cents bigint, reactivation_mrr_cents bigint, expansion_mrr_cents bigint,"
-        " contraction_mrr_cents bigint, churn_mrr_cents bigint",
-    )
+@pytest.fixture(scope="module")
+def drivers(spark):
+    months = [later_month(DECEMBER, i + 1) for i in range(12)]
+    rows = list(zip(months, NET_CHANGE, NEW, REACTIVATION, EXPANSION, CONTRACTION, CHURN, strict=True))
+    names = ("net_mrr_change", "new_mrr", "reactivation_mrr", "expansion_mrr", "contraction_mrr", "churn_mrr")
+    return spark.createDataFrame(rows, "mrr_month date, " + ", ".join(f"{n}_cents bigint" for n in names))
+
+
+def test_driver_peaks(drivers):
     found = by_key(reports.mrr_driver_peaks(drivers), "driver")
     assert (found["expansion"]["peak_month"], found["expansion"]["peak_cents"]) == (date(2024, 6, 1), 20763328)
     assert (found["churn"]["peak_month"], found["churn"]["peak_cents"]) == (date(2024, 8, 1), 15891665)
-    assert found["expansion"]["total_cents"] == 120834996
-    assert found["new"]["peak_month"] == date(2024, 1, 1)
+    totals = {d: r["total_cents"] for d, r in found.items()}
+    assert totals == {
+        "new": 263683066,
+        "reactivation": 9853300,
+        "expansion": 120834996,
+        "contraction": 41321644,
+        "churn": 104045797,
+    }
+
+
+def test_drivers_explain_every_month(rates, drivers):
+    assert tuple(quality.movement_identity_check(rates, drivers).first()) == (12, 0, 0, 0)
+
+
+def test_evidence_split(spark):
+    """239 gaps: 199 explained by a refund, 40 by a lost dispute; sums and means as published."""
+    groups = [(1, 0, "PARTIAL", 199, 1693390), (0, 1, "PARTIAL", 40, 3023840)]
+    rows = [
+        (refund, dispute, severity, total // n + (k < total % n))
+        for refund, dispute, severity, n, total in groups
+        for k in range(n)
+    ]
+    gaps = spark.createDataFrame(rows, "has_refund int, has_dispute int, balance_reduction_severity string, recon_gap_cents bigint")
+    found = by_key(reconciliation.recon_summary(gaps), "has_refund")
+    assert {k: (r["invoice_count"], r["total_gap_cents"], float(r["mean_gap_cents"])) for k, r in found.items()} == {
+        1: (199, 1693390, 8509.5),
+        0: (40, 3023840, 75596.0),
+    }
 
 
 def test_cohort_nrr_and_ranks(nrr):
@@ -153,6 +208,31 @@ def test_cohort_rates(spark):
     assert {d: r["cohort_count"] for d, r in dominant.items()} == {"churn": 2, "contraction": 1}
 
 
+def test_cohort_movements_explain_every_cohort(spark, nrr):
+    """All 24 cohorts, four customers each: the movements add up and agree with the NRR report."""
+    rows = []
+    cohorts = zip(COHORT_STARTING, COHORT_EXPANSION, COHORT_CONTRACTION, COHORT_CHURN, strict=True)
+    for i, (start, expansion, contraction, churn) in enumerate(cohorts):
+        month, rest = later_month(date(2022, 1, 1), i), start - contraction - 1 - churn
+        rows += [
+            (f"{i}g", month, 1, 1 + expansion),
+            (f"{i}s", month, contraction + 1, 1),
+            (f"{i}l", month, churn, None),
+            (f"{i}h", month, rest - 1, rest - 1),
+        ]
+    base = spark.createDataFrame(
+        rows, "customer_id string, paid_signup_cohort_month date, starting_mrr_cents bigint, ending_mrr_cents bigint"
+    )
+    movement = retention.cohort_nrr_movement(retention.customer_nrr_movement(base))
+    report = retention.cohort_nrr(base)
+    assert tuple(quality.nrr_identity_check(report, movement).first()) == (24, 0, 0, 0)
+    found = movement.orderBy("paid_signup_cohort_month").collect()
+    assert [r.ending_mrr_cents for r in found] == COHORT_ENDING
+    assert [round(float(r.nrr_pct) / 100, 4) for r in found] == COHORT_NRR
+    dominant = by_key(reports.dominant_negative_driver(movement), "dominant_driver")
+    assert {d: r["cohort_count"] for d, r in dominant.items()} == {"churn": 23, "contraction": 1}
+
+
 def test_chargeback_share(spark):
     # Reason, invoices and lost cents of the June 2024 chargebacks.
     restated = spark.createDataFrame(
