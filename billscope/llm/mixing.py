@@ -37,7 +37,7 @@ def poisson_cdf(rate: float) -> list[float]:
 def source_rates(documents: DataFrame, weights: DataFrame | None = None, total: float | None = None) -> DataFrame:
     """source, chars, share, rate: mean repetitions that give each source its share of total characters.
 
-    weights: source, weight (not negative; a source without one gets none). total: as many characters as there are.
+    weights: source, weight (not negative; a source without one gets none, and those of absent sources don't count). total: as many characters as there are.
     """
     sizes = documents.groupBy("source").agg(F.sum(F.length("text")).cast("double").alias("chars"))
     if weights is None:

@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from billscope.llm.text import batches, plain_words, texts
 
 #: Bounds of what is fitted on: toxic examples, unlabelled documents, and features that the classifier may use.
-MAX_TOXIC = 4000
-MAX_UNLABELLED = 12000
-MAX_FEATURES = 400
+MAX_TOXIC = 2000
+MAX_UNLABELLED = 6000
+MAX_FEATURES = 300
 #: Standard deviations by which a feature's count must exceed chance.
-MIN_EXCESS = 4.0
+MIN_EXCESS = 5.0
 FOLDS = 5
 HASH_BITS = 24
 
@@ -37,7 +37,7 @@ def _hash(kind: int, part: bytes) -> int:
 
 def word_features(word: bytes) -> tuple[int, ...]:
     """The word itself and how it begins: invented endings don't hide a word."""
-    return tuple(_hash(len(part) if part is not word else 0, part) for part in ([word] + [word[:n] for n in (4, 5, 6) if len(word) > n]))
+    return tuple(_hash(len(part) if part is not word else 0, part) for part in ([word] + [word[:n] for n in (4, 5) if len(word) > n]))
 
 
 @lru_cache(maxsize=300_000)
@@ -85,12 +85,27 @@ def nnpu_fit(toxic: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int
     return weights
 
 
-def telling_features(in_toxic: np.ndarray, in_other: np.ndarray, n_toxic: int, n_other: int, most: int) -> np.ndarray:
+def unlike(found: list[np.ndarray]) -> list[int]:
+    """Which rows to keep so that near copies, which mostly agree in their features of least rank, count once."""
+    first = {}
+    for k, some in enumerate(found):
+        ranks = (np.asarray(some, np.uint32) * np.uint32(0x9E3779B1)) ^ np.uint32(0x5BD1E995)
+        first.setdefault(tuple(np.sort(ranks)[:6].tolist()) or k, k)
+    return sorted(first.values())
+
+
+def telling_features(toxic: list[np.ndarray], other: list[np.ndarray], most: int) -> np.ndarray:
     """Features that toxic examples hold far more often than other text would by chance, the clearest first."""
-    expected = n_toxic * (in_other + 0.5) / (n_other + 1)
-    excess = np.where(in_toxic >= 3, (in_toxic - expected) / np.sqrt(expected + 1), 0)
+    found, in_toxic = np.unique(np.concatenate(toxic), return_counts=True)
+    found, in_toxic = found[in_toxic >= 3], in_toxic[in_toxic >= 3]
+    in_other = np.zeros(len(found), np.int64)
+    for some in other if len(found) else []:
+        at = np.minimum(np.searchsorted(found, some), len(found) - 1)
+        in_other[at[found[at] == some]] += 1
+    expected = len(toxic) * (in_other + 0.5) / (len(other) + 1)
+    excess = (in_toxic - expected) / np.sqrt(expected + 1)
     chosen = np.argsort(-excess, kind="stable")[:most]
-    return chosen[excess[chosen] > MIN_EXCESS]
+    return found[chosen[excess[chosen] > MIN_EXCESS]]
 
 
 def _rows(found: list[list[int]], lengths: np.ndarray, index: dict[int, int]) -> np.ndarray:
@@ -143,12 +158,10 @@ def fit_toxicity(
 
     both = toxic.unionByName(some.select("doc_id", "text", F.lit(0).alias("toxic")))
     fitted = both.mapInArrow(featured, "doc_id long, toxic int, n_words long, features array<int>").toPandas().sort_values(["toxic", "doc_id", "n_words"])
-    positive, other = fitted[fitted.toxic == 1], fitted[fitted.toxic == 0]
+    positive, other = (part.iloc[unlike(list(part.features))] for part in (fitted[fitted.toxic == 1], fitted[fitted.toxic == 0]))
     if positive.empty or other.empty:
         return None
-    counts = [np.bincount(np.concatenate([*part.features, np.empty(0, np.int32)]).astype(np.int64), minlength=1 << HASH_BITS) for part in (positive, other)]
-    usual = [(n + 0.5) / (len(part) + 1) for n, part in zip(counts, (positive, other), strict=True)]
-    chosen = telling_features(*counts, len(positive), len(other), max_features)
+    chosen = telling_features(list(positive.features), list(other.features), max_features)
     index = {int(f): k for k, f in enumerate(chosen)}
     logs = [np.log1p(part.n_words.to_numpy(float)) for part in (positive, other)]
     mean, deviation = float(logs[1].mean()), float(logs[1].std()) or 1.0
