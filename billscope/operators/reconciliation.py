@@ -95,28 +95,39 @@ def ledger_by_invoice(balance_transactions: DataFrame) -> DataFrame:
 def attempts_by_invoice(charges: DataFrame) -> DataFrame:
     """Distinct charges of each invoice by outcome.
 
-    Counts straight from the masks: a projection in between would keep Catalyst from moving a
-    semi join on the invoice below both aggregations.
+    Counts straight from the masks, one aggregation on the other.
     """
     return outcome_masks(charges).groupBy("invoice_id").agg(
         *(count_where(had(bit)).alias(f"processor_{name}_charge_count") for name, bit in OUTCOMES.items())
     )
 
 
+def charges_of(charges: DataFrame, invoices: DataFrame) -> DataFrame:
+    """Charges of these invoices, spread by charge.
+
+    Dealing the rows out anew costs a shuffle of what is left, and without it everything after
+    the join would stay on its partitioning by invoice: adaptive execution could not split an
+    invoice with very many attempts, and one task would aggregate it.
+    """
+    own = charges.join(invoices.select("invoice_id"), "invoice_id", "left_semi")
+    return own.repartition("invoice_id", "charge_id")
+
+
 def processor_side(
     balance_transactions: DataFrame, charges: DataFrame, cohort: DataFrame
 ) -> DataFrame:
     """What the processor shows for each cohort invoice; one row per invoice.
 
     Ledger and charges are aggregated apart, so they cannot fan out, and an invoice known to
-    only one of them keeps its row. The cohort is applied above the aggregations: Catalyst
-    moves the semi joins down to the scans when the cohort is small enough to broadcast, and
-    otherwise joins rows that are already one per invoice, so an invoice with very many ledger
-    rows or attempts never lands in one join task. All joins share the aggregations' shuffle.
+    only one of them keeps its row. A small cohort prunes both scans. Beyond a broadcast, the
+    ledger is summed by invoice (map-side first) before it meets the cohort; the charges, which
+    need a distinct count, meet it as narrow rows, so their history moves once and both
+    aggregations after it are of cohort size. An invoice with very many attempts is a skewed
+    key of that one join, which adaptive execution splits, and is spread over its charges next.
     """
     invoice_ids = cohort.select("invoice_id")
     ledger = ledger_by_invoice(balance_transactions).join(invoice_ids, "invoice_id", "left_semi")
-    attempts = attempts_by_invoice(charges).join(invoice_ids, "invoice_id", "left_semi")
+    attempts = attempts_by_invoice(charges_of(charges, cohort))
     both = ledger.join(attempts, "invoice_id", "full")
     zeros = [c for c in both.columns if c != "invoice_id" and not c.endswith("_date")]
     has_charge_row, captured = F.col("has_charge_row") == 1, F.col("processor_captured_charge_count")

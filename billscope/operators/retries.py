@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from billscope.functions.months import month_of, within
 from billscope.operators.mrr import mrr_movements
-from billscope.operators.reconciliation import attempts_by_invoice
+from billscope.operators.reconciliation import attempts_by_invoice, charges_of
 
 
 def exhausted_invoices(invoices: DataFrame, charges: DataFrame) -> DataFrame:
@@ -16,8 +16,7 @@ def exhausted_invoices(invoices: DataFrame, charges: DataFrame) -> DataFrame:
     Charges of other invoices go first: where the invoices are few the semi join prunes the
     scan, else it moves the history once, and what is aggregated afterwards is only theirs.
     """
-    own = charges.join(invoices.select("invoice_id"), "invoice_id", "left_semi")
-    outcome = attempts_by_invoice(own).filter(
+    outcome = attempts_by_invoice(charges_of(charges, invoices)).filter(
         (F.col("processor_failed_charge_count") > 0) & (F.col("processor_captured_charge_count") == 0)
     )
     return invoices.select("invoice_id", "customer_id", "invoice_created").join(
