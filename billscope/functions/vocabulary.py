@@ -2,7 +2,6 @@
 
 # Invoice collection and status words.
 CHARGE_AUTOMATICALLY = "charge_automatically"
-SEND_INVOICE = "send_invoice"
 INVOICE_PAID = "paid"
 
 # Reporting categories of the processor ledger that move invoice money.
@@ -15,9 +14,7 @@ LEDGER_CATEGORIES = (CHARGE, REFUND, DISPUTE, DISPUTE_REVERSAL)
 # Charge attempt status of an approved charge.
 SUCCEEDED = "succeeded"
 
-# Subscription event types.
-CREATED = "created"
-UPGRADED = "upgraded"
+# Subscription event types that the operators tell apart.
 DOWNGRADED = "downgraded"
 CANCELED = "canceled"
 REACTIVATED = "reactivated"

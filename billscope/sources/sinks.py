@@ -1,6 +1,8 @@
 """Writing results: analytics tables and CSV exports."""
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 
@@ -14,12 +16,22 @@ def _gathered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def _plain(path: str) -> str:
+    """A path without the scheme and slashes that only some spellings of it have."""
+    return re.sub(r"^[a-z0-9]+:/*", "/", unquote(path)).rstrip("/")
+
+
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write `df` as a parquet table, replacing what is there, and return it read back.
 
-    The counterpart of CREATE OR REPLACE TABLE AS. Later steps read the written files, so an
-    executor lost afterwards costs a re-read and not a recomputation.
+    The counterpart of CREATE OR REPLACE TABLE AS, but for one thing: the files are replaced in
+    place, so a run that fails while writing leaves no table where the statement would leave the
+    old one. A folder that `df` itself reads is refused. Later steps read the written files, so
+    an executor lost afterwards costs a re-read and not a recomputation.
     """
+    target = _plain(path) + "/"
+    if any(_plain(file).startswith(target) for file in df.inputFiles()):
+        raise ValueError(f"{path} is an input of the table that would replace it")
     _gathered(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 

@@ -132,3 +132,11 @@ def test_periods_of_a_month():
     assert JUNE_2024.closed == (date(2024, 1, 1), date(2024, 6, 1))
     assert (JUNE_2024.anchor_month, JUNE_2024.last_month) == (date(2023, 12, 1), date(2024, 12, 1))
     assert Periods.for_month(2024, 12).invoices == (date(2024, 12, 1), date(2025, 1, 1))
+
+
+def test_a_table_is_not_replaced_by_what_is_read_from_it(spark, tmp_path):
+    path = f"{tmp_path}/numbers"
+    stored = replace_table(spark.range(3), path)
+    with pytest.raises(ValueError, match="input"):
+        replace_table(stored.filter("id > 0"), f"file:{path}/")
+    assert replace_table(spark.range(5), path).count() == 5
