@@ -36,7 +36,7 @@ def plain_words(text: str) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hash of a word, kept for words seen before; bounded."""
 
-    LIMIT = 300_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

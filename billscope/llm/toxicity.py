@@ -40,7 +40,7 @@ def word_features(word: bytes) -> tuple[int, ...]:
     return tuple(_hash(len(part) if part is not word else 0, part) for part in ([word] + [word[:n] for n in (4, 5) if len(word) > n]))
 
 
-@lru_cache(maxsize=300_000)
+@lru_cache(maxsize=50_000)
 def _cached_features(word: bytes) -> tuple[int, ...]:
     return word_features(word)
 
@@ -177,7 +177,7 @@ class _Known(dict):
         self.model = model
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = found = tuple(f for f in word_features(word) if f in self.model.weights)
         return found
