@@ -36,7 +36,7 @@ class CountTree:
 
     def __init__(self, tokenizer: CachedTokenizer, text: str, leaf_chars: int = LEAF_CHARS):
         self.tokenizer, self.text = tokenizer, text
-        self.starts = leaf_starts(text, leaf_chars) if tokenizer.by_pieces else [0]
+        self.starts = leaf_starts(text, leaf_chars) if tokenizer.by_parts else [0]
         leaves = [text[a:b] for a, b in zip(self.starts, [*self.starts[1:], len(text)], strict=True)]
         self.size = 1 << (len(leaves) - 1).bit_length()
         self.sums = np.zeros(2 * self.size, np.int64)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billscope.llm.text import batches, texts
-from billscope.llm.tokenizing import CachedTokenizer
+from billscope.llm.tokenizing import cached_tokenizer
 
 NO_ID = np.iinfo(np.int64).min
 
@@ -61,7 +61,7 @@ def write_token_files(
     store.create_dir(path, recursive=True)
 
     def encoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, store = CachedTokenizer(tokenizer_path, end_id), pa.fs.FileSystem.from_uri(folder)[0]
+        tokenizer, store = cached_tokenizer(tokenizer_path, end_id), pa.fs.FileSystem.from_uri(folder)[0]
         width = tokenizer.dtype.itemsize
         end = np.array([end_id], tokenizer.dtype).tobytes()
         part, name = TaskContext.get().partitionId(), f"part-{uuid.uuid4().hex}"

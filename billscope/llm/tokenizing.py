@@ -3,61 +3,92 @@
 import json
 import os
 import re
+import sys
+from array import array
+from functools import cached_property, lru_cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 import numpy as np  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
+from tokenizers.pre_tokenizers import ByteLevel  # noqa: E402
 
-#: A space that white space or the end follows: such texts are encoded in one piece.
-_IRREGULAR = re.compile(r" (?=\s|\Z)")
+_SPACE = r"[ \t\n\x0b\x0c\r]"
+_LETTER = "A-Za-zÀ-ÖØ-öø-ž"
+_MARK = "!-/:-@\\[-`{-~¡«»¿\u2010-\u2027"
+#: How byte-level pre-tokenizers cut, stated for these letters, digits, marks and white space only.
+_PART = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[0-9]+| ?[{_MARK}]+|{_SPACE}+(?!{_SPACE[:1]}^{_SPACE[1:]})|{_SPACE}+")
 _LONGEST = 64
 
 
 class CachedTokenizer:
     """Ids of whole texts as little-endian bytes, equal to those of the tokenizer itself.
 
-    A byte-level pre-tokenizer always starts a new pre-token at a space before a character that is no white space. So the
-    ids of a text are those of its pieces between such spaces, one after another, and a piece seen before needs no second
-    encoding. Texts with other spaces or with a special token's string, and tokenizers of another kind, are encoded whole.
+    A byte-level tokenizer encodes each pre-token by itself, so one that was encoded before needs no second encoding. Texts
+    with characters beyond those that _PART covers or with a special token's string, and all texts of tokenizers of another
+    kind, are encoded whole. The memory is bounded.
     """
 
-    def __init__(self, path: str, end_id: int | None = None, limit: int = 400_000):
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, path: str, end_id: int | None = None, limit: int = 200_000):
+        self.path, self.of_parts = path, Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            parts = json.load(file)
-        before = parts.get("pre_tokenizer") or {}
-        self.by_pieces = (
+            stated = json.load(file)
+        before = stated.get("pre_tokenizer") or {}
+        self.by_parts = (
             before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
-            and not parts.get("normalizer")
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in parts["added_tokens"])
+            and not stated.get("normalizer")
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in stated["added_tokens"])
         )
-        self.special = [t["content"] for t in parts["added_tokens"]]
-        largest = max(self.tokenizer.get_vocab(with_added_tokens=True).values())
+        self.special = [t["content"] for t in stated["added_tokens"]]
+        largest = max(self.of_parts.get_vocab(with_added_tokens=True).values())
         self.dtype = np.dtype("<u2" if max(largest, end_id or 0) < 1 << 16 else "<u4")
-        self.limit, self.known = limit, {}
+        assert sys.byteorder == "little"
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.of_parts.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)  # they are cut already
+        self.limit, self.known, self.before = limit, {}, {}
 
-    def _bytes(self, texts: list[str]) -> list[bytes]:
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        """For texts that are encoded whole."""
+        return Tokenizer.from_file(self.path)
+
+    def _bytes(self, texts: list[str], tokenizer: Tokenizer) -> list[bytes]:
         found = []
         for at in range(0, len(texts), 2000):
-            found += [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch(texts[at : at + 2000], add_special_tokens=False)]
+            found += [array(self.code, x.ids).tobytes() for x in tokenizer.encode_batch_fast(texts[at : at + 2000], add_special_tokens=False)]
         return found
 
+    def _split(self, text: str) -> list[str] | None:
+        """The pre-tokens of a text; None where it is to be encoded whole."""
+        if any(x in text for x in self.special):
+            return None
+        parts = _PART.findall(text)
+        return parts if "".join(parts) == text else None
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, in order."""
-        if len(self.known) > self.limit:
-            self.known.clear()
-        split = [t.split(" ") if self.pieces_apply(t) else None for t in texts]
-        pieces = {x for one in split if one for x in one[1:]}
-        known = self.known
-        new = [x for x in pieces if x not in known]
-        ids = dict(zip(new, self._bytes([" " + x for x in new]), strict=True))
-        known.update((x, y) for x, y in ids.items() if len(x) <= _LONGEST)
-        lookup = known if len(ids) == sum(len(x) <= _LONGEST for x in ids) else known | ids
-        heads = self._bytes([one[0] if one else text for one, text in zip(split, texts, strict=True)])
-        return [head + b"".join(map(lookup.__getitem__, one[1:])) if one else head for one, head in zip(split, heads, strict=True)]
-
-    def pieces_apply(self, text: str) -> bool:
-        return self.by_pieces and not _IRREGULAR.search(text) and not any(x in text for x in self.special)
+        if not self.by_parts:
+            return self._bytes(texts, self.tokenizer)
+        if len(self.known) > self.limit:  # what is still in use moves over from the generation before
+            self.before, self.known = self.known, {}
+        known, before = self.known, self.before
+        split = [self._split(text) for text in texts]
+        wanted = set().union(*(x for x in split if x))
+        new = [x for x in wanted if x not in known]
+        known.update([(x, before[x]) for x in new if x in before])
+        new = [x for x in new if x not in before]
+        ids = dict(zip(new, self._bytes(new, self.of_parts), strict=True))
+        short = all(len(x) <= _LONGEST for x in new)
+        known.update(ids if short else {x: y for x, y in ids.items() if len(x) <= _LONGEST})
+        lookup = (known if short else known | ids).__getitem__
+        rest = [text for text, one in zip(texts, split, strict=True) if one is None]
+        whole = iter(self._bytes(rest, self.tokenizer) if rest else [])
+        return [next(whole) if one is None else b"".join(map(lookup, one)) for one in split]
+
+
+@lru_cache(maxsize=2)
+def cached_tokenizer(path: str, end_id: int | None = None) -> CachedTokenizer:
+    """One for each Python worker, so that its tasks share what they have encoded."""
+    return CachedTokenizer(path, end_id)
