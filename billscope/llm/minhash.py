@@ -7,6 +7,7 @@ differs from the hub (see near_pairs).
 """
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,11 +21,17 @@ from billscope.llm.scratch import stored
 from billscope.llm.text import WordHashes, batches, lower_words, mixed, texts, window_hashes
 
 WORDS_OF_SHINGLE = 5
-#: At a similarity of 0.85 all bands differ with a probability below 1e-6.
-BANDS, ROWS = 24, 5
+ROWS = 5
+#: Similarity, in percent, from which documents are linked unless the caller names another.
 PERCENT = 85
 
-_SHIFTS = np.arange(BANDS * ROWS, dtype=np.uint32)
+
+def bands_for(percent: int) -> int:
+    """So many bands that at this similarity all of them differ with a probability below 1e-6: 24 at 85, 35 at 80."""
+    if not 1 <= percent <= 100:
+        raise ValueError("percent is from 1 to 100")
+    differs = 1 - (percent / 100) ** ROWS
+    return max(1, math.ceil(math.log(1e-6) / math.log(differs))) if differs else 1
 
 
 def shingles(text: str, hashes: WordHashes) -> np.ndarray:
@@ -45,27 +52,30 @@ def _permuted(x: np.ndarray, first: int, second: int) -> np.ndarray:
     return x
 
 
-def signature(of: np.ndarray) -> np.ndarray:
+def signature(of: np.ndarray, bands: int = bands_for(PERCENT)) -> np.ndarray:
     """Coordinate k: the least rank of a scattered shingle under the second permutation shifted by k places."""
     scattered = _permuted(of.astype(np.uint32), 0x85EBCA6B, 0xC2B2AE35)
-    least = np.full(len(_SHIFTS), 0xFFFFFFFF, np.uint32)
+    shifts = np.arange(bands * ROWS, dtype=np.uint32)
+    least = np.full(len(shifts), 0xFFFFFFFF, np.uint32)
     for at in range(0, len(scattered), 512):
-        ranks = _permuted(scattered[at : at + 512, None] - _SHIFTS, 0x7FEB352D, 0x846CA68B)
+        ranks = _permuted(scattered[at : at + 512, None] - shifts, 0x7FEB352D, 0x846CA68B)
         np.minimum(least, ranks.min(axis=0), out=least)
     return least
 
 
 def band_keys(coordinates: np.ndarray) -> np.ndarray:
     """One key for each band, different from those of other bands."""
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for row in coordinates.reshape(BANDS, ROWS).T:
+    bands = coordinates.reshape(-1, ROWS)
+    key = np.arange(1, len(bands) + 1, dtype=np.uint64)
+    for row in bands.T:
         key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + row)
     return key
 
 
-def sketches(documents: DataFrame) -> DataFrame:
+def sketches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, set_key (equal for equal shingle sets), n_shingles, bands (none for an empty set): a row for each row."""
     schema = pa.schema([("doc_id", pa.int64()), ("set_key", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    n_bands = bands_for(percent)
 
     def sketched(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -77,7 +87,7 @@ def sketches(documents: DataFrame) -> DataFrame:
                         # Keys of other lengths than a digest: such rows are equal to no other document.
                         yield doc_id, b"none" if doc_id is None else doc_id.to_bytes(8, "little", signed=True), len(found), []
                     else:
-                        yield doc_id, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), len(found), band_keys(signature(found)).view(np.int64)
+                        yield doc_id, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), len(found), band_keys(signature(found, n_bands)).view(np.int64)
 
         return batches(rows(), schema)
 
@@ -97,10 +107,10 @@ def hub_members(band_rows: DataFrame) -> DataFrame:
     return ranked.join(hubs, "key").where("hub <> doc").select("hub", "doc").distinct()
 
 
-def differences(members: DataFrame, documents: DataFrame) -> DataFrame:
-    """hub, doc, h (the hub's set size), weight (100 * missing + 85 * extra shingles), difference (those shingles).
+def differences(members: DataFrame, documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """hub, doc, h (the hub's set size), weight (100 * missing + percent * extra shingles), difference (those shingles).
 
-    Similar enough to the hub means weight <= 15 * h: the intersection is h - missing, the union h + extra.
+    Similar enough to the hub means weight <= (100 - percent) * h: the intersection is h - missing, the union h + extra.
     """
     both = (
         members.join(documents.select(F.col("doc_id").alias("doc"), F.col("text").alias("own")), "doc")
@@ -119,41 +129,41 @@ def differences(members: DataFrame, documents: DataFrame) -> DataFrame:
                     found = shingles(own or "", hashes)
                     apart = np.setxor1d(found, of_hub, assume_unique=True)
                     missing = int(np.isin(apart, of_hub, assume_unique=True).sum())
-                    yield hub, doc, len(of_hub), 100 * missing + PERCENT * (len(apart) - missing), apart.view(np.int64)
+                    yield hub, doc, len(of_hub), 100 * missing + percent * (len(apart) - missing), apart.view(np.int64)
 
         return batches(rows(), schema)
 
     return both.mapInArrow(compared, "hub long, doc long, h long, weight long, difference array<long>")
 
 
-def _needed(*weights: Column) -> Column:
+def _needed(percent: int, *weights: Column) -> Column:
     """Shingles that two differences must share for their documents to be similar enough."""
-    total = sum(weights[1:], weights[0]) - (100 - PERCENT) * F.col("h")
-    return F.ceil(total / (100 + PERCENT))
+    total = sum(weights[1:], weights[0]) - (100 - percent) * F.col("h")
+    return F.ceil(total / (100 + percent))
 
 
-def near_pairs(apart: DataFrame) -> DataFrame:
+def near_pairs(apart: DataFrame, percent: int = PERCENT) -> DataFrame:
     """a, b: similar documents among the members of a hub, where not both are similar to the hub itself.
 
     With s shingles common to the differences of a and b, the intersection of a and b is h - missing(a) - missing(b) + s
     and their union h + extra(a) + extra(b) - s. So they are similar enough if and only if
-    185 * s >= weight(a) + weight(b) - 15 * h, which is above zero unless both are similar to the hub and so linked anyway.
+    (100 + percent) * s >= weight(a) + weight(b) - (100 - percent) * h, which is above zero unless both are similar to the hub and so linked anyway.
     A document with fewer shingles shared at all than that is out; the others meet over their rarest shared shingles.
     """
-    far = F.col("weight") > (100 - PERCENT) * F.col("h")
+    far = F.col("weight") > (100 - percent) * F.col("h")
     open_hubs = apart.groupBy("hub").agg(F.count("*").alias("n"), F.max(far).alias("any_far")).where("n > 1 and any_far")
     apart = apart.join(stored(open_hubs.select("hub"), "open-hubs"), "hub", "left_semi").withColumn("far", far)
     elements = stored(apart.select("hub", "doc", "h", "weight", "far", F.explode("difference").alias("element")), "difference-elements")
     shared = stored(elements.groupBy("hub", "element").agg(F.count("*").alias("n")).where("n > 1"), "shared-elements")
     held = stored(elements.join(shared, ["hub", "element"]), "held-elements")
     counted = held.groupBy("hub", "doc", "h", "weight", "far").agg(F.count("*").alias("held"))
-    limit = (100 - PERCENT) * F.col("h")
+    limit = (100 - percent) * F.col("h")
     # The other one of a pair is far if this one isn't; and it is as light as the lightest candidate at best.
-    first = F.when(F.col("far"), F.greatest(F.lit(1), _needed(F.col("weight")))).otherwise(_needed(F.col("weight"), limit + 1))
+    first = F.when(F.col("far"), F.greatest(F.lit(1), _needed(percent, F.col("weight")))).otherwise(_needed(percent, F.col("weight"), limit + 1))
     possible = stored(counted.where(F.col("held") >= first), "possible-documents")
     lightest = stored(possible.groupBy("hub").agg(F.min("weight").alias("lightest"), F.count("*").alias("n")).where("n > 1").drop("n"), "lightest-documents")
     partner = F.when(F.col("far"), F.col("lightest")).otherwise(F.greatest(F.col("lightest"), limit + 1))
-    needed = F.greatest(F.lit(1), _needed(F.col("weight"), partner))
+    needed = F.greatest(F.lit(1), _needed(percent, F.col("weight"), partner))
     possible = possible.join(lightest, "hub").withColumn("needed", needed).where("held >= needed").select("hub", "doc", F.col("held").alias("of"), "needed")
     rare_first = Window.partitionBy("hub", "doc").orderBy("n", "element")
     prefix = (
@@ -165,7 +175,7 @@ def near_pairs(apart: DataFrame) -> DataFrame:
     prefix = stored(prefix, "rare-elements")
     a = prefix.where("far").select("hub", "element", "h", F.col("doc").alias("a"), F.col("weight").alias("weight_a"), F.col("rest").alias("rest_a"))
     b = prefix.select("hub", "element", F.col("doc").alias("b"), F.col("weight").alias("weight_b"), F.col("rest").alias("rest_b"), F.col("far").alias("far_b"))
-    least = _needed(F.col("weight_a"), F.col("weight_b"))
+    least = _needed(percent, F.col("weight_a"), F.col("weight_b"))
     meet = (
         (a.hub == b.hub)
         & (a.element == b.element)
@@ -178,26 +188,26 @@ def near_pairs(apart: DataFrame) -> DataFrame:
     other = apart.select("hub", F.col("doc").alias("b"), F.col("weight").alias("weight_b"), F.col("difference").alias("difference_b"))
     checked = pairs.join(one, ["hub", "a"]).join(other, ["hub", "b"])
     common = F.size(F.array_intersect("difference_a", "difference_b"))
-    return checked.where(common * (100 + PERCENT) >= F.col("weight_a") + F.col("weight_b") - limit).select("a", "b")
+    return checked.where(common * (100 + percent) >= F.col("weight_a") + F.col("weight_b") - limit).select("a", "b")
 
 
-def near_duplicates(documents: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def near_duplicates(documents: DataFrame, *, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id), a row for each row.
 
-    Documents are linked if 100 * intersection >= 85 * union of their shingle sets. Null and empty texts have no shingles
+    Documents are linked if 100 * intersection >= percent * union of their shingle sets. Null and empty texts have no shingles
     and no links; they are kept. Rows that repeat a doc_id are one document: all kept or none. A row without doc_id is
     kept, links with nothing and has no component. An empty table gives an empty one, other columns are ignored.
     """
     docs = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    known = stored(sketches(docs), "sketches")
+    known = stored(sketches(docs, percent), "sketches")
     # One document stands for all with the same set.
     alike = stored(known.where(F.size("bands") > 0).groupBy("set_key").agg(F.min("doc_id").alias("doc")), "distinct-sets")
     standing = known.join(alike.withColumnRenamed("doc", "doc_id"), ["set_key", "doc_id"])
     band_rows = stored(standing.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key")).distinct(), "band-rows")
     members = stored(hub_members(band_rows), "hub-members")
-    apart = stored(differences(members, docs.where("doc_id is not null")), "differences")
-    with_hub = apart.where(F.col("weight") <= (100 - PERCENT) * F.col("h")).select(F.col("hub").alias("a"), F.col("doc").alias("b"))
-    found = components(with_hub.unionByName(near_pairs(apart)))
+    apart = stored(differences(members, docs.where("doc_id is not null"), percent), "differences")
+    with_hub = apart.where(F.col("weight") <= (100 - percent) * F.col("h")).select(F.col("hub").alias("a"), F.col("doc").alias("b"))
+    found = components(with_hub.unionByName(near_pairs(apart, percent)))
     named = alike.join(found, "doc", "left").select("set_key", F.coalesce("component", "doc").alias("component_id"))
     labelled = known.select("doc_id", "set_key", "n_shingles").join(stored(named, "component-names"), "set_key", "left")
     component = F.coalesce("component_id", "doc_id")

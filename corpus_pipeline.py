@@ -16,6 +16,9 @@ from billscope.llm.scratch import new_folder, stored
 from billscope.llm.token_files import read_token_files, write_token_files
 from billscope.llm.toxicity import fit_toxicity, with_toxicity
 
+#: Similarity in percent from which the stage drops near copies; the query op8 has 85.
+NEAR_PERCENT = 80
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labels beside them, scores below one half."""
@@ -24,8 +27,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return _without(docs, near_duplicates(docs).where(~F.col("kept")).select("doc_id"))
+    """One document of each group of near copies, which share 80% of their shingles or more."""
+    return _without(docs, near_duplicates(docs, percent=NEAR_PERCENT).where(~F.col("kept")).select("doc_id"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from billscope.llm.components import components
-from billscope.llm.minhash import ROWS, band_keys, hub_members, near_duplicates, signature, sketches
+from billscope.llm.minhash import ROWS, band_keys, bands_for, hub_members, near_duplicates, signature, sketches
 
 
 def shingle_set(text):
@@ -107,3 +107,24 @@ def test_components_of_chains_and_stars(spark):
     assert all(found[k] == 50 for k in range(200, 260))
     assert found[2] == found[3] == 1 and 7 not in found
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_lower_similarity_finds_all_pairs_of_it(spark):
+    rows = corpus(2)
+    sets = {i: shingle_set(t) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and (n := len(sets[a] & sets[b])) and 100 * n >= 80 * (len(sets[a]) + len(sets[b]) - n)]
+    root = {i: i for i in sets}
+    for _ in range(len(sets)):
+        before = dict(root)
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            break
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=80).collect()
+    assert {r.doc_id: r.component_id for r in found} == root
+    assert {i: c for i, (_, c) in brute_force(rows).items()} != root
+
+
+def test_bands_for_a_similarity():
+    assert [bands_for(p) for p in (100, 85, 80)] == [1, 24, 35]
+    assert all((1 - (p / 100) ** ROWS) ** bands_for(p) < 1e-6 for p in range(50, 100))

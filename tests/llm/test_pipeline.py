@@ -97,3 +97,19 @@ def test_every_operator_is_registered():
     assert names["pipeline"] is corpus_pipeline.run
     assert QUERIES.keys() <= names.keys() and ORACLE_SQL.keys() <= contract.oracle_sql().keys()
     assert (DATA / "sf0.01").exists()
+
+
+def test_near_copies_from_four_fifths_on_are_dropped(spark, tmp_path):
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(104)]  # 100 shingles
+    ends = {n: base[:-n] + [f"x{n}x{k}" for k in range(n)] for n in (5, 9, 11, 12)}  # n shingles differ: (100 - n) / (100 + n)
+    similar = {5: 95 / 105, 9: 91 / 109, 11: 89 / 111, 12: 88 / 112}
+    rows = []
+    for k, (n, text) in enumerate(ends.items()):
+        own = {w: f"{w}of{k}" for w in base}  # pairs of their own words: no links between pairs
+        rows += [(10 * k, " ".join(own[w] for w in base)), (10 * k + 1, " ".join(own.get(w, w) for w in text))]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), 1) for i, t in rows], COLUMNS)
+    left = {r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs, str(tmp_path)).collect()}
+    assert left == {10 * k for k in range(4)} | {10 * k + 1 for k, n in enumerate(ends) if similar[n] < 0.8}
+    assert [n for n in ends if 0.8 <= similar[n] < 0.85] == [9, 11]
