@@ -17,6 +17,7 @@ from billscope.llm.scratch import new_folder
 from billscope.llm.token_counts import count_after_edits
 from billscope.llm.token_files import read_token_files, write_token_files
 from billscope.llm.toxicity import fit_toxicity, held_out, score_toxicity
+from billscope.llm.whitening import whitened_embeddings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -158,6 +159,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(documents, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator's deviation is a wide decimal; here a long, null where none holds it."""
+    found = whitened_embeddings(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -169,6 +176,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
