@@ -12,6 +12,7 @@ from billscope.llm.licenses import scan_licenses
 from billscope.llm.line_dedup import dedup_lines
 from billscope.llm.minhash import near_duplicates
 from billscope.llm.mixing import mix_sources
+from billscope.llm.prefix_trie import prefix_trie
 from billscope.llm.quality import judge_quality
 from billscope.llm.scratch import new_folder
 from billscope.llm.token_counts import count_after_edits
@@ -165,6 +166,50 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+#: The crc32 of a decimal id bit by bit; prefixes as strings of digests; subtrees by the prefixes of each node's smallest member.
+PREFIX_TRIE_SQL = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, own, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(
+      list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+      lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1)))) % 6 AS h
+  FROM (SELECT conv_id, count(*) AS own FROM turns GROUP BY conv_id)
+), rebuilt AS (
+  SELECT c.conv_id, t.pos AS depth, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.pos - c.h + least(c.h, coalesce(b.own, 0)), t.role, t.text
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h LEFT JOIN convs b ON b.conv_id = c.base
+), paths AS (
+  SELECT conv_id, depth, length(text) AS chars,
+    string_agg(sha256(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS path
+  FROM rebuilt UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved FROM paths GROUP BY path, depth
+), ends AS (
+  SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT conv_id, path, depth, max(depth) OVER (PARTITION BY conv_id) AS total FROM paths) WHERE depth = total GROUP BY path
+), linked AS (
+  SELECT n.*, up.conv_id AS parent_conv_id
+  FROM nodes n LEFT JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1 LEFT JOIN nodes up ON up.path = p.path
+), children AS (
+  SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL
+), subtrees AS (
+  SELECT p.path, sum(n.saved) AS saved_tokens, count(*) FILTER (c.n_children IS NULL) AS n_leaves
+  FROM nodes n LEFT JOIN children c USING (conv_id, depth) JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.path
+)
+SELECT l.conv_id, CAST(l.depth AS BIGINT) AS depth, l.parent_conv_id, l.n_convs, coalesce(c.n_children, 0) AS n_children, s.n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM linked l LEFT JOIN children c USING (conv_id, depth) JOIN subtrees s USING (path) LEFT JOIN ends e USING (path)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -177,10 +222,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP_SQL,
     "op3_source_mixing": MIXING_SQL,
     "op6_chat_formatting": CHAT_SQL,
+    "op12_conversation_prefix_trie": PREFIX_TRIE_SQL,
 }
