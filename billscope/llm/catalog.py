@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from billscope.llm.chat import format_conversations, read_back
 from billscope.llm.decontamination import find_contamination
+from billscope.llm.embedding_dedup import near_duplicate_vectors
 from billscope.llm.licenses import scan_licenses
 from billscope.llm.line_dedup import dedup_lines
 from billscope.llm.minhash import near_duplicates
@@ -210,6 +211,25 @@ FROM linked l LEFT JOIN children c USING (conv_id, depth) JOIN subtrees s USING
 """
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+NEAR_VECTORS_SQL = """
+WITH RECURSIVE fine AS (
+  SELECT vec_id, label, v FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label IS NOT NULL)
+  WHERE len(list_filter(v, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(v, lambda c: c <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = r.vec_id) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+FROM reached r GROUP BY vec_id
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -223,6 +243,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
+    "op13_embedding_near_dedup": op13_embedding_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -230,4 +251,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_source_mixing": MIXING_SQL,
     "op6_chat_formatting": CHAT_SQL,
     "op12_conversation_prefix_trie": PREFIX_TRIE_SQL,
+    "op13_embedding_near_dedup": NEAR_VECTORS_SQL,
 }

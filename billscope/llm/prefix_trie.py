@@ -41,8 +41,8 @@ EMPTY_SHA256 = sha256(b"").hexdigest()
 class SpillingQueue:
     """A priority queue of tuples of 64-bit integers; beyond the limit it writes sorted runs to temporary files."""
 
-    def __init__(self, width: int, limit: int | None = None):
-        self.format, self.limit = struct.Struct(f"<{width}q"), limit or QUEUE_LIMIT
+    def __init__(self, width: int, limit: int):
+        self.format, self.limit = struct.Struct(f"<{width}q"), limit
         self.heap: list[tuple] = []
         self.heads: list[tuple] = []  # the next message of each run, its number and the rest of it
         self.runs = 0
@@ -214,7 +214,7 @@ def _time_forward(vertices: DataFrame) -> DataFrame:
 
     def forward(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            queue = SpillingQueue(7)
+            queue = SpillingQueue(7, QUEUE_LIMIT)
             for batch in parts:
                 for s1, s2, depth, conv_id, n_convs, up_depth, up_conv, inside, saved, leaves, below, children in zip(*(batch.column(k).to_pylist() for k in _VERTEX), strict=True):
                     for *_, more_leaves, more_saved, _child in queue.take((s1, s2, -depth, conv_id)):

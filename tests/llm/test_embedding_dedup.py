@@ -1,0 +1,133 @@
+"""Near-duplicate vectors against SQL and against all pairs, in one block and over many."""
+
+import math
+
+import numpy as np
+import pytest
+
+from billscope.llm import embedding_dedup as dedup
+from billscope.llm.catalog import ORACLE_SQL, QUERIES
+from billscope.llm.cover_tree import CoverTree, traverse
+from tests.llm.helpers import DATA, oracle_rows, spark_rows
+
+NAME = "op13_embedding_near_dedup"
+SCHEMA = "vec_id long, embedding array<double>, label int"
+
+
+def clustered(seed, sizes, noise, dims=16, copies=0):
+    """Groups around a direction, some of them on the verge of the threshold, and copies of their first vectors."""
+    draw = np.random.default_rng(seed)
+    rows = []
+    for size, spread in zip(sizes, noise, strict=True):
+        centre = draw.normal(size=dims)
+        centre /= np.linalg.norm(centre)
+        group = centre + draw.normal(size=(size, dims)) * spread / math.sqrt(dims)
+        rows += [*group, *group[:copies]]
+    return [rows[k].tolist() for k in draw.permutation(len(rows))]
+
+
+def brute_force(rows, least=0.93):
+    ids = [r[0] for r in rows]
+    links = {k: set() for k in range(len(rows))}
+    fine = [k for k, r in enumerate(rows) if r[2] is not None and r[1] and all(c is not None and math.isfinite(c) for c in r[1]) and any(r[1])]
+    scaled = {k: np.array(rows[k][1]) / max(map(abs, rows[k][1])) for k in fine}  # no overflow in the norm
+    units = {k: v / np.linalg.norm(v) for k, v in scaled.items()}
+    for a in fine:
+        for b in fine:
+            if a != b and rows[a][2] == rows[b][2] and len(units[a]) == len(units[b]) and units[a] @ units[b] >= least:
+                links[a].add(b)
+    component = list(range(len(rows)))
+    for start in fine:
+        todo, seen = [start], {start}
+        while todo:
+            k = todo.pop()
+            for other in links[k] | {j for j in fine if ids[j] is not None and ids[j] == ids[k]}:
+                if other not in seen:
+                    seen.add(other)
+                    todo.append(other)
+        component[start] = min((ids[k] for k in seen if ids[k] is not None), default=None)
+    least_ids = [component[k] if k in units else ids[k] for k in range(len(rows))]
+    return sorted((ids[k], len(links[k]), c, ids[k] == c if c is not None else True) for k, c in enumerate(least_ids))
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.select("vec_id", "n_links", "component_id", "kept").collect()), key=lambda r: (r[0] is not None, r))
+
+
+def test_query_matches_sql(spark):
+    assert spark_rows(QUERIES[NAME](spark, f"{DATA}/sf0.01")) == oracle_rows(ORACLE_SQL[NAME])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_traversal_finds_each_pair_once(seed):
+    draw = np.random.default_rng(seed)
+    points = np.array(clustered(seed, [40, 1, 30, 60], [0.1, 0, 0.27, 0.4], dims=6) + draw.normal(size=(50, 6)).tolist())
+    points = np.unique(points / np.linalg.norm(points, axis=1, keepdims=True), axis=0)
+    some, rest = points[::2], points[1::2]
+    for one, other in ((some, some), (some, rest)):
+        a, b = CoverTree(one), CoverTree(other)
+        times = np.zeros((len(one), len(other)), int)
+
+        def linked(x, y, near, a=a, b=b, times=times):
+            for i, j in zip(*np.nonzero(near), strict=True):
+                times[np.ix_(a.order[a.start[x[i]] : a.end[x[i]]], b.order[b.start[y[j]] : b.end[y[j]]])] += 1
+
+        traverse(a, b, 0.93, linked)
+        assert np.array_equal(times, (one @ other.T >= 0.93).astype(int))
+
+
+def test_tree_covers_and_halves():
+    points = np.random.default_rng(2).normal(size=(300, 3))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    tree = CoverTree(points)
+    assert sorted(tree.order.tolist()) == list(range(300)) and np.array_equal(tree.points, points[tree.order])
+    for node in range(len(tree.start)):
+        inside = tree.points[tree.start[node] : tree.end[node]]
+        assert np.linalg.norm(inside - tree.points[tree.centre[node]], axis=1).max() <= tree.radius[node]
+        children = tree.opened(np.array([node]))
+        if children.tolist() != [node]:
+            assert sum(tree.end[children] - tree.start[children]) == len(inside) and len(children) > 1
+            assert tree.centre[node] in tree.centre[children]  # nested: a node is its own child
+
+
+@pytest.mark.parametrize(("block", "pivots"), [(10_000, 4096), (16, 4096), (16, 3), (7, 0)])
+def test_blocks_of_any_size_against_all_pairs(spark, monkeypatch, block, pivots):
+    monkeypatch.setattr(dedup, "BLOCK", block)
+    monkeypatch.setattr(dedup, "PIVOTS", pivots)
+    vectors = clustered(block, [60, 25, 30, 1, 1, 40], [0.05, 0.25, 0.3, 0, 0, 0.35], copies=4)
+    rows = [(k, v, k % 2 if k % 5 else 0) for k, v in enumerate(vectors)]
+    assert found(dedup.near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA))) == brute_force(rows)
+
+
+def test_a_hot_cluster_over_many_blocks_is_taken_whole(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "BLOCK", 20)
+    vectors = clustered(9, [400, 30], [0.02, 3.0], dims=8)
+    rows = [(k, v, 1) for k, v in enumerate(vectors)]
+    assert found(dedup.near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA))) == brute_force(rows)
+
+
+def test_chains_reach_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "BLOCK", 5)
+    # Neighbours on a circle are linked, others not: one component by many steps.
+    rows = [(100 - k, [math.cos(0.3 * k), math.sin(0.3 * k)], 1) for k in range(10)] + [(500 + k, [math.cos(0.3 * k), math.sin(0.3 * k)], 2) for k in (0, 2, 4)]
+    assert found(dedup.near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA))) == brute_force(rows)
+
+
+def test_bad_rows_repeats_ties_and_clashing_columns(spark):
+    nan, inf, same = float("nan"), float("inf"), [0.6, 0.8]
+    rows = [
+        (1, same, None), (2, None, 1), (3, [], 1), (4, [0.0, 0.0], 1), (5, [nan, 1.0], 1), (6, [inf, 1.0], 1), (7, [None, 1.0], 1),
+        (10, same, 1), (11, [1.2, 1.6], 1), (11, [1.2, 1.6], 1), (12, [0.6, 0.8, 0.0], 1), (13, same, 2),
+        (20, [1.0, 0.0], 3), (21, [1.0, 0.01], 3), (21, [0.0, 1.0], 3), (22, [0.01, 1.0], 3),
+        (None, [0.0, 1.0], 4), (30, [0.0, 1.0], 4), (None, [0.0, 1.0], 5),
+        (40, [1e308, 1e308], 6), (41, [1e-308, 1e-308], 6),
+    ]
+    frame = spark.createDataFrame([(*r, 5, b"x", 2) for r in rows], SCHEMA + ", point int, unit binary, root int")
+    result = dedup.near_duplicate_vectors(frame)
+    expected = sorted(brute_force([r for r in rows if r[0] is not None or r[2] == 0]), key=repr)
+    by_row = found(result)
+    assert sorted((r for r in by_row if r[0] is not None and r[0] != 30), key=repr) == [r for r in expected if r[0] != 30]
+    assert [r for r in by_row if r[0] is None or r[0] == 30] == [(None, 0, None, True), (None, 1, 30, False), (30, 1, 30, True)]
+    assert found(dedup.near_duplicate_vectors(spark.createDataFrame([], SCHEMA))) == []
+    with pytest.raises(ValueError):
+        dedup.near_duplicate_vectors(frame, least_cosine=0)
