@@ -19,6 +19,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     target = parser.add_mutually_exclusive_group(required=True)
     target.add_argument("--out-path", help="folder for the tables, shared by all executors")
     target.add_argument("--out-database", help="catalog database for the tables")
+    parser.add_argument("--buckets", type=int, default=0, help="buckets of the catalog's tables that are joined by key; at least spark.sql.shuffle.partitions")
     parser.add_argument("--csv", help="folder for CSV exports of the reports")
     parser.add_argument("--year", type=int, required=True, help="year of the MRR and retention reports")
     parser.add_argument("--month", type=int, required=True, help="month to reconcile, 1-12")
@@ -34,7 +35,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         staging = staging_from_parquet(spark, args.staging_path)
     else:
         staging = staging_from_catalog(spark, args.staging_database)
-    store = in_folder(args.out_path) if args.out_path else in_database(args.out_database)
+    store = in_folder(args.out_path) if args.out_path else in_database(args.out_database, args.buckets)
     layer = write_layer(staging, Periods.for_month(args.year, args.month, args.closed_from, args.months), store)
     if args.csv:
         export_layer(layer, args.csv)

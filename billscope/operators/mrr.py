@@ -252,14 +252,19 @@ def mrr_movements(state: DataFrame, year: int) -> DataFrame:
     )
 
 
-def mrr_movement_drivers(state: DataFrame, year: int) -> DataFrame:
+def movement_drivers(movements: DataFrame) -> DataFrame:
     """Net MRR change of each month split by driver; losses are given as positive amounts."""
     change = F.col("net_mrr_change_cents")
     amounts = {d: F.abs(change) if d in ("contraction", "churn") else change for d in v.DRIVERS}
-    return mrr_movements(state, year).groupBy("mrr_month").agg(
+    return movements.groupBy("mrr_month").agg(
         F.sum(change).alias("net_mrr_change_cents"),
         *(
             sum_where(F.col("mrr_movement_driver") == d, amount).alias(f"{d}_mrr_cents")
             for d, amount in amounts.items()
         ),
     )
+
+
+def mrr_movement_drivers(state: DataFrame, year: int) -> DataFrame:
+    """The drivers straight from the state, where its movements are not stored."""
+    return movement_drivers(mrr_movements(state, year))

@@ -1,5 +1,6 @@
 """Billed invoices against the payment processor's ledger."""
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -44,10 +45,10 @@ def ledger_movements(balance_transactions: DataFrame) -> DataFrame:
     )
 
 
-def outcome_masks(charges: DataFrame) -> DataFrame:
+def outcome_masks(charges: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """One row per (invoice, charge) with the outcomes the charge ever had, as a bit mask.
 
-    Grouping by charge first is what makes the per-invoice counts distinct counts, and it
+    `carried` are columns of the invoice that its charges came with. Grouping by charge first is what makes the per-invoice counts distinct counts, and it
     spreads an invoice with very many attempts over all tasks. A row whose status or capture
     flag is NULL has no outcome and is left out, so it cannot make an invoice appear.
     """
@@ -56,9 +57,9 @@ def outcome_masks(charges: DataFrame) -> DataFrame:
         F.when(approved & captured, CAPTURED).when(approved & ~captured, UNCAPTURED).when(~approved, FAILED)
     )
     return (
-        charges.select("invoice_id", "charge_id", outcome.alias("outcome"))
+        charges.select("invoice_id", "charge_id", *carried, outcome.alias("outcome"))
         .filter(F.col("outcome").isNotNull())
-        .groupBy("invoice_id", "charge_id")
+        .groupBy("invoice_id", "charge_id", *carried)
         .agg(F.bit_or("outcome").alias("outcomes"))
     )
 
@@ -92,12 +93,12 @@ def ledger_by_invoice(balance_transactions: DataFrame) -> DataFrame:
     )
 
 
-def attempts_by_invoice(charges: DataFrame) -> DataFrame:
+def attempts_by_invoice(charges: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """Distinct charges of each invoice by outcome.
 
     Counts straight from the masks, one aggregation on the other.
     """
-    return outcome_masks(charges).groupBy("invoice_id").agg(
+    return outcome_masks(charges, carried).groupBy("invoice_id", *carried).agg(
         *(count_where(had(bit)).alias(f"processor_{name}_charge_count") for name, bit in OUTCOMES.items())
     )
 

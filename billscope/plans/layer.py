@@ -110,12 +110,11 @@ class Layer:
 
     @cached_property
     def mrr_movements(self) -> DataFrame:
-        return mrr.mrr_movements(self.mrr_state, self.periods.year)
+        return self.keep("mrr_movements", mrr.mrr_movements(self.mrr_state, self.periods.year))
 
     @cached_property
     def mrr_movement_drivers(self) -> DataFrame:
-        drivers = mrr.mrr_movement_drivers(self.mrr_state, self.periods.year)
-        return self.keep("mrr_movement_drivers", drivers)
+        return self.keep("mrr_movement_drivers", mrr.movement_drivers(self.mrr_movements))
 
     @cached_property
     def mrr_driver_peaks(self) -> DataFrame:
@@ -128,9 +127,7 @@ class Layer:
     @cached_property
     def retry_exhausted_revenue_lost(self) -> DataFrame:
         s = self.staging
-        lost = retries.retry_exhausted_revenue_lost(
-            self.mrr_state, s.invoices, s.charges, self.periods.year
-        )
+        lost = retries.revenue_lost_of(self.mrr_movements, s.invoices, s.charges, self.periods.year)
         return self.keep("retry_exhausted_revenue_lost", lost)
 
     @cached_property
@@ -222,6 +219,7 @@ STORED = (
     "chargeback_restatement",
     "mrr_state",
     "mrr_rate_of_change",
+    "mrr_movements",
     "mrr_movement_drivers",
     "retry_exhausted_revenue_lost",
     "paid_signup_cohort",
@@ -244,27 +242,74 @@ EXPORTED = (
 )
 
 
+# What identifies a row of each stored table.
+GRAINS = {
+    "invoice_cohort": ("invoice_id",),
+    "processor_side": ("invoice_id",),
+    "invoice_recon": ("invoice_id",),
+    "chargeback_restatement": ("dispute_reason",),
+    "mrr_state": ("subscription_id", "mrr_month"),
+    "mrr_rate_of_change": ("mrr_month",),
+    "mrr_movements": ("subscription_id", "mrr_month"),
+    "mrr_movement_drivers": ("mrr_month",),
+    "retry_exhausted_revenue_lost": ("mrr_month",),
+    "paid_signup_cohort": ("customer_id",),
+    "customer_nrr_base": ("customer_id",),
+    "cohort_nrr": ("paid_signup_cohort_month",),
+    "customer_nrr_movement": ("customer_id",),
+    "cohort_nrr_movement": ("paid_signup_cohort_month",),
+}
+
+
+# Tables whose keys the staging tables could repeat: writing counts the rows that do, and a table with any is refused. All
+# others come out of an aggregation by their key, or a full outer join of two, which cannot repeat one.
+COUNTED = {
+    name: GRAINS[name]
+    for name in ("invoice_cohort", "invoice_recon", "mrr_state", "mrr_movements", "customer_nrr_base", "customer_nrr_movement")
+}
+
+
 # Tables stored by month, so that a later step opens only the months it needs.
-PARTITIONED = {"mrr_state": ("mrr_month",)}
+PARTITIONED = {"mrr_state": ("mrr_month",), "mrr_movements": ("mrr_month",)}
+
+
+# Tables that later steps join or group by these columns; a catalog keeps them in buckets.
+BUCKETED = {
+    "invoice_cohort": ("invoice_id",),
+    "processor_side": ("invoice_id",),
+    "invoice_recon": ("invoice_id",),
+    "mrr_state": ("subscription_id",),
+    "mrr_movements": ("subscription_id",),
+    "paid_signup_cohort": ("customer_id",),
+    "customer_nrr_base": ("customer_id",),
+    "customer_nrr_movement": ("customer_id",),
+}
 
 Store = Callable[[str, DataFrame], DataFrame]
 
 
 def in_folder(root: str) -> Store:
     """Store tables as parquet under a folder all executors share."""
-    return lambda name, df: replace_table(df, f"{root}/{name}", PARTITIONED.get(name, ()))
+    return lambda name, df: replace_table(df, f"{root}/{name}", PARTITIONED.get(name, ()), COUNTED.get(name, ()))
+
 
+def in_database(database: str, buckets: int = 0) -> Store:
+    """Store tables in a catalog database, those of `BUCKETED` in so many buckets.
 
-def in_database(database: str) -> Store:
-    """Store tables in a catalog database."""
-    return lambda name, df: replace_catalog_table(df, f"{database}.{name}", PARTITIONED.get(name, ()))
+    A join shuffles neither of two tables with equal buckets, and of a table without them only that one. Spark keeps to
+    the buckets if they are no fewer than `spark.sql.shuffle.partitions`.
+    """
+    return lambda name, df: replace_catalog_table(
+        df, f"{database}.{name}", PARTITIONED.get(name, ()), COUNTED.get(name, ()), BUCKETED.get(name, ()), buckets
+    )
 
 
 def write_layer(staging: Staging, periods: Periods, store: Store) -> Layer:
     """Store every table and return the layer reading them.
 
     Each table is computed once and read back by its successors. The MRR state is partitioned
-    by month, so the retention base opens two of its thirteen partitions.
+    by month, so the retention base opens two of its thirteen partitions. A table that breaks its
+    declared grain ends the run with BrokenGrain, before it replaces the one that is there.
     """
     layer = Layer(staging, periods, store)
     for name in STORED:

@@ -1,12 +1,14 @@
 """The stored layer, the staging sources and the sinks."""
 
+import re
+
 import pytest
 
 from billscope.plans.catalog import sample_layer
-from billscope.plans.layer import STORED, in_folder, write_layer
+from billscope.plans.layer import BUCKETED, COUNTED, GRAINS, STORED, in_database, in_folder, write_layer
 from billscope.plans.periods import SAMPLE_1999
 from billscope.sources.sample import sample_staging
-from billscope.sources.sinks import export_csv, replace_catalog_table, replace_table
+from billscope.sources.sinks import BrokenGrain, export_csv, replace_catalog_table, replace_table
 from billscope.sources.staging import SCHEMAS, Staging, staging_from_catalog, staging_from_parquet
 
 SMALL = "/root/testdata/sf0.001"
@@ -134,9 +136,107 @@ def test_periods_of_a_month():
     assert Periods.for_month(2024, 12).invoices == (date(2024, 12, 1), date(2025, 1, 1))
 
 
-def test_a_table_is_not_replaced_by_what_is_read_from_it(spark, tmp_path):
-    path = f"{tmp_path}/numbers"
-    stored = replace_table(spark.range(3), path)
-    with pytest.raises(ValueError, match="input"):
-        replace_table(stored.filter("id > 0"), f"file:{path}/")
-    assert replace_table(spark.range(5), path).count() == 5
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def bucketed(spark, tmp_path_factory):
+    """The layer in a catalog with 8 buckets a table, as many as shuffle partitions, and joins that cannot broadcast."""
+    spark.sql(f"CREATE DATABASE billscope_buckets LOCATION '{tmp_path_factory.mktemp('buckets')}'")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield write_layer(sample_staging(spark, SMALL), SAMPLE_1999, in_database("billscope_buckets", 8))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    spark.sql("DROP DATABASE billscope_buckets CASCADE")
+
+
+def test_bucketed_tables_equal_the_lazy_plans(spark, bucketed):
+    lazy = sample_layer(spark, SMALL)
+    for name in STORED:
+        kept, planned = getattr(bucketed, name), getattr(lazy, name)
+        assert kept.exceptAll(planned).count() == 0 == planned.exceptAll(kept).count(), name
+
+
+def depth(line: str) -> int:
+    return len(line) - len(line.lstrip(" :+-*()0123456789"))
+
+
+def step_above(df, table: str) -> str:
+    """The first join, window or shuffle that the rows of a table meet in the physical plan; the one for each scan of it."""
+    lines = plan(df).splitlines()
+    found = set()
+    for i, line in enumerate(lines):
+        if f".{table}[" in line:
+            at = depth(line)
+            for above in reversed(lines[:i]):
+                if depth(above) < at:
+                    at = depth(above)
+                    if kind := re.search(r"Exchange|Join|Window|Aggregate", above):
+                        found.add(kind[0])
+                        break
+    return "/".join(sorted(found))
+
+
+def test_steps_by_key_shuffle_no_bucketed_table(bucketed):
+    from billscope.operators import mrr, reconciliation, retention
+
+    s, p = bucketed.staging, bucketed.periods
+    side = reconciliation.processor_side(s.balance_transactions, s.charges, bucketed.invoice_cohort)
+    gaps = reconciliation.reconcile(bucketed.invoice_cohort, bucketed.processor_side)
+    movements = mrr.mrr_movements(bucketed.mrr_state, p.year)
+    base = retention.customer_nrr_base(bucketed.paid_signup_cohort, bucketed.mrr_state, p.anchor_month, p.last_month)
+    assert step_above(side, "invoice_cohort") == "Join"
+    assert step_above(gaps, "invoice_cohort") == step_above(gaps, "processor_side") == "Join"
+    assert step_above(movements, "mrr_state") == "Window"
+    assert step_above(base, "paid_signup_cohort") == "Join"
+    assert "Exchange" not in plan(gaps) + plan(movements)
+
+
+def test_every_stored_table_declares_its_grain(stored):
+    _, layer = stored
+    assert set(GRAINS) == set(STORED) >= set(BUCKETED)
+    for name, grain in GRAINS.items():
+        table = getattr(layer, name)
+        assert table.select(*grain).distinct().count() == table.count(), name
+    for name, columns in BUCKETED.items():
+        assert set(columns) <= set(GRAINS[name])
+
+
+def test_a_clean_layer_pays_no_shuffle_for_its_grains(spark):
+    from pyspark.sql import Observation
+
+    from billscope.sources.sinks import watched
+
+    lazy = sample_layer(spark, SMALL)
+    for name, grain in COUNTED.items():
+        table = getattr(lazy, name)
+        own, checked = plan(table).count("Exchange"), plan(watched(table, grain, Observation())).count("Exchange")
+        # The cohort is a filtered scan: nothing has dealt its rows by key yet.
+        assert checked == own + (name == "invoice_cohort"), name
+
+
+def test_a_repeated_subscription_record_is_refused_and_the_old_layer_stays(spark, tmp_path):
+    root = str(tmp_path / "layer")
+    staging = sample_staging(spark, SMALL)
+    write_layer(staging, SAMPLE_1999, in_folder(root))
+    rows = spark.read.parquet(f"{root}/mrr_state").count()
+    tables = staging.tables()
+    tables["subscriptions"] = tables["subscriptions"].unionByName(tables["subscriptions"].orderBy("subscription_id").limit(1))
+    with pytest.raises(BrokenGrain, match="mrr_state") as refused:
+        write_layer(Staging(**tables), SAMPLE_1999, in_folder(root))
+    assert all(key["rows"] == 2 for key in refused.value.keys)
+    assert spark.read.parquet(f"{root}/mrr_state").count() == rows
+
+
+def test_reports_of_a_stored_layer_read_its_movements(stored):
+    """Neither the drivers nor the lost revenue builds the state or pairs its months again."""
+    from billscope.operators import retries
+    from billscope.operators.mrr import movement_drivers
+
+    _, layer = stored
+    s, year = layer.staging, layer.periods.year
+    for df in (movement_drivers(layer.mrr_movements), retries.revenue_lost_of(layer.mrr_movements, s.invoices, s.charges, year)):
+        text = plan(df)
+        assert text.count("/mrr_movements") == 1 and "/mrr_state" not in text and "Window" not in text
+    assert re.search(r"PartitionFilters: \[[^]]*mrr_month", plan(layer.mrr_movements.filter("mrr_month = date'1999-05-01'")))

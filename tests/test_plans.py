@@ -123,3 +123,9 @@ def test_small_cohort_prunes_below_every_aggregation(spark):
             if depth <= lines[i][0]:
                 break
             assert "Aggregate" not in line
+
+
+def test_lost_revenue_plans_the_state_once(plans):
+    """Its input events are scanned once, however often the reports' parts use them."""
+    text = plans["retry_exhausted_revenue_lost"]
+    assert text.count("partial_max") == plans["mrr_state"].count("partial_max")
