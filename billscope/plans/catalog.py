@@ -24,6 +24,7 @@ QUERIES = (
     "chargeback_share",
     "closing_events",
     "mrr_state",
+    "mrr_state_refreshed",
     "mrr_totals",
     "mrr_rate_of_change",
     "mrr_growth_summary",

@@ -1,15 +1,24 @@
 """The whole analytics layer: from staging to every table and report."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.operators import chargebacks, mrr, quality, reconciliation, reports, retention, retries
+from billscope.functions.months import later_month
+from billscope.operators import chargebacks, mrr, quality, reconciliation, refresh, reports, retention, retries
 from billscope.plans.periods import Periods
-from billscope.sources.sinks import export_csv, replace_catalog_table, replace_table
+from billscope.sources.sinks import (
+    export_csv,
+    read_table,
+    replace_catalog_partitions,
+    replace_catalog_table,
+    replace_partitions,
+    replace_table,
+)
 from billscope.sources.staging import Staging
 
 
@@ -91,6 +100,16 @@ class Layer:
         state = mrr.mrr_state(s.subscription_events, s.subscriptions, p.anchor_month, p.n_months)
         return self.keep("mrr_state", state)
 
+    @cached_property
+    def mrr_state_refreshed(self) -> DataFrame:
+        """The state built from the events before the middle of the year, then refreshed by all later ones."""
+        s, p = self.staging, self.periods
+        middle, of = F.lit(later_month(p.year_start, 6)), (p.anchor_month, p.n_months)
+        earlier = s.subscription_events.filter(F.col("event_effective_at") < middle)
+        known = mrr.mrr_state(earlier, s.subscriptions, *of)
+        changed = refresh.changed_keys(earlier, s.subscription_events, "subscription_id")
+        return refresh.refreshed_state(known, s.subscription_events, s.subscriptions, changed, *of)
+
     @cached_property
     def mrr_totals(self) -> DataFrame:
         return mrr.mrr_totals(self.mrr_state)
@@ -288,20 +307,45 @@ BUCKETED = {
 Store = Callable[[str, DataFrame], DataFrame]
 
 
-def in_folder(root: str) -> Store:
+@dataclass(frozen=True)
+class in_folder:  # noqa: N801: reads as a place, in_folder(root)
     """Store tables as parquet under a folder all executors share."""
-    return lambda name, df: replace_table(df, f"{root}/{name}", PARTITIONED.get(name, ()), COUNTED.get(name, ()))
 
+    root: str
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        return replace_table(df, f"{self.root}/{name}", PARTITIONED.get(name, ()), COUNTED.get(name, ()))
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        return read_table(spark, f"{self.root}/{name}")
+
+    def replace_months(self, name: str, df: DataFrame, months: Sequence[date]) -> None:
+        replace_partitions(df, f"{self.root}/{name}", *PARTITIONED[name], months)
 
-def in_database(database: str, buckets: int = 0) -> Store:
+
+@dataclass(frozen=True)
+class in_database:  # noqa: N801
     """Store tables in a catalog database, those of `BUCKETED` in so many buckets.
 
     A join shuffles neither of two tables with equal buckets, and of a table without them only that one. Spark keeps to
     the buckets if they are no fewer than `spark.sql.shuffle.partitions`.
     """
-    return lambda name, df: replace_catalog_table(
-        df, f"{database}.{name}", PARTITIONED.get(name, ()), COUNTED.get(name, ()), BUCKETED.get(name, ()), buckets
-    )
+
+    database: str
+    buckets: int = 0
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        bucket_by = BUCKETED.get(name, ())
+        return replace_catalog_table(
+            df, f"{self.database}.{name}", PARTITIONED.get(name, ()), COUNTED.get(name, ()), bucket_by, self.buckets
+        )
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.table(f"{self.database}.{name}")
+
+    def replace_months(self, name: str, df: DataFrame, months: Sequence[date]) -> None:
+        bucketed = df.repartition(self.buckets, *BUCKETED[name]) if self.buckets else df
+        replace_catalog_partitions(bucketed, f"{self.database}.{name}", *PARTITIONED[name], months)
 
 
 def write_layer(staging: Staging, periods: Periods, store: Store) -> Layer:

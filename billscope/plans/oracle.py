@@ -416,6 +416,7 @@ FROM restated r, (SELECT CAST(sum(invoice_count) AS BIGINT) AS all_invoice_count
   CAST(sum(total_lost_net_cents) AS BIGINT) AS all_lost_net_cents FROM restated)""",
     "closing_events": "SELECT * FROM closing",
     "mrr_state": "SELECT * FROM state",
+    "mrr_state_refreshed": "SELECT * FROM state",
     "mrr_totals": "SELECT * FROM totals",
     "mrr_rate_of_change": "SELECT * FROM rate_of_change",
     "mrr_growth_summary": f"""SELECT f.mrr_month AS first_month, l.mrr_month AS last_month,

@@ -1,0 +1,138 @@
+"""A refreshed layer equals a rebuilt one, and months that nothing touched keep their files."""
+
+import random
+from datetime import date, datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from billscope.operators import refresh as operators
+from billscope.plans.layer import STORED, in_database, in_folder, write_layer
+from billscope.plans.periods import Periods
+from billscope.plans.refresh import refresh_layer, refresh_mrr
+from billscope.sources.sinks import BrokenGrain
+from billscope.sources.staging import SCHEMAS, Staging
+from tests.fixtures import table
+
+PERIODS = Periods.for_month(2024, 6)
+KINDS = ("created", "upgraded", "downgraded", "canceled", "reactivated", None)
+
+
+def drawn_events(seed, n, first="2023-06-01", days=580, number=0):
+    draw = random.Random(seed)
+    start = datetime.fromisoformat(first)
+    return [
+        {
+            "subscription_event_id": f"ev_{number + k:05d}",
+            "subscription_id": draw.choice([None, *(f"s{j}" for j in range(25))]),
+            "customer_id": f"c{draw.randrange(9)}",
+            "subscription_event_type": draw.choice(KINDS),
+            "event_effective_at": start + timedelta(days=draw.randrange(days)),
+            "previous_plan_amount_cents": draw.choice([None, 500, 1000]),
+            "new_plan_amount_cents": draw.choice([0, 700, 1200]),
+        }
+        for k in range(n)
+    ]
+
+
+def staging(spark, events):
+    invoices = [
+        {"invoice_id": f"in{j}", "customer_id": f"c{j}", "invoice_amount_paid_cents": 100, "invoice_created": datetime(2023, 5 + j % 3, 3), "invoice_paid": True, "invoice_status": "paid", "invoice_collection_method": "charge_automatically"}
+        for j in range(9)
+    ]
+    rows = {"subscription_events": events, "invoices": invoices, "subscriptions": [{"subscription_id": f"s{j}", "plan_interval": "month" if j % 3 else "year"} for j in range(25)]}
+    return Staging(**{name: table(spark, name, rows.get(name, [])) for name in SCHEMAS})
+
+
+def same(left, right):
+    left = left.select(*right.columns)
+    return left.exceptAll(right).count() == 0 == right.exceptAll(left).count()
+
+
+def month_files(root, name):
+    found = {}
+    for p in Path(root).glob(f"{name}/mrr_month=*/*.parquet"):
+        found.setdefault(p.parent.name, set()).add(p.name)
+    return found
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE billscope_refresh LOCATION '{tmp_path}/database'")
+    yield "billscope_refresh"
+    spark.sql("DROP DATABASE billscope_refresh CASCADE")
+
+
+@pytest.mark.parametrize("kind", ["folder", "catalog", "bucketed"])
+def test_refresh_equals_rebuild_and_keeps_untouched_months(spark, tmp_path, database, kind):
+    root = f"{tmp_path}/layer" if kind == "folder" else f"{tmp_path}/database"
+    store = in_folder(root) if kind == "folder" else in_database(database, 3 if kind == "bucketed" else 0)
+    known = drawn_events(1, 120)
+    # Late and corrected events, all in autumn or later, one event taken back.
+    gone = max(known, key=lambda e: e["event_effective_at"])
+    late = drawn_events(2, 6, "2024-09-05", 80, 1000)
+    now = [e for e in known if e is not gone] + late
+    before, after = staging(spark, known), staging(spark, now)
+    write_layer(before, PERIODS, store)
+    files = {name: month_files(root, name) for name in ("mrr_state", "mrr_movements")}
+    changed = operators.changed_keys(before.subscription_events, after.subscription_events, "subscription_id")
+    assert {r[0] for r in changed.collect()} == {e["subscription_id"] for e in [gone, *late]}
+    layer = refresh_layer(after, PERIODS, store, changed)
+    rebuilt = write_layer(after, PERIODS, in_folder(f"{tmp_path}/rebuilt"))
+    for name in STORED if kind == "folder" else ("mrr_state", "mrr_movements", "mrr_rate_of_change", "cohort_nrr_movement"):
+        assert same(store.read(spark, name), getattr(rebuilt, name)), name
+    assert getattr(layer, "cohort_nrr").columns == rebuilt.cohort_nrr.columns
+    for name, before_files in files.items():
+        kept = {month: some for month, some in before_files.items() if month < "mrr_month=2024-09"}
+        assert len(kept) >= 8
+        assert kept == {month: some for month, some in month_files(root, name).items() if month < "mrr_month=2024-09"}
+        assert before_files != month_files(root, name)
+
+
+def test_a_month_that_loses_its_last_row_goes(spark, tmp_path):
+    only = [dict(drawn_events(1, 1)[0], subscription_id="s1", subscription_event_type="created", event_effective_at=datetime(2023, 11, 2))]
+    cancel = [*only, dict(only[0], subscription_event_id="x", subscription_event_type="canceled", event_effective_at=datetime(2024, 3, 9))]
+    store = in_folder(str(tmp_path))
+    write_layer(staging(spark, only), PERIODS, store)
+    changed = spark.createDataFrame([("s1",)], "subscription_id string")
+    months = refresh_mrr(staging(spark, cancel), PERIODS, store, changed)
+    assert months == [date(2024, m, 1) for m in range(3, 13)]
+    assert {r[0] for r in store.read(spark, "mrr_state").select("mrr_month").distinct().collect()} == {date(2023, 12, 1), *(date(2024, m, 1) for m in (1, 2, 3))}
+    assert max(r[0] for r in store.read(spark, "mrr_movements").select("mrr_month").collect()) == date(2024, 4, 1)
+    assert refresh_mrr(staging(spark, cancel), PERIODS, store, changed) == [], "again: nothing differs"
+
+
+def test_a_changed_record_is_a_change_and_a_doubled_one_is_refused(spark, tmp_path):
+    before = staging(spark, drawn_events(3, 60))
+    store = in_folder(str(tmp_path))
+    write_layer(before, PERIODS, store)
+    yearly = before.subscriptions.withColumn("plan_interval", F.when(F.col("subscription_id") == "s4", "year").otherwise(F.col("plan_interval")))
+    after = Staging(**{**before.tables(), "subscriptions": yearly})
+    changed = operators.changed_keys(before.subscriptions, yearly, "subscription_id")
+    assert [r[0] for r in changed.collect()] == ["s4"]
+    refresh_mrr(after, PERIODS, store, changed)
+    assert same(store.read(spark, "mrr_state"), write_layer(after, PERIODS, in_folder(f"{tmp_path}/rebuilt")).mrr_state)
+    doubled = Staging(**{**before.tables(), "subscriptions": yearly.unionByName(yearly)})
+    rows = store.read(spark, "mrr_state").count()
+    with pytest.raises(BrokenGrain, match="mrr_state"):
+        refresh_mrr(doubled, PERIODS, store, changed)
+    assert store.read(spark, "mrr_state").count() == rows
+
+
+def test_changes_are_told_apart_from_order_and_found_among_repeats(spark):
+    rows = [("a", 1), ("a", 2), ("b", 1), ("b", 1), (None, 1), ("gone", 1), ("same", None)]
+    before = spark.createDataFrame(rows, "k string, v int")
+    now = spark.createDataFrame([("a", 2), ("a", 1), ("b", 1), (None, 2), ("new", 1), ("same", None)], "k string, v int")
+    assert {r[0] for r in operators.changed_keys(before, now, "k").collect()} == {"b", None, "gone", "new"}
+    assert operators.changed_keys(before, before.orderBy("v"), "k").collect() == []
+
+
+def test_only_changed_subscriptions_are_aggregated(spark):
+    before = staging(spark, drawn_events(4, 50))
+    changed = spark.createDataFrame([("s1",)], "subscription_id string")
+    fresh = operators.fresh_state(before.subscription_events, before.subscriptions, changed, PERIODS.anchor_month, PERIODS.n_months)
+    assert {r[0] for r in fresh.select("subscription_id").distinct().collect()} <= {"s1"}
+    lines = fresh._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    assert any("Aggregate" in line for line in lines[:semi]) and not any("Aggregate" in line for line in lines[semi:])
