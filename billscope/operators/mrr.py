@@ -19,51 +19,53 @@ EVENT_FIELDS = (
     "new_plan_amount_cents",
 )
 
+# A subscription with more than this share of the events has them reduced before they are shuffled.
+HOT_SHARE = 1 / 1000
+
+
+def hot_subscriptions(events: DataFrame) -> Column:
+    """The subscriptions with a share of HOT_SHARE or more (ids), and whether events without one have it (unnamed): a scalar
+    subquery over a sketch of one column.
+
+    There are at most 1 / HOT_SHARE of them, and mostly none. The sketch may err by a fraction of that share, which
+    changes where an event is reduced and not what comes out.
+    """
+    most = round(1 / HOT_SHARE)
+    top = events.agg(F.expr(f"approx_top_k(subscription_id, {most}, {10 * most})").alias("top"), F.count("*").alias("n"))
+    hot = F.filter("top", lambda item: item["count"] >= F.greatest(F.lit(2), F.col("n") * HOT_SHARE))
+    ids = top.select(F.transform(hot, lambda item: item["item"]).alias("ids"))
+    return ids.select(F.struct("ids", F.exists("ids", lambda item: item.isNull()).alias("unnamed"))).scalar()
+
 
 def closing_events(events: DataFrame, first_month: date, n_months: int) -> DataFrame:
     """The last event of each subscription in each month, with the month of the next one.
 
-    Only the last event before a month's cutoff can be in force in that month, so one
-    aggregation by subscription keeps one event for each month, and one for everything before
-    the first reported month. It combines map-side: a subscription with very many events ships
-    one row per task. The next event is then read from the kept ones beside it, without a
-    second shuffle or a window. The order is (effective_at, event id) with a NULL id last; the
-    payload sits behind the ordering fields of one struct, so MAX picks a whole row.
+    Only the last event before a month's cutoff can be in force in that month, so one event is
+    kept for each month, and one for everything before the first reported month. The order is
+    (effective_at, event id) with a NULL id last. Dealt by subscription and sorted, an event is
+    the last one of its month if the next one is of another month, and that is the month asked
+    for: one shuffle and one sort, whatever the number of months. Events of a subscription that
+    has a notable share of all are reduced to one for each month and task before they move.
     """
-    months = [later_month(first_month, k) for k in range(-1, n_months)]
-    event = F.struct(
-        "event_effective_at",
-        F.col("subscription_event_id").isNull().alias("id_missing"),
-        "subscription_event_id",
-        "customer_id",
-        "subscription_event_type",
-        "previous_plan_amount_cents",
-        "new_plan_amount_cents",
-    )
-    in_scope = events.filter(
-        F.col("event_effective_at") < F.lit(later_month(first_month, n_months))
-    ).select(
+    start = later_month(first_month, -1)
+    in_scope = events.filter(F.col("event_effective_at") < F.lit(later_month(first_month, n_months)))
+    rows = in_scope.select(
         "subscription_id",
-        F.greatest(month_of(F.col("event_effective_at")), F.lit(months[0])).alias("event_month"),
-        event.alias("event"),
-    )
-    latest = [F.max(F.when(F.col("event_month") == F.lit(m), F.col("event"))) for m in months]
-    of_month = (
-        F.struct(F.lit(m).alias("event_month"), F.col(f"latest_{k}").alias("event"))
-        for k, m in enumerate(months)
+        F.greatest(month_of(F.col("event_effective_at")), F.lit(start)).alias("event_month"),
+        *EVENT_FIELDS,
     )
-    held = F.filter(F.array(*of_month), lambda kept: kept["event"].isNotNull())
+    hot, subscription = hot_subscriptions(in_scope), F.col("subscription_id")
+    is_hot = F.coalesce(F.when(subscription.isNull(), hot["unnamed"]).otherwise(F.array_contains(hot["ids"], subscription)), F.lit(False))
+    order = ("event_effective_at", F.col("subscription_event_id").isNull(), "subscription_event_id")
+    latest_first = Window.partitionBy("subscription_id", "event_month").orderBy(*(F.desc(c) if isinstance(c, str) else c.desc() for c in order))
+    reduced = rows.filter(is_hot).withColumn("place", F.row_number().over(latest_first)).filter("place = 1").drop("place")
+    history = Window.partitionBy("subscription_id").orderBy(*order)
     return (
-        in_scope.groupBy("subscription_id")
-        .agg(*(column.alias(f"latest_{k}") for k, column in enumerate(latest)))
-        .select("subscription_id", held.alias("held"))
-        .select("subscription_id", "held", F.posexplode("held").alias("place", "kept"))
-        .select(
-            "subscription_id",
-            F.col("kept.event_month").alias("event_month"),
-            *(F.col(f"kept.event.{f}").alias(f) for f in EVENT_FIELDS),
-            F.get("held", F.col("place") + 1)["event_month"].alias("next_event_month"),
-        )
+        rows.filter(~is_hot)
+        .unionByName(reduced)
+        .withColumn("next_event_month", F.lead("event_month").over(history))
+        .filter(F.col("next_event_month").isNull() | (F.col("next_event_month") != F.col("event_month")))
+        .select("subscription_id", "event_month", *EVENT_FIELDS, "next_event_month")
     )
 
 

@@ -216,3 +216,32 @@ def test_rate_is_null_after_a_month_without_mrr(spark):
     assert found[date(2024, 1, 1)]["mrr_change_rate"] is None
     assert found[date(2024, 1, 1)]["prev_mrr_cents"] == 0
     assert float(found[date(2024, 2, 1)]["mrr_change_rate"]) == 0.5
+
+
+def test_hot_subscriptions_and_long_calendars_give_the_same(spark, monkeypatch):
+    """Whichever subscriptions are reduced before the shuffle, NULL ones and ties included, and over 240 months."""
+    import random
+
+    draw = random.Random(8)
+    rows = [
+        event(draw.choice([None, "hot", "hot", "hot", *"abcdef"]), draw.choice([None, *range(40)]), "upgraded", f"20{draw.randrange(5, 25):02d}-{draw.randrange(1, 13):02d}-{draw.choice((3, 3, 17))}".replace("-3", "-03"), 1, draw.randrange(1000))
+        for _ in range(400)
+    ]
+    events = staging(spark, subscription_events=rows).subscription_events.dropDuplicates(["subscription_id", "event_effective_at", "subscription_event_id"])
+    first, n_months = date(2004, 12, 1), 240
+    kept = [r.asDict() for r in events.collect()]
+
+    def expected():
+        latest = {}
+        for r in kept:
+            if r["event_effective_at"] < at("2024-12-01"):
+                month = max(date(2004, 11, 1), r["event_effective_at"].date().replace(day=1))
+                key = (r["subscription_id"], month)
+                order = (r["event_effective_at"], r["subscription_event_id"] is None, r["subscription_event_id"] or "")
+                latest[key] = max(latest.get(key, (order, r["new_plan_amount_cents"])), (order, r["new_plan_amount_cents"]))
+        return {k: (v[1], min((m for s, m in latest if s == k[0] and m > k[1]), default=None)) for k, v in latest.items()}
+
+    for share in (1 / 1000, 1 / 4, 1.0):
+        monkeypatch.setattr(mrr, "HOT_SHARE", share)
+        found = {(r.subscription_id, r.event_month): (r.new_plan_amount_cents, r.next_event_month) for r in mrr.closing_events(events, first, n_months).collect()}
+        assert found == expected()
