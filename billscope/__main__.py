@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from billscope.plans.layer import export_layer, in_database, in_folder, write_layer
 from billscope.plans.periods import Periods
+from billscope.sources.monthly import read_monthly, write_monthly
 from billscope.sources.staging import staging_from_catalog, staging_from_parquet
 
 
@@ -16,6 +17,8 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--staging-path", help="folder with one parquet dataset per staging table")
     source.add_argument("--staging-database", help="catalog database with stg_* tables")
+    source.add_argument("--monthly-path", help="folder with staging tables laid out by month (see --lay-out)")
+    parser.add_argument("--lay-out", help="folder to lay the staging tables out in by month first, and to read them from")
     target = parser.add_mutually_exclusive_group(required=True)
     target.add_argument("--out-path", help="folder for the tables, shared by all executors")
     target.add_argument("--out-database", help="catalog database for the tables")
@@ -31,10 +34,14 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName("billscope").getOrCreate()
-    if args.staging_path:
+    if args.monthly_path:
+        staging = read_monthly(spark, args.monthly_path)
+    elif args.staging_path:
         staging = staging_from_parquet(spark, args.staging_path)
     else:
         staging = staging_from_catalog(spark, args.staging_database)
+    if args.lay_out:
+        staging = write_monthly(staging, args.lay_out)
     store = in_folder(args.out_path) if args.out_path else in_database(args.out_database, args.buckets)
     layer = write_layer(staging, Periods.for_month(args.year, args.month, args.closed_from, args.months), store)
     if args.csv:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from billscope.functions import vocabulary as v
-from billscope.functions.months import within
+from billscope.functions.months import in_months, invoice_key, within
 from billscope.functions.numbers import percent
 
 Period = tuple[date, date]
@@ -14,12 +14,12 @@ Period = tuple[date, date]
 
 def chargebacks(balance_transactions: DataFrame, window: Period) -> DataFrame:
     """Dispute rows whose money moved inside the window, keyed by dispute."""
-    return balance_transactions.filter(
+    return in_months(balance_transactions, "available_month", *window).filter(
         (F.col("balance_reporting_category") == v.DISPUTE)
         & within(F.col("balance_available_on"), *window)
     ).select(
         F.col("balance_source_id").alias("dispute_id"),
-        "invoice_id",
+        *invoice_key(balance_transactions),
         "customer_id",
         "balance_available_on",
         "balance_net_cents",
@@ -29,7 +29,7 @@ def chargebacks(balance_transactions: DataFrame, window: Period) -> DataFrame:
 def closed_invoices(invoices: DataFrame, period: Period) -> DataFrame:
     """Invoices whose billing period ended inside the closed period."""
     return invoices.filter(within(F.col("invoice_period_end"), *period)).select(
-        "invoice_id", "invoice_period_end"
+        *invoice_key(invoices), "invoice_period_end"
     )
 
 
@@ -44,7 +44,7 @@ def old_invoice_chargebacks(
     return (
         chargebacks(balance_transactions, chargeback_window)
         .join(disputes.select("dispute_id", "dispute_reason"), "dispute_id")
-        .join(closed_invoices(invoices, period_window), "invoice_id")
+        .join(closed_invoices(invoices, period_window), invoice_key(balance_transactions, invoices))
         .select(
             "dispute_id",
             "invoice_id",
@@ -69,19 +69,20 @@ def chargeback_restatement(
     Sums are taken before each join, so a dispute or invoice repeated very often reaches the
     join as one row. A sum distributes over an equi-join, so totals are unchanged.
     """
+    key = invoice_key(balance_transactions, invoices)
     by_dispute = (
         chargebacks(balance_transactions, chargeback_window)
-        .groupBy("dispute_id", "invoice_id")
+        .groupBy("dispute_id", *key)
         .agg(F.sum("balance_net_cents").alias("net_cents"))
     )
     by_reason_and_invoice = (
         by_dispute.join(disputes.select("dispute_id", "dispute_reason"), "dispute_id")
-        .groupBy("dispute_reason", "invoice_id")
+        .groupBy("dispute_reason", *key)
         .agg(F.sum("net_cents").alias("net_cents"))
     )
     return (
         by_reason_and_invoice.join(
-            closed_invoices(invoices, period_window).select("invoice_id"), "invoice_id"
+            closed_invoices(invoices, period_window).select(*key), key
         )
         .groupBy("dispute_reason")
         .agg(

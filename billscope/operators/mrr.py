@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billscope.functions import vocabulary as v
-from billscope.functions.months import in_year, later_month, month_of
+from billscope.functions.months import in_months, in_year, later_month, month_of
 from billscope.functions.numbers import flag, quotient, sum_where
 
 
@@ -48,7 +48,8 @@ def closing_events(events: DataFrame, first_month: date, n_months: int) -> DataF
     has a notable share of all are reduced to one for each month and task before they move.
     """
     start = later_month(first_month, -1)
-    in_scope = events.filter(F.col("event_effective_at") < F.lit(later_month(first_month, n_months)))
+    cutoff = later_month(first_month, n_months)
+    in_scope = in_months(events, "effective_month", None, cutoff).filter(F.col("event_effective_at") < F.lit(cutoff))
     rows = in_scope.select(
         "subscription_id",
         F.greatest(month_of(F.col("event_effective_at")), F.lit(start)).alias("event_month"),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billscope.functions import vocabulary as v
-from billscope.functions.months import within
+from billscope.functions.months import in_months, invoice_key, within
 from billscope.functions.numbers import any_flag, count_where, flag, quotient, sum_where
 
 
@@ -20,8 +20,9 @@ def invoice_cohort(
     invoices: DataFrame, start: date, end: date, method: str = v.CHARGE_AUTOMATICALLY
 ) -> DataFrame:
     """Paid invoices created in [start, end) and collected by `method`; one row per invoice."""
-    return invoices.filter(in_cohort(start, end, method)).select(
-        "invoice_id", "customer_id", "invoice_amount_paid_cents"
+    of_months = in_months(invoices, "invoice_month", start, end)
+    return of_months.filter(in_cohort(start, end, method)).select(
+        "invoice_id", "customer_id", "invoice_amount_paid_cents", *invoice_key(invoices)[1:]
     )
 
 
@@ -38,7 +39,7 @@ def ledger_movements(balance_transactions: DataFrame) -> DataFrame:
     return balance_transactions.filter(
         F.col("balance_reporting_category").isin(*v.LEDGER_CATEGORIES)
     ).select(
-        "invoice_id",
+        *invoice_key(balance_transactions),
         F.col("balance_reporting_category").alias("category"),
         F.col("balance_amount_cents").alias("amount_cents"),
         F.col("balance_available_on").cast("date").alias("available_date"),
@@ -81,7 +82,7 @@ def ledger_by_invoice(balance_transactions: DataFrame) -> DataFrame:
     category, amount = F.col("category"), F.col("amount_cents")
     charge_date = F.when(category == v.CHARGE, F.col("available_date"))
     disputed = sum_where(category.isin(v.DISPUTE, v.DISPUTE_REVERSAL), amount)
-    return ledger_movements(balance_transactions).groupBy("invoice_id").agg(
+    return ledger_movements(balance_transactions).groupBy(*invoice_key(balance_transactions)).agg(
         F.sum(amount).alias("processor_balance_amount_cents"),
         any_flag(category == v.CHARGE).alias("has_charge_row"),
         any_flag(category == v.REFUND).alias("has_refund_activity"),
@@ -110,7 +111,8 @@ def charges_of(charges: DataFrame, invoices: DataFrame) -> DataFrame:
     the join would stay on its partitioning by invoice: adaptive execution could not split an
     invoice with very many attempts, and one task would aggregate it.
     """
-    own = charges.join(invoices.select("invoice_id"), "invoice_id", "left_semi")
+    key = invoice_key(charges, invoices)
+    own = charges.join(invoices.select(*key), key, "left_semi")
     return own.repartition("invoice_id", "charge_id")
 
 
@@ -126,8 +128,8 @@ def processor_side(
     aggregations after it are of cohort size. An invoice with very many attempts is a skewed
     key of that one join, which adaptive execution splits, and is spread over its charges next.
     """
-    invoice_ids = cohort.select("invoice_id")
-    ledger = ledger_by_invoice(balance_transactions).join(invoice_ids, "invoice_id", "left_semi")
+    key = invoice_key(balance_transactions, cohort)
+    ledger = ledger_by_invoice(balance_transactions).join(cohort.select(*key), key, "left_semi").drop(*key[1:])
     attempts = attempts_by_invoice(charges_of(charges, cohort))
     both = ledger.join(attempts, "invoice_id", "full")
     zeros = [c for c in both.columns if c != "invoice_id" and not c.endswith("_date")]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from billscope.functions import vocabulary as v
-from billscope.functions.months import later_month, month_of
+from billscope.functions.months import in_months, later_month, month_of
 from billscope.functions.numbers import count_where, fraction, percent
 
 
@@ -28,7 +28,8 @@ def paid_signup_cohort(invoices: DataFrame, before: date) -> DataFrame:
     """
     month = before.replace(day=1)
     bound = month if month == before else later_month(month, 1)
-    return first_paid_invoices(invoices.filter(F.col("invoice_created") < F.lit(bound))).withColumn(
+    early = in_months(invoices, "invoice_month", None, bound).filter(F.col("invoice_created") < F.lit(bound))
+    return first_paid_invoices(early).withColumn(
         "paid_signup_cohort_month", month_of(F.col("first_paid_invoice_date"))
     ).filter(F.col("paid_signup_cohort_month") < F.lit(before))
 

@@ -5,7 +5,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billscope.functions.months import month_of, within
+from billscope.functions.months import in_months, invoice_key, month_of, within
 from billscope.operators.mrr import mrr_movements
 from billscope.operators.reconciliation import attempts_by_invoice, charges_of
 
@@ -46,15 +46,16 @@ def revenue_lost_of(movements: DataFrame, invoices: DataFrame, charges: DataFram
         )
     )
     month_after = F.add_months(month_of(F.col("invoice_created")), 1)
-    relevant = within(F.col("invoice_created"), date(year - 1, 12, 1), date(year, 12, 1))
+    window, key = (date(year - 1, 12, 1), date(year, 12, 1)), invoice_key(charges, invoices)
     loss = ["customer_id", "mrr_month", "subscriptions_lost", "mrr_lost_cents"]
     before_churn = (
-        invoices.filter(relevant)
-        .select("invoice_id", "customer_id", month_after.alias("mrr_month"))
+        in_months(invoices, "invoice_month", *window)
+        .filter(within(F.col("invoice_created"), *window))
+        .select(*key, "customer_id", month_after.alias("mrr_month"))
         .join(churned, ["customer_id", "mrr_month"])
-        .select("invoice_id", *loss)
+        .select(*key, *loss)
     )
-    tried = charges.join(before_churn, "invoice_id").repartition("invoice_id", "charge_id")
+    tried = charges.join(before_churn, key).repartition("invoice_id", "charge_id")
     return (
         attempts_by_invoice(tried, loss)
         .filter(ran_out())
