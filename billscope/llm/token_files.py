@@ -41,6 +41,19 @@ def _write(folder: str, name: str, numbers: np.ndarray) -> None:
         file.write(numbers.tobytes())
 
 
+def _portions(whole: list[str], most: int = 4_000_000) -> Iterator[list[str]]:
+    """Texts one after another, of so many characters together or a single longer one: a pre-token in many is looked up once."""
+    some, chars = [], 0
+    for text in whole:
+        if some and chars + len(text) > most:
+            yield some
+            some, chars = [], 0
+        some.append(text)
+        chars += len(text)
+    if some:
+        yield some
+
+
 def write_token_files(
     documents: DataFrame,
     folder: str,
@@ -67,11 +80,10 @@ def write_token_files(
         part, name = TaskContext.get().partitionId(), f"part-{uuid.uuid4().hex}"
         ids, lengths, file = [], [], None
         for batch in parts:
-            whole = texts(batch)
-            for at in range(0, len(whole), 500):
+            for some in _portions(texts(batch)):
                 if file is None:
                     file = store.open_output_stream(f"{path}/{name}.bin")
-                for one in tokenizer.encode(whole[at : at + 500]):
+                for one in tokenizer.encode(some):
                     file.write(one + end)
                     lengths.append(len(one) // width + 1)
             ids += [NO_ID if x is None else x for x in batch.column("doc_id").to_pylist()]

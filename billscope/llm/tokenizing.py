@@ -1,5 +1,6 @@
 """Byte-level BPE over whole texts, with the ids of words seen before kept."""
 
+import gc
 import json
 import os
 import re
@@ -29,7 +30,7 @@ class CachedTokenizer:
     kind, are encoded whole. The memory is bounded.
     """
 
-    def __init__(self, path: str, end_id: int | None = None, limit: int = 200_000):
+    def __init__(self, path: str, end_id: int | None = None, limit: int = 400_000):
         self.path, self.of_parts = path, Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             stated = json.load(file)
@@ -60,6 +61,19 @@ class CachedTokenizer:
             found += [array(self.code, x.ids).tobytes() for x in tokenizer.encode_batch_fast(texts[at : at + 2000], add_special_tokens=False)]
         return found
 
+    def _parts(self, words: list[str]) -> list[bytes]:
+        """The ids of pre-tokens: many in one encoding, cut by the pre-token that each id is of."""
+        found = []
+        for at in range(0, len(words), 5000):
+            some = words[at : at + 5000]
+            encoded = self.of_parts.encode(some, is_pretokenized=True, add_special_tokens=False)
+            ends = np.cumsum(np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(some))) * self.dtype.itemsize
+            ids, start = np.array(encoded.ids, self.dtype).tobytes(), 0
+            for end in ends.tolist():
+                found.append(ids[start:end])
+                start = end
+        return found
+
     def _split(self, text: str) -> list[str] | None:
         """The pre-tokens of a text; None where it is to be encoded whole."""
         if any(x in text for x in self.special):
@@ -71,6 +85,15 @@ class CachedTokenizer:
         """The ids of each text, in order."""
         if not self.by_parts:
             return self._bytes(texts, self.tokenizer)
+        collecting = gc.isenabled()
+        gc.disable()  # millions of strings in lists and no cycle among them: walking through them finds nothing
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.limit:  # what is still in use moves over from the generation before
             self.before, self.known = self.known, {}
         known, before = self.known, self.before
@@ -79,7 +102,7 @@ class CachedTokenizer:
         new = [x for x in wanted if x not in known]
         known.update([(x, before[x]) for x in new if x in before])
         new = [x for x in new if x not in before]
-        ids = dict(zip(new, self._bytes(new, self.of_parts), strict=True))
+        ids = dict(zip(new, self._parts(new), strict=True))
         short = all(len(x) <= _LONGEST for x in new)
         known.update(ids if short else {x: y for x, y in ids.items() if len(x) <= _LONGEST})
         lookup = (known if short else known | ids).__getitem__
