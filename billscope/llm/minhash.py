@@ -2,8 +2,8 @@
 
 Two permutations give a whole signature: one scatters the shingles, the other, shifted circularly by one place for each
 coordinate, ranks them. Documents that agree in a band meet in a bucket. No bucket is turned into all its pairs: each
-bucket has a hub, every member is compared with it exactly, and what is left to find between members follows from how each
-differs from the hub (see near_pairs).
+bucket has a hub, every member is compared with it exactly. Members that are not similar to it elect a hub of their own, for a few
+rounds. What is left to find, between members of different families, follows from how each differs from the hub (see near_pairs).
 """
 
 import hashlib
@@ -142,19 +142,48 @@ def _needed(percent: int, *weights: Column) -> Column:
     return F.ceil(total / (100 + percent))
 
 
-def near_pairs(apart: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """a, b: similar documents among the members of a hub, where not both are similar to the hub itself.
+#: Rounds in which members far from a hub elect another one among themselves; near_pairs is exact after any number of them.
+ROUNDS = 3
 
-    With s shingles common to the differences of a and b, the intersection of a and b is h - missing(a) - missing(b) + s
+
+def families(apart: DataFrame, documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """hub, doc, family for members similar to a hub elected by those that are far from theirs; and the links found: a, b.
+
+    Each round compares every member still far with one document per hub, so work and rows grow with members and not with pairs.
+    """
+    far = stored(apart.where(F.col("weight") > (100 - percent) * F.col("h")).select("hub", "doc").distinct(), "far-members")
+    found = None
+    for _ in range(ROUNDS):
+        elected = stored(far.groupBy("hub").agg(F.min("doc").alias("family"), F.count("*").alias("n")).where("n > 1").drop("n"), "elected-hubs")
+        others = stored(far.join(elected, "hub").where("doc <> family"), "far-from-elected")
+        compared = differences(others.select(F.col("family").alias("hub"), "doc").distinct(), documents, percent)
+        near = compared.where(F.col("weight") <= (100 - percent) * F.col("h")).select(F.col("hub").alias("family"), "doc").distinct()
+        joined = stored(others.join(stored(near, "near-elected"), ["family", "doc"]).select("hub", "doc", "family"), "families")
+        found = joined if found is None else found.unionByName(joined)
+        # Those that found no family go on, without the one they were compared with.
+        far = stored(others.select("hub", "doc").join(joined, ["hub", "doc"], "left_anti"), "far-members")
+        if far.isEmpty():
+            break
+    return found, found.select(F.col("family").alias("a"), F.col("doc").alias("b"))
+
+
+def near_pairs(apart: DataFrame, found: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """a, b: similar documents among the members of a hub, where not both are similar to the hub itself or to one elected hub.
+
+    found: hub, doc, family (see families). With s shingles common to the differences of a and b, the intersection of a and b is h - missing(a) - missing(b) + s
     and their union h + extra(a) + extra(b) - s. So they are similar enough if and only if
     (100 + percent) * s >= weight(a) + weight(b) - (100 - percent) * h, which is above zero unless both are similar to the hub and so linked anyway.
-    A document with fewer shingles shared at all than that is out; the others meet over their rarest shared shingles.
+    Only shingles that two families share can be common to documents of different ones. A document with fewer of them
+    at all than that is out; the others meet over their rarest ones.
     """
     far = F.col("weight") > (100 - percent) * F.col("h")
     open_hubs = apart.groupBy("hub").agg(F.count("*").alias("n"), F.max(far).alias("any_far")).where("n > 1 and any_far")
     apart = apart.join(stored(open_hubs.select("hub"), "open-hubs"), "hub", "left_semi").withColumn("far", far)
-    elements = stored(apart.select("hub", "doc", "h", "weight", "far", F.explode("difference").alias("element")), "difference-elements")
-    shared = stored(elements.groupBy("hub", "element").agg(F.count("*").alias("n")).where("n > 1"), "shared-elements")
+    of_family = F.coalesce(F.col("family"), F.when(F.col("far"), F.col("doc")).otherwise(F.col("hub")))
+    apart = apart.join(found, ["hub", "doc"], "left").withColumn("family", of_family)
+    elements = stored(apart.select("hub", "doc", "family", "h", "weight", "far", F.explode("difference").alias("element")), "difference-elements")
+    shared = elements.groupBy("hub", "element").agg(F.count("*").alias("n"), F.min("family").alias("least"), F.max("family").alias("most"))
+    shared = stored(shared.where("least < most").select("hub", "element", "n"), "shared-elements")
     held = stored(elements.join(shared, ["hub", "element"]), "held-elements")
     counted = held.groupBy("hub", "doc", "h", "weight", "far").agg(F.count("*").alias("held"))
     limit = (100 - percent) * F.col("h")
@@ -170,16 +199,16 @@ def near_pairs(apart: DataFrame, percent: int = PERCENT) -> DataFrame:
         held.join(stored(possible, "pair-candidates"), ["hub", "doc"])
         .withColumn("place", F.row_number().over(rare_first))
         .where("place <= of - needed + 1")
-        .select("hub", "element", "doc", "h", "weight", "far", (F.col("of") - F.col("place") + 1).alias("rest"))
+        .select("hub", "element", "doc", "family", "h", "weight", "far", (F.col("of") - F.col("place") + 1).alias("rest"))
     )
     prefix = stored(prefix, "rare-elements")
-    a = prefix.where("far").select("hub", "element", "h", F.col("doc").alias("a"), F.col("weight").alias("weight_a"), F.col("rest").alias("rest_a"))
-    b = prefix.select("hub", "element", F.col("doc").alias("b"), F.col("weight").alias("weight_b"), F.col("rest").alias("rest_b"), F.col("far").alias("far_b"))
+    a = prefix.where("far").select("hub", "element", "h", F.col("doc").alias("a"), F.col("family").alias("family_a"), F.col("weight").alias("weight_a"), F.col("rest").alias("rest_a"))
+    b = prefix.select("hub", "element", F.col("doc").alias("b"), F.col("family").alias("family_b"), F.col("weight").alias("weight_b"), F.col("rest").alias("rest_b"), F.col("far").alias("far_b"))
     least = _needed(percent, F.col("weight_a"), F.col("weight_b"))
     meet = (
         (a.hub == b.hub)
         & (a.element == b.element)
-        & (F.col("a") != F.col("b"))
+        & (F.col("family_a") != F.col("family_b"))
         & (~F.col("far_b") | (F.col("a") < F.col("b")))
         & (F.least("rest_a", "rest_b") >= least)
     )
@@ -191,24 +220,62 @@ def near_pairs(apart: DataFrame, percent: int = PERCENT) -> DataFrame:
     return checked.where(common * (100 + percent) >= F.col("weight_a") + F.col("weight_b") - limit).select("a", "b")
 
 
-def near_duplicates(documents: DataFrame, *, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id), a row for each row.
-
-    Documents are linked if 100 * intersection >= percent * union of their shingle sets. Null and empty texts have no shingles
-    and no links; they are kept. Rows that repeat a doc_id are one document: all kept or none. A row without doc_id is
-    kept, links with nothing and has no component. An empty table gives an empty one, other columns are ignored.
-    """
-    docs = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+def _linked(docs: DataFrame, percent: int, repeated: bool, more: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_shingles, component (none of a row without doc_id). All rows of a doc_id have one text; repeated: some have several rows.
+    more: further links a, b."""
     known = stored(sketches(docs, percent), "sketches")
     # One document stands for all with the same set.
     alike = stored(known.where(F.size("bands") > 0).groupBy("set_key").agg(F.min("doc_id").alias("doc")), "distinct-sets")
     standing = known.join(alike.withColumnRenamed("doc", "doc_id"), ["set_key", "doc_id"])
     band_rows = stored(standing.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key")).distinct(), "band-rows")
     members = stored(hub_members(band_rows), "hub-members")
-    apart = stored(differences(members, docs.where("doc_id is not null"), percent), "differences")
+    texts_of = docs.where("doc_id is not null")
+    if repeated:
+        texts_of = texts_of.dropDuplicates(["doc_id"])
+    apart = stored(differences(members, texts_of, percent), "differences")
     with_hub = apart.where(F.col("weight") <= (100 - percent) * F.col("h")).select(F.col("hub").alias("a"), F.col("doc").alias("b"))
-    found = components(with_hub.unionByName(near_pairs(apart, percent)))
-    named = alike.join(found, "doc", "left").select("set_key", F.coalesce("component", "doc").alias("component_id"))
-    labelled = known.select("doc_id", "set_key", "n_shingles").join(stored(named, "component-names"), "set_key", "left")
-    component = F.coalesce("component_id", "doc_id")
-    return labelled.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    found, in_families = families(apart, texts_of, percent)
+    links = with_hub.unionByName(in_families).unionByName(near_pairs(apart, found, percent))
+    if more is not None:
+        # Links between rows that others may stand for.
+        of = known.where("doc_id is not null").join(alike, "set_key", "left").select("doc_id", F.coalesce("doc", "doc_id").alias("doc")).distinct()
+        of = stored(of, "standing-documents")
+        both = more.join(of.toDF("a", "of_a"), "a").join(of.toDF("b", "of_b"), "b")
+        links = links.unionByName(both.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    named = alike.join(components(links), "doc", "left").select("set_key", F.coalesce("component", "doc").alias("component"))
+    return known.select("doc_id", "set_key", "n_shingles").join(stored(named, "component-names"), "set_key", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")
+    )
+
+
+def near_duplicates(documents: DataFrame, *, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id), a row for each row.
+
+    Documents are linked if 100 * intersection >= percent * union of their shingle sets. Null and empty texts have no shingles
+    and no links; they are kept. Rows that repeat a doc_id are one document, whatever their texts: it is linked with all that
+    any of them is similar to, and all its rows are kept or none. A row without doc_id is kept, links with nothing and has no
+    component. An empty table gives an empty one, other columns are ignored.
+    """
+    docs = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    own = F.xxhash64(F.coalesce("text", F.lit("")))
+    on_texts = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.min(own).alias("one"), F.max(own).alias("other"))
+    repeated = stored(on_texts.where("n > 1").select("doc_id", (F.col("one") != F.col("other")).alias("several")), "repeated-ids")
+    several = repeated.where("several").select("doc_id")
+    if several.isEmpty():
+        found = _linked(docs, percent, not repeated.isEmpty()).withColumnRenamed("component", "component_id")
+    else:
+        # Each of their texts goes by a number of its own, and these are linked.
+        marked = docs.join(several.withColumn("several", F.lit(True)), "doc_id", "left")
+        number = F.when(F.col("several"), F.xxhash64("doc_id", F.coalesce("text", F.lit("")), F.lit(8))).otherwise(F.col("doc_id"))
+        rows = stored(marked.select("doc_id", number.alias("number"), "text"), "numbered-texts")
+        numbers = stored(rows.select("doc_id", "number").distinct(), "numbers-of-documents")
+        first = numbers.join(several, "doc_id").groupBy("doc_id").agg(F.min("number").alias("a"))
+        more = stored(numbers.join(first, "doc_id").where("number <> a").select("a", F.col("number").alias("b")), "texts-of-one-document")
+        linked = _linked(rows.select(F.col("number").alias("doc_id"), "text"), percent, True, more)
+        linked = stored(linked.withColumnRenamed("doc_id", "number"), "linked-texts")
+        per_row = numbers.join(linked.where("number is not null").dropDuplicates(["number"]), "number")
+        least = stored(per_row.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least-documents")
+        named = stored(per_row.join(least, "component").select("number", "n_shingles", "component_id"), "named-texts")
+        found = rows.select("doc_id", "number").join(named, "number").drop("number")
+        found = found.unionByName(linked.where("number is null").select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id")))
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from billscope.llm.components import components
-from billscope.llm.minhash import ROWS, band_keys, bands_for, hub_members, near_duplicates, signature, sketches
+from billscope.llm.minhash import ROWS, band_keys, bands_for, hub_members, differences, families, near_duplicates, near_pairs, signature, sketches
 
 
 def shingle_set(text):
@@ -128,3 +128,53 @@ def test_a_lower_similarity_finds_all_pairs_of_it(spark):
 def test_bands_for_a_similarity():
     assert [bands_for(p) for p in (100, 85, 80)] == [1, 24, 35]
     assert all((1 - (p / 100) ** ROWS) ** bands_for(p) < 1e-6 for p in range(50, 100))
+
+
+def test_texts_of_one_document_are_linked(spark):
+    one, other = "the first of two texts that share an id, word for word in both rows " * 3, "another text altogether, with which nothing of that is shared here " * 3
+    rows = [(5, one), (3, one), (3, other), (1, other), (8, "own words only, and few of them, in this"), (8, None), (9, None), (None, one)]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in found if r.doc_id is not None) == [
+        (1, 1, True), (3, 1, False), (3, 1, False), (5, 1, False), (8, 8, True), (8, 8, True), (9, 9, True)
+    ]
+    assert [(r.component_id, r.kept) for r in found if r.doc_id is None] == [(None, True)]
+
+
+def two_families(size):
+    """Each family's texts share nine tenths; the families share too little to be linked, yet meet under one hub."""
+    import random
+
+    draw = random.Random(size)
+    common = [f"c{k}" for k in range(140)]
+    first, second = common + [f"a{k}" for k in range(60)], common + [f"b{k}" for k in range(60)]
+    rows = []
+    for base, start in ((first, 0), (second, 10_000)):
+        for k in range(size):
+            text = list(base)
+            text[draw.randrange(len(text))] = f"own{start + k}"
+            rows.append((start + k, " ".join(text)))
+    return rows
+
+
+def test_a_family_far_from_its_hub_gives_no_pairs(spark):
+    for size in (30, 60):
+        docs = spark.createDataFrame(two_families(size), "doc_id long, text string")
+        members = spark.createDataFrame([(0, k) for k in [*range(1, size), *range(10_000, 10_000 + size)]], "hub long, doc long")
+        apart = differences(members, docs)
+        found, links = families(apart, docs)
+        assert found.count() == size - 1 == links.count()
+        assert near_pairs(apart, found).count() == 0
+    joined = near_duplicates(docs).collect()
+    assert {(r.doc_id < 10_000, r.component_id) for r in joined} == {(True, 0), (False, 10_000)}
+
+
+def test_links_between_families_are_found(spark):
+    """A chain of texts, each similar to the next only: whatever hub they meet under, one component is left."""
+    words = [f"w{k}" for k in range(400)]
+    docs = spark.createDataFrame([(k, " ".join(words[8 * k : 8 * k + 200])) for k in range(12)], "doc_id long, text string")
+    members = spark.createDataFrame([(0, k) for k in range(1, 12)], "hub long, doc long")
+    apart = differences(members, docs)
+    found, links = families(apart, docs)
+    near = apart.where("weight <= 15 * h").select(F.col("hub").alias("a"), F.col("doc").alias("b"))
+    whole = components(near.unionByName(links).unionByName(near_pairs(apart, found)))
+    assert {r.doc: r.component for r in whole.collect()} == dict.fromkeys(range(1, 12), 0)
