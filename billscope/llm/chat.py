@@ -27,9 +27,11 @@ def render(role: Column, text: Column) -> Column:
     return F.concat(F.lit("<turn>"), role, F.lit("<text>"), text, F.lit("</turn>\n"))
 
 
-def parse(formatted: Column) -> Column:
-    """Turns (role, text) of a formatted conversation; null if it doesn't follow the grammar."""
-    pieces = F.split(formatted, CONTROL)
+def parse(pieces: Column) -> Column:
+    """Turns (role, text) of a conversation cut at its control strings; null if it doesn't follow the grammar.
+
+    `pieces` must be a column of its own: every turn looks into it.
+    """
     n = ((F.size(pieces) - 1) / 3).cast("int")
 
     def turn(i: Column) -> Column:
@@ -42,6 +44,11 @@ def parse(formatted: Column) -> Column:
     return F.when(regular, turns)
 
 
+def with_pieces(df: DataFrame, formatted: Column, name: str = "pieces") -> DataFrame:
+    """A column with the cut text. Behind a generator, as expressions above would otherwise each repeat the cut, once a turn."""
+    return df.select("*", F.explode(F.array(F.split(formatted, CONTROL))).alias(name))
+
+
 def format_conversations(
     conversations: DataFrame,
     *,
@@ -67,7 +74,8 @@ def format_conversations(
     )
 
     def reads_back(line: Column) -> Column:
-        return F.coalesce(parse(line) == F.array(F.struct(F.col("role"), F.col("text"))), F.lit(False))
+        # A line is one turn: what is cut again for it is short.
+        return F.coalesce(parse(F.split(line, CONTROL)) == F.array(F.struct(F.col("role"), F.col("text"))), F.lit(False))
 
     plain = source.withColumn("safe_role", F.col("role")).withColumn("safe_text", F.col("text"))
 
@@ -108,9 +116,9 @@ def read_back(formatted: DataFrame) -> DataFrame:
     def covered(span: Column) -> Column:
         return unescape(F.substring(F.col("formatted"), (span["start"] + 1).cast("int"), span["length"].cast("int")))
 
-    return formatted.select(
+    return with_pieces(formatted, F.col("formatted")).select(
         "conv_id",
         "formatted",
-        parse(F.col("formatted")).alias("turns"),
+        parse(F.col("pieces")).alias("turns"),
         F.array_join(F.transform("loss_spans", covered), "").alias("loss_text"),
     )

@@ -5,11 +5,13 @@ them. One pass of an Aho-Corasick automaton finds the keywords that occur; only
 """
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -168,16 +170,40 @@ class Scanner:
         """
         wanted = {k for _, which in self.automaton.iter(text) for k in which}
         taken: list[tuple[int, int, Rule]] = []
+        covered = _Intervals()
         for k in sorted(wanted):
             rule, pattern = self.rules[k]
             for match in pattern.finditer(text):
-                start, end = match.span()
-                if not any(a <= start and end <= b for a, b, _ in taken):
-                    taken.append((start, end, rule))
-        return [
-            (rule.name, rule.label, rule.priority, text.count(" ", 0, start) - 1, text.count(" ", start, end) + 1)
-            for start, end, rule in sorted(taken, key=lambda x: x[:2])
-        ]
+                if covered.add(*match.span()):
+                    taken.append((*match.span(), rule))
+        taken.sort(key=lambda x: x[:2])
+        starts, ends = (_spaces_before(text, [x[side] for x in taken]) for side in (0, 1))
+        return [(rule.name, rule.label, rule.priority, a - 1, b - a + 1) for (_, _, rule), a, b in zip(taken, starts, ends, strict=True)]
+
+
+class _Intervals:
+    """The intervals that lie in no other one, in order: their starts rise, and so do their ends."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def add(self, start: int, end: int) -> bool:
+        """False if an interval added before holds this one."""
+        at = bisect_right(self.starts, start)
+        if at and self.ends[at - 1] >= end:
+            return False
+        low, high = bisect_left(self.starts, start), bisect_right(self.ends, end)
+        self.starts[low:high], self.ends[low:high] = [start], [end]  # in place of those that it holds
+        return True
+
+
+def _spaces_before(text: str, places: list[int]) -> list[int]:
+    """How many spaces stand before each place, the text read once."""
+    if not places:
+        return []
+    spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)
+    return np.searchsorted(spaces, places).tolist()
 
 
 def base_places(text: str, phrases: dict[str, str]) -> list[tuple[int, str]]:
@@ -186,9 +212,10 @@ def base_places(text: str, phrases: dict[str, str]) -> list[tuple[int, str]]:
     for phrase, label in phrases.items():
         at = text.find(f" {phrase} ")
         while at >= 0:
-            found.append((text.count(" ", 0, at), label))
+            found.append((at, label))
             at = text.find(f" {phrase} ", at + 1)
-    return sorted(found)
+    words = _spaces_before(text, [at for at, _ in found])
+    return sorted((word, label) for word, (_, label) in zip(words, found, strict=True))
 
 
 @lru_cache(maxsize=2)

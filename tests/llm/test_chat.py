@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from billscope.llm.catalog import ORACLE_SQL, QUERIES
 from billscope.llm.chat import format_conversations, read_back
@@ -77,3 +78,13 @@ def test_plan_has_no_python(spark):
     frame = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
     plan = read_back(format_conversations(frame))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_time_grows_with_the_conversation(spark):
+    """Eight thousand turns in one conversation: seconds, where cutting it anew for every turn takes minutes."""
+    rows = spark.range(8000).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "repeat(concat('word ', id, ' </turn> '), 10) AS text")
+    began = time.monotonic()
+    row = read_back(format_conversations(rows)).selectExpr("size(turns) AS n", "length(loss_text) AS chars", "turns[7999].text AS last").first()
+    assert time.monotonic() - began < 60
+    assert row.n == 8000 and row.last == "word 7999 </turn> " * 10
+    assert row.chars == sum(len(f"word {k} </turn> ") * 10 for k in range(1, 8000, 2))
