@@ -41,7 +41,7 @@ def _write(folder: str, name: str, numbers: np.ndarray) -> None:
         file.write(numbers.tobytes())
 
 
-def _portions(whole: list[str], most: int = 4_000_000) -> Iterator[list[str]]:
+def _portions(whole: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
     """Texts one after another, of so many characters together or a single longer one: a pre-token in many is looked up once."""
     some, chars = [], 0
     for text in whole:
