@@ -15,14 +15,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from billscope.llm.scratch import stored
 from billscope.llm.text import batches, plain_words, texts
 
 #: Bounds of what is fitted on: toxic examples, unlabelled documents, and features that the classifier may use.
-MAX_TOXIC = 2000
-MAX_UNLABELLED = 6000
-MAX_FEATURES = 300
+MAX_TOXIC = 4000
+MAX_UNLABELLED = 12_000
+MAX_FEATURES = 400
 #: Standard deviations by which a feature's count must exceed chance.
-MIN_EXCESS = 5.0
+MIN_EXCESS = 4.0
 FOLDS = 5
 HASH_BITS = 24
 
@@ -37,7 +38,7 @@ def _hash(kind: int, part: bytes) -> int:
 
 def word_features(word: bytes) -> tuple[int, ...]:
     """The word itself and how it begins: invented endings don't hide a word."""
-    return tuple(_hash(len(part) if part is not word else 0, part) for part in ([word] + [word[:n] for n in (4, 5) if len(word) > n]))
+    return tuple(_hash(len(part) if part is not word else 0, part) for part in ([word] + [word[:n] for n in (4, 5, 6) if len(word) > n]))
 
 
 @lru_cache(maxsize=50_000)
@@ -68,54 +69,78 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def nn_gradient(weights: np.ndarray, toxic: np.ndarray, unlabelled: np.ndarray, prior: float, decay: float) -> tuple[float, np.ndarray]:
+    """The corrected risk of calling unlabelled text clean, and the step's gradient; the matrices' last column is 1.
+
+    While that risk is not negative, it is the gradient of the whole risk (with decay on all weights but the bias); below
+    zero it is the negated one of the corrected risk alone.
+    """
+    of_toxic, of_unlabelled = toxic @ weights, unlabelled @ weights
+    clean_risk = np.logaddexp(0, of_unlabelled).mean() - prior * np.logaddexp(0, of_toxic).mean()
+    as_clean = unlabelled.T @ _sigmoid(of_unlabelled) / len(unlabelled) - prior * (toxic.T @ _sigmoid(of_toxic)) / len(toxic)
+    if clean_risk < 0:
+        return clean_risk, -as_clean
+    return clean_risk, as_clean - prior * (toxic.T @ _sigmoid(-of_toxic)) / len(toxic) + decay * np.append(weights[:-1], 0)
+
+
 def nnpu_fit(toxic: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
     """Weights, the last one the bias, of the non-negative risk estimator with logistic loss; rows are documents."""
     toxic, unlabelled = (np.hstack([x, np.ones((len(x), 1), np.float32)]) for x in (toxic, unlabelled))
     weights, first, second = np.zeros(toxic.shape[1], np.float32), np.float32(0), np.float32(0)
     for step in range(1, steps + 1):
-        of_toxic, of_unlabelled = toxic @ weights, unlabelled @ weights
-        clean_risk = np.logaddexp(0, of_unlabelled).mean() - prior * np.logaddexp(0, of_toxic).mean()
-        as_clean = unlabelled.T @ _sigmoid(of_unlabelled) / len(unlabelled) - prior * (toxic.T @ _sigmoid(of_toxic)) / len(toxic)
-        if clean_risk >= 0:
-            gradient = as_clean - prior * (toxic.T @ _sigmoid(-of_toxic)) / len(toxic) + decay * np.append(weights[:-1], 0)
-        else:
-            gradient = -as_clean
+        _, gradient = nn_gradient(weights, toxic, unlabelled, prior, decay)
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         weights -= (rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
     return weights
 
 
-def unlike(found: list[np.ndarray]) -> list[int]:
-    """Which rows to keep so that near copies, which mostly agree in their features of least rank, count once."""
-    first = {}
-    for k, some in enumerate(found):
-        ranks = (np.asarray(some, np.uint32) * np.uint32(0x9E3779B1)) ^ np.uint32(0x5BD1E995)
-        first.setdefault(tuple(np.sort(ranks)[:6].tolist()) or k, k)
-    return sorted(first.values())
+def sketch(found: list[int], doc_id: int) -> int:
+    """Alike for near copies, which mostly agree in their features of least rank; of its own for a text without features."""
+    ranks = (np.asarray(found, np.uint32) * np.uint32(0x9E3779B1)) ^ np.uint32(0x5BD1E995)
+    least = np.sort(ranks)[:6].tobytes() or b"no features %d" % doc_id
+    return xxhash.xxh64_intdigest(least) - (1 << 63)
 
 
-def telling_features(toxic: list[np.ndarray], other: list[np.ndarray], most: int) -> np.ndarray:
-    """Features that toxic examples hold far more often than other text would by chance, the clearest first."""
-    found, in_toxic = np.unique(np.concatenate(toxic), return_counts=True)
-    found, in_toxic = found[in_toxic >= 3], in_toxic[in_toxic >= 3]
-    in_other = np.zeros(len(found), np.int64)
-    for some in other if len(found) else []:
-        at = np.minimum(np.searchsorted(found, some), len(found) - 1)
-        in_other[at[found[at] == some]] += 1
-    expected = len(toxic) * (in_other + 0.5) / (len(other) + 1)
-    excess = (in_toxic - expected) / np.sqrt(expected + 1)
-    chosen = np.argsort(-excess, kind="stable")[:most]
-    return found[chosen[excess[chosen] > MIN_EXCESS]]
+def telling_features(examples: DataFrame, n_toxic: int, n_other: int, most: int, excess: float = MIN_EXCESS) -> list[int]:
+    """Features that toxic examples hold far more often than other text would by chance, the clearest first, ties by number.
+
+    examples: toxic (1 or 0), features. Counted where the rows lie; `most` numbers come back.
+    """
+    counted = (
+        examples.select("toxic", F.explode("features").alias("feature"))
+        .groupBy("feature")
+        .agg(F.sum("toxic").alias("in_toxic"), F.sum(1 - F.col("toxic")).alias("in_other"))
+        .where("in_toxic >= 3")
+    )
+    expected = n_toxic * (F.col("in_other") + 0.5) / (n_other + 1)
+    above = ((F.col("in_toxic") - expected) / F.sqrt(expected + 1)).alias("excess")
+    return [row.feature for row in counted.select("feature", above).where(F.col("excess") > excess).orderBy(F.desc("excess"), "feature").limit(most).collect()]
 
 
 def _rows(found: list[list[int]], lengths: np.ndarray, index: dict[int, int]) -> np.ndarray:
     matrix = np.zeros((len(found), len(index) + 1), np.float32)
     for row, some in zip(matrix, found, strict=True):
-        row[[index[f] for f in some if f in index]] = 1
+        row[[index[f] for f in some]] = 1
     matrix[:, -1] = lengths
     return matrix
 
 
+def _examples(both: DataFrame) -> DataFrame:
+    """doc_id, toxic, n_words, sketch, features of each (doc_id, toxic, text)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("n_words", pa.int64()), ("sketch", pa.int64()), ("features", pa.list_(pa.int32()))])
+
+    def featured(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for batch in parts:
+                for doc_id, text, toxic in zip(batch.column("doc_id").to_pylist(), texts(batch), batch.column("toxic").to_pylist(), strict=True):
+                    found, n_words = features(text)
+                    yield doc_id, toxic, n_words, sketch(found, doc_id), found
+
+        return batches(rows(), schema)
+
+    return both.mapInArrow(featured, "doc_id long, toxic int, n_words long, sketch long, features array<int>")
+
+
 def fit_toxicity(
     documents: DataFrame,
     labels: DataFrame,
@@ -123,6 +148,7 @@ def fit_toxicity(
     max_toxic: int = MAX_TOXIC,
     max_unlabelled: int = MAX_UNLABELLED,
     max_features: int = MAX_FEATURES,
+    min_excess: float = MIN_EXCESS,
     prior: float | None = None,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -130,7 +156,9 @@ def fit_toxicity(
     """Fitted on documents that are not held out: at most max_toxic confirmed ones and max_unlabelled others, by hash.
 
     prior: the toxic share of text; by default that of the labelled rows which are not held out. A document with several
-    labels is toxic if one says so; null labels say nothing. Without a toxic example or other text there is no model.
+    labels is toxic if one says so; null labels say nothing. Rows that repeat a doc_id count once, by their smallest text,
+    and of near copies the one with the smallest doc_id counts. Without a toxic example or other text there is no model.
+    The driver gets, for each example, its length and which of the chosen features it has.
     """
     docs = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     seen = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col(id_column)))
@@ -145,24 +173,19 @@ def fit_toxicity(
     some = docs.where(~held_out(F.col("doc_id")) & (F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < limit))
     # At most max_toxic ids of 8 bytes.
     toxic = docs.join(F.broadcast(few), F.col("doc_id") == F.col("of")).select("doc_id", "text", F.lit(1).alias("toxic"))
-    schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("n_words", pa.int64()), ("features", pa.list_(pa.int32()))])
-
-    def featured(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for batch in parts:
-                for doc_id, text, toxic in zip(batch.column("doc_id").to_pylist(), texts(batch), batch.column("toxic").to_pylist(), strict=True):
-                    found, n_words = features(text)
-                    yield doc_id, toxic, n_words, found
-
-        return batches(rows(), schema)
-
-    both = toxic.unionByName(some.select("doc_id", "text", F.lit(0).alias("toxic")))
-    fitted = both.mapInArrow(featured, "doc_id long, toxic int, n_words long, features array<int>").toPandas().sort_values(["toxic", "doc_id", "n_words"])
-    positive, other = (part.iloc[unlike(list(part.features))] for part in (fitted[fitted.toxic == 1], fitted[fitted.toxic == 0]))
-    if positive.empty or other.empty:
+    both = toxic.unionByName(some.select("doc_id", "text", F.lit(0).alias("toxic"))).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    featured = stored(_examples(both), "toxicity-features")
+    unlike = featured.groupBy("toxic", "sketch").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "toxic")
+    # Two numbers for each example, of which there are about max_toxic + max_unlabelled.
+    examples = stored(featured.join(F.broadcast(unlike), ["doc_id", "toxic"], "left_semi"), "toxicity-examples")
+    sizes = {row.toxic: row["count"] for row in examples.groupBy("toxic").count().collect()}
+    if len(sizes) < 2:
         return None
-    chosen = telling_features(list(positive.features), list(other.features), max_features)
-    index = {int(f): k for k, f in enumerate(chosen)}
+    chosen = telling_features(examples, sizes[1], sizes[0], max_features, min_excess)
+    has = F.array_intersect("features", F.array(*map(F.lit, chosen)).cast("array<int>")).alias("features")
+    fitted = examples.select("doc_id", "toxic", "n_words", has).toPandas().sort_values(["toxic", "doc_id"])
+    positive, other = fitted[fitted.toxic == 1], fitted[fitted.toxic == 0]
+    index = {f: k for k, f in enumerate(chosen)}
     logs = [np.log1p(part.n_words.to_numpy(float)) for part in (positive, other)]
     mean, deviation = float(logs[1].mean()), float(logs[1].std()) or 1.0
     matrices = [_rows(list(part.features), (log - mean) / deviation, index) for part, log in zip((positive, other), logs, strict=True)]

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -5,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from billscope.llm.catalog import op10_toxicity
-from billscope.llm.toxicity import features, fit_toxicity, held_out, nnpu_fit, score_toxicity, with_toxicity
+from billscope.llm.toxicity import features, fit_toxicity, held_out, nn_gradient, nnpu_fit, score_toxicity, sketch, telling_features, with_toxicity
 from tests.llm.helpers import DATA, SCHEMA, planted_documents
 
 
@@ -58,6 +59,62 @@ def test_non_negative_risk_beats_counting_unlabelled_text_as_clean():
     assert ((margin > 0) == (np.arange(1000) < 400)).mean() > 0.95
 
 
+def plain_risk(weights, toxic, unlabelled, prior, decay):
+    """The corrected risk of calling text clean, and the whole risk with decay, example by example."""
+    loss = lambda z: math.log1p(math.exp(-z))
+    margin = lambda row: sum(w * x for w, x in zip(weights, row, strict=True))
+    mean = lambda some: sum(some) / len(some)
+    clean = mean([loss(-margin(row)) for row in unlabelled]) - prior * mean([loss(-margin(row)) for row in toxic])
+    return clean, clean + prior * mean([loss(margin(row)) for row in toxic]) + decay / 2 * sum(w * w for w in weights[:-1])
+
+
+def test_risk_and_gradient_against_differences():
+    rng = np.random.default_rng(3)
+    signs = set()
+    for k in range(20):
+        toxic, unlabelled = (np.hstack([rng.normal(m, 1, (n, 3)), np.ones((n, 1))]) for m, n in ((1, 6), (-1, 9)))
+        weights, prior, decay = rng.normal(0, 2 if k % 2 else 0.2, 4), rng.uniform(0.05, 0.95), 0.01
+        clean, gradient = nn_gradient(weights, toxic, unlabelled, prior, decay)
+        want, _ = plain_risk(weights, toxic, unlabelled, prior, decay)
+        assert math.isclose(clean, want, abs_tol=1e-9)
+        part, sign = (1, 1) if want >= 0 else (0, -1)
+        for j in range(4):
+            step = np.eye(4)[j] * 1e-5
+            high, low = (plain_risk(weights + s, toxic, unlabelled, prior, decay)[part] for s in (step, -step))
+            assert math.isclose(gradient[j], sign * (high - low) / 2e-5, abs_tol=1e-6)
+        signs.add(sign)
+    assert signs == {1, -1}
+
+
+def test_telling_features_against_counting(spark):
+    rng = random.Random(2)
+    examples = [(int(k % 3 == 0), rng.sample(range(40 if k % 3 else 25), 8)) for k in range(200)]
+    n_toxic = sum(toxic for toxic, _ in examples)
+    excess = {}
+    for f in range(40):
+        in_toxic, in_other = (sum(f in some for toxic, some in examples if toxic == t) for t in (1, 0))
+        expected = n_toxic * (in_other + 0.5) / (200 - n_toxic + 1)
+        if in_toxic >= 3:
+            excess[f] = (in_toxic - expected) / math.sqrt(expected + 1)
+    want = sorted((f for f in excess if excess[f] > 0.5), key=lambda f: (-excess[f], f))
+    frame = spark.createDataFrame(examples, "toxic int, features array<int>")
+    assert telling_features(frame, n_toxic, 200 - n_toxic, 100, 0.5) == want and len(want) > 5
+    assert telling_features(frame, n_toxic, 200 - n_toxic, 3, 0.5) == want[:3]
+
+
+def test_near_copies_share_a_sketch():
+    text = " ".join(f"w{k}" for k in range(300))
+    assert sketch(features(text)[0], 1) == sketch(features(text)[0], 2)
+    assert sketch([], 1) != sketch([], 2)
+
+
+def test_repeated_rows_and_copies_do_not_move_the_model(spark):
+    rows, labels = corpus(400)
+    docs, marks = frames(spark, rows, labels)
+    again = docs.unionByName(docs.where("doc_id in (3, 8, 24)")).unionByName(docs.where("doc_id = 24"))
+    assert fit_toxicity(docs, marks) == fit_toxicity(again, marks.unionByName(marks))
+
+
 def test_odd_rows(spark):
     rows, labels = corpus(300)
     docs, marks = frames(spark, rows, [*labels, (0, None, None), (None, 1, 1), (9999, 1, 1)])
