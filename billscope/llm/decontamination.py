@@ -35,6 +35,12 @@ def seeds(words: np.ndarray, masks: tuple[tuple[int, ...], ...]) -> tuple[np.nda
     return np.concatenate(found), np.concatenate([np.arange(len(x)) for x in found])
 
 
+def whole_seeds(words: np.ndarray, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Seeds of all stretches of these lengths, for items that no mask fits into, and their positions."""
+    found = [window_hashes(words, tuple(range(n))) ^ _SALTS[-n] for n in lengths]
+    return np.concatenate([np.zeros(0, np.uint64), *found]), np.concatenate([np.zeros(0, np.int64), *(np.arange(len(x)) for x in found)])
+
+
 def longest_similar(equal: np.ndarray, similarity: float) -> tuple[int, int]:
     """Start and end of the longest stretch, of equal words at both ends, with at least this share of equal words."""
     at = np.flatnonzero(equal)
@@ -67,13 +73,15 @@ def find_contamination(
     """doc_id, item_id, doc_start, item_start, n_words, n_equal: the longest overlap on each diagonal, in words.
 
     Words are runs of digits, ASCII letters in lower case and characters beyond ASCII. Items with fewer words than the
-    widest mask spans are found only through the masks that fit; null and empty texts hold nothing. Rows without an id
+    widest mask spans are found only through the masks that fit, and those that none fits (one to four words) where they
+    stand whole and unchanged; null and empty texts hold nothing. Rows without an id
     are left out; rows that repeat an id are searched each, and equal findings are one. Empty tables give an empty one,
     other columns are ignored.
     """
     docs = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).where("doc_id is not null")
     items = benchmark.select(F.col(item_column).cast("long").alias("item_id"), F.col(item_text_column).alias("text")).where("item_id is not null")
     spark = docs.sparkSession
+    narrowest = min(mask[-1] for mask in masks) + 1
     item_schema = pa.schema([("item_id", pa.int64()), ("n", pa.int32()), ("words", pa.binary()), ("seeds", pa.list_(pa.int64())), ("places", pa.list_(pa.int32()))])
 
     def of_items(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,13 +90,14 @@ def find_contamination(
             for batch in parts:
                 for item, text in zip(batch.column("item_id").to_pylist(), texts(batch), strict=True):
                     words = hashes.of(plain_words(text))
-                    found, places = seeds(words, masks)
+                    found, places = seeds(words, masks) if len(words) >= narrowest else whole_seeds(words, [len(words)] if len(words) else [])
                     yield item, len(words), words.tobytes(), found.view(np.int64), places.astype(np.int32)
 
         return batches(rows(), item_schema)
 
     questions = stored(items.mapInArrow(of_items, "item_id long, n int, words binary, seeds array<long>, places array<int>"), "benchmark-items")
     n_seeds = questions.agg(F.sum(F.size("seeds"))).first()[0] or 0
+    short = sorted(row.n for row in questions.where(F.col("n").between(1, narrowest - 1)).select("n").distinct().collect())  # fewer than narrowest
     n_segments = bloom.segments_for(n_seeds, MAX_FILTER_BYTES)
 
     def bits(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,6 +116,8 @@ def find_contamination(
                 for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
                     words = hashes.of(plain_words(text))
                     found, places = seeds(words, masks)
+                    if short:
+                        found, places = (np.concatenate(both) for both in zip((found, places), whole_seeds(words, short), strict=True))
                     hit = bloom.contains(asked.value, found) if len(found) else np.zeros(0, bool)
                     if not hit.any():
                         continue
@@ -152,7 +163,7 @@ def find_contamination(
                             at = a + row["shift"] - around["start"]
                             equal[a - low : b - low] |= item[a:b] == words[at : at + b - a]
                     start, end = longest_similar(equal, similarity)
-                    needed = min(min_words, max(MASKS[-1][-1] + 1, math.ceil(similarity * len(item))))
+                    needed = min(min_words, max(min(narrowest, len(item)), math.ceil(similarity * len(item))))
                     if end - start >= needed:
                         yield row["doc_id"], row["item_id"], low + start + row["shift"], low + start, end - start, int(equal[start:end].sum())
 
