@@ -55,7 +55,8 @@ RULES = (
     Rule("symbols", lambda: _share(F.col("n_symbols"), F.col("n_words")) > 0.3),
     Rule("word_length", lambda: ~_share(F.col("word_chars"), F.col("n_words")).between(2, 15)),
     Rule("repeated_lines", lambda: _share(F.col("n_dup_lines"), F.size("lines")) > 0.5),
-    Rule("word_variety", lambda: (F.col("n_words") <= 400) & (_share(F.size(F.array_distinct("words")), F.col("n_words")) < 0.1)),
+    # Different words grow about with the root of a text's length: clean text of any length has five times that root or more.
+    Rule("word_variety", lambda: F.pow(F.size(F.array_distinct("words")), F.lit(2)) < F.col("n_words") * 2.25),
     Rule("letters", lambda: _share(_letters(), F.col("word_chars")) < 0.6),
     Rule("capitals", lambda: _share(_capitals(), F.greatest(_letters(), F.lit(1))) > 0.6),
     Rule("cut_lines", lambda: _share(_ended(r"(\.\.\.|…)\s*$"), F.size("lines")) > 0.5),
