@@ -63,7 +63,8 @@ WITH sizes AS (
   SELECT s, (SELECT sum(chars) FROM sizes) * (pow(chars, 0.5) / (SELECT sum(pow(chars, 0.5)) FROM sizes)) / chars AS rate
   FROM sizes WHERE chars > 0
 ), terms AS (
-  SELECT s, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p, rate FROM rates, range(0, 100) AS t(k)
+  SELECT s, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p, rate
+  FROM (SELECT s, rate, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 60) AS BIGINT))) AS k FROM rates)
 ), cdf AS (
   SELECT s, k, sum(p) OVER (PARTITION BY s ORDER BY k) AS c FROM terms WHERE k <= rate + 1 OR p >= 1e-18
 ), draws AS (
@@ -82,6 +83,35 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents")).drop("text", "rejected_by")
 
 
+#: Bounds of the rules as in the cascade; the words of repeated windows are counted once each.
+QUALITY_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), windows AS (
+  SELECT doc_id, i, words[i:i + 2] AS w FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM docs)
+), repeated AS (
+  SELECT doc_id, w FROM windows GROUP BY ALL HAVING count(*) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM windows JOIN repeated USING (doc_id, w)) GROUP BY 1
+), counted AS (
+  SELECT doc_id, text, words, lines, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - list_unique(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words, length(regexp_replace(text, '\P{L}', '', 'g')) AS letters, length(regexp_replace(text, '\P{Lu}', '', 'g')) AS capitals,
+    len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\s\x0B]*$'))) AS cut, len(list_filter(lines, lambda x: regexp_matches(x, '^[\s\x0B]*[-*•][\s\x0B]'))) AS bullets
+  FROM docs LEFT JOIN covered USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR n_symbols / n_words > 0.3 OR word_chars / n_words NOT BETWEEN 2 AND 15 OR n_dup_lines / len(lines) > 0.5
+    OR list_unique(words) * list_unique(words) < 2.25 * n_words OR letters / word_chars < 0.6 OR capitals / greatest(letters, 1) > 0.6
+    OR cut / len(lines) > 0.5 OR bullets / len(lines) > 0.9) AS kept
+FROM judged
+"""
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_licenses(table(spark, sf_dir, "documents"))
     base, own = F.col("places.label"), F.col("detections.label")
@@ -149,6 +179,27 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+#: Links from all pairs of documents that share a shingle.
+NEAR_DOCUMENTS_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM docs WHERE len(words) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT r.doc_id, coalesce(max(z.n), 0) AS n_shingles, min(other) AS component_id, r.doc_id = min(other) AS kept
+FROM reached r LEFT JOIN sizes z ON z.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts before and after personal data is scrubbed from each document."""
     counted = count_after_edits(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -249,7 +300,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP_SQL,
     "op3_source_mixing": MIXING_SQL,
+    "op4_quality_rules": QUALITY_SQL,
     "op6_chat_formatting": CHAT_SQL,
+    "op8_minhash_near_dedup": NEAR_DOCUMENTS_SQL,
     "op12_conversation_prefix_trie": PREFIX_TRIE_SQL,
     "op13_embedding_near_dedup": NEAR_VECTORS_SQL,
 }

@@ -4,8 +4,10 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
+from billscope.llm.catalog import ORACLE_SQL, QUERIES
 from billscope.llm.components import components
 from billscope.llm.minhash import ROWS, band_keys, bands_for, hub_members, differences, families, near_duplicates, near_pairs, signature, sketches
+from tests.llm.helpers import DATA, oracle_rows, spark_rows
 
 
 def shingle_set(text):
@@ -178,3 +180,8 @@ def test_links_between_families_are_found(spark):
     near = apart.where("weight <= 15 * h").select(F.col("hub").alias("a"), F.col("doc").alias("b"))
     whole = components(near.unionByName(links).unionByName(near_pairs(apart, found)))
     assert {r.doc: r.component for r in whole.collect()} == dict.fromkeys(range(1, 12), 0)
+
+
+def test_query_against_sql(spark):
+    name = "op8_minhash_near_dedup"
+    assert spark_rows(QUERIES[name](spark, f"{DATA}/sf0.01")) == oracle_rows(ORACLE_SQL[name])

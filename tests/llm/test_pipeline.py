@@ -113,3 +113,21 @@ def test_near_copies_from_four_fifths_on_are_dropped(spark, tmp_path):
     left = {r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs, str(tmp_path)).collect()}
     assert left == {10 * k for k in range(4)} | {10 * k + 1 for k, n in enumerate(ends) if similar[n] < 0.8}
     assert [n for n in ends if 0.8 <= similar[n] < 0.85] == [9, 11]
+
+
+def test_rows_without_doc_id_are_documents_of_their_own(spark, corpus):
+    folder, rows, items = corpus
+    clean = [" ".join(f"own{k}x{j}" for j in range(40)) for k in range(4)]
+    leak = f"{clean[2]} {items[0][1]}"
+    given = [(3, clean[0]), (None, clean[0]), (None, clean[1]), (None, clean[1] + " end"), (None, leak), (None, None), (None, None), (8, clean[3])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 1) for i, t in given], COLUMNS)
+    once = corpus_pipeline.without_near_copies(spark, docs, folder)
+    left = [(r.doc_id, r.text) for r in once.collect()]
+    assert once.columns == docs.columns and sorted(t or "" for _, t in left)[:2] == ["", ""]
+    assert {x for x in left if x[1]} in ({(3, clean[0]), (8, clean[3]), (None, leak), (None, other)} for other in given_texts(clean[1]))
+    apart = corpus_pipeline.without_benchmark(spark, docs, folder)
+    assert sorted(((r.doc_id, r.text) for r in apart.collect()), key=repr) == sorted((x for x in given if x[1] != leak), key=repr)
+
+
+def given_texts(text):
+    return text, text + " end"

@@ -1,9 +1,11 @@
 import collections
+import random
 import re
 
+from billscope.llm.catalog import ORACLE_SQL, QUERIES
 from billscope.llm.quality import RULES, Rule, judge_quality
 from pyspark.sql import functions as F
-from tests.llm.helpers import SCHEMA, planted_documents
+from tests.llm.helpers import SCHEMA, oracle_rows, planted_documents, spark_rows
 
 
 def counts(text):
@@ -70,3 +72,17 @@ def test_odd_tables(spark):
 def test_plan_has_no_python(spark):
     plan = judge_quality(spark.createDataFrame([(1, PROSE)], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_few_different_words_are_rejected_at_every_length(spark):
+    rng = random.Random(6)
+    few, many = [[f"{x}{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(n)] for x, n in (("few", 20), ("many", 600))]
+    texts = [" ".join(rng.choice(words) for _ in range(n)) for words in (few, many) for n in (240, 400, 401, 600, 1200)]
+    found = judged(spark, texts)
+    assert [(found[k].base_failed, found[k].rejected_by) for k in range(5)] == [(False, "word_variety")] * 5
+    assert all(found[k].kept for k in range(5, 10))
+
+
+def test_query_against_sql(spark):
+    name = "op4_quality_rules"
+    assert spark_rows(QUERIES[name](spark, "/root/testdata/sf0.01")) == oracle_rows(ORACLE_SQL[name])
