@@ -18,22 +18,38 @@ from billscope.llm.toxicity import fit_toxicity, with_toxicity
 
 #: Similarity in percent from which the stage drops near copies; the query op8 has 85.
 NEAR_PERCENT = 80
+#: Words of the shortest overlap for which a document goes: an item such as "yes" is no reason.
+LEAST_OVERLAP = 5
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labels beside them, scores below one half."""
+    """Documents that the classifier, fitted on the labels beside them, scores below one half.
+
+    Null texts are scored as empty ones, repeated rows alike; without toxic labels every document stays, an empty table stays empty.
+    """
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return with_toxicity(docs, model, "score_of_toxicity").where("score_of_toxicity < 0.5").select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, which share 80% of their shingles or more."""
-    return _without(docs, near_duplicates(docs, percent=NEAR_PERCENT).where(~F.col("kept")).select("doc_id"))
+    """One document of each group of near copies, which share 80% of their shingles or more: the one with the smallest doc_id.
+
+    Null and empty texts are copies of nothing. Rows that repeat a doc_id are one document and stay or go together. Each row
+    without doc_id is a document of its own, and yields to copies that have one.
+    """
+    rows, key = _with_keys(docs)
+    gone = near_duplicates(rows, percent=NEAR_PERCENT, id_column=key).where(~F.col("kept")).select(F.col("doc_id").alias(key))
+    return _without(rows, key, gone).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no benchmark item."""
-    return _without(docs, find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id"))
+    """Documents that overlap no benchmark item in LEAST_OVERLAP words or more.
+
+    Null and empty texts overlap nothing. If one row of a doc_id does, all go; each row without doc_id is judged by itself.
+    """
+    rows, key = _with_keys(docs)
+    found = find_contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_column=key).where(F.col("n_words") >= LEAST_OVERLAP)
+    return _without(rows, key, found.select(F.col("doc_id").alias(key))).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +66,25 @@ def as_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     )
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not in gone; rows without doc_id stay. The ids are stored: their true size decides the join."""
-    return docs.join(stored(gone.distinct(), "dropped-ids"), "doc_id", "left_anti").select(*docs.columns)
+def _with_keys(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a column that holds doc_id, and the name of that column.
+
+    Rows without doc_id get numbers above all of them. These rows alone are stored, so that a number stays with its row.
+    """
+    key = "row_key"
+    while key in docs.columns:
+        key += "_"
+    known = docs.where("doc_id is not null").withColumn(key, F.col("doc_id").cast("long"))
+    unknown = docs.where("doc_id is null")
+    if unknown.isEmpty():
+        return known, key
+    highest = max(known.agg(F.max(key)).first()[0] or 0, 0)
+    return known.unionByName(stored(unknown.withColumn(key, F.lit(highest + 1) + F.monotonically_increasing_id()), "rows-without-id")), key
+
+
+def _without(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """Rows whose key is not in gone. The keys are stored: their true size decides the join."""
+    return rows.join(stored(gone.distinct(), "dropped-keys"), key, "left_anti")
 
 
 STAGES = [
