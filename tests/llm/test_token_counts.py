@@ -3,8 +3,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from billscope.llm.token_counts import CountTree, count_after_edits, scrub_edits
+from billscope.llm.catalog import op9_token_counts
+from billscope.llm.token_counts import SCRUBBED, CountTree, count_after_edits, leaf_starts, recount, scrub_edits, token_trees
 from billscope.llm.tokenizing import CachedTokenizer
+from tests.llm.helpers import DATA
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 OURS, THEIRS = CachedTokenizer(PATH), Tokenizer.from_file(PATH)
@@ -33,6 +35,12 @@ def test_edits_one_after_another_keep_the_count_right(data):
         assert tree.text == whole
         assert tree.total == n_tokens(whole)
         assert tree.starts == sorted(tree.starts)
+        # What a table keeps of the tree is enough to go on from.
+        tree = CountTree(OURS, tree.text, 5, starts=tree.starts, sums=tree.sums)
+        assert tree.total == n_tokens(whole)
+        bounds = [*tree.starts, len(whole)]
+        for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+            assert tree.sums[tree.size + k] == n_tokens(whole[a:b])
 
 
 def test_an_edit_in_a_long_text_re_encodes_little():
@@ -68,3 +76,68 @@ def test_given_edits(spark):
 def test_scrub_edits_are_apart_and_in_order():
     edits = scrub_edits("a@b.co 1234567890 x@y.org")
     assert [e[2] for e in edits] == ["<EMAIL>", "<NUMBER>", "<EMAIL>"]
+
+
+class Counting:
+    """A tokenizer that notes how many characters it encodes."""
+
+    def __init__(self):
+        self.by_parts, self.dtype, self.chars = OURS.by_parts, OURS.dtype, 0
+
+    def encode(self, leaves):
+        self.chars += sum(map(len, leaves))
+        return OURS.encode(leaves)
+
+
+def test_a_kept_tree_encodes_touched_leaves_only():
+    text, counting = "some words of a long text " * 5000, Counting()
+    kept = CountTree(OURS, text)
+    tree = CountTree(counting, text, starts=kept.starts, sums=kept.sums)
+    assert counting.chars == 0
+    tree.apply([])
+    assert counting.chars == 0 and tree.starts == kept.starts
+    tree.apply([(10, 14, "other"), (60_000, 60_004, "x")])
+    assert counting.chars == tree.reencoded < 1500
+    assert tree.total == n_tokens(tree.text)
+
+
+def test_leaves_that_grew_are_cut_again():
+    tree = CountTree(OURS, "some words of a long text " * 200)
+    tree.apply([(1000, 1000, " and many more words" * 500)])
+    bounds = [*tree.starts, len(tree.text)]
+    assert max(b - a for a, b in zip(bounds, bounds[1:], strict=False)) < 600
+    assert tree.total == n_tokens(tree.text)
+    before = tree.reencoded
+    tree.apply([(5000, 5001, "y")])
+    assert tree.reencoded - before < 1200 and tree.total == n_tokens(tree.text)
+
+
+def test_rounds_of_edits_on_stored_trees(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "one two three " * 100), (1, "repeated"), (2, None), (None, "no id")], "doc_id long, text string")
+    token_trees(docs, PATH, leaf_chars=20).write.parquet(str(tmp_path / "trees"))
+    trees = spark.read.parquet(str(tmp_path / "trees"))
+    edits = spark.createDataFrame([(1, 4, 7, "2"), (2, 0, 0, "new")], "doc_id long, start long, end long, replacement string")
+    first = recount(trees, PATH, edits, leaf_chars=20)
+    first.write.parquet(str(tmp_path / "first"))
+    again = recount(spark.read.parquet(str(tmp_path / "first")), PATH, edits, leaf_chars=20).collect()
+    assert {r.text for r in again} == {"one 2hree " + "one two three " * 99, "repe2", "newnew", "no id"}
+    assert all(r.n_tokens_after == n_tokens(r.text) and r.reencoded_chars <= 80 for r in again)
+    bare = trees.select("doc_id", "text", *(trees[x].cast("array<long>").alias(x) for x in ("leaf_starts", "sums"))).limit(0)
+    assert recount(bare, PATH).count() == 0
+    unknown = docs.selectExpr("doc_id", "text", "cast(null as array<long>) leaf_starts", "cast(null as array<long>) sums")
+    assert sorted(r.n_tokens for r in recount(unknown, PATH).collect()) == sorted(n_tokens(r.text or "") for r in docs.collect())
+
+
+def test_query_against_whole_encodings(spark):
+    sf = str(DATA / "sf0.001")
+    whole = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = op9_token_counts(spark, sf).collect()
+    assert {r.doc_id for r in rows} == set(whole) and len(rows) == len(whole)
+    for r in rows:
+        text = edited = whole[r.doc_id]
+        edits = scrub_edits(text)
+        for a, b, new in reversed(edits):
+            edited = edited[:a] + new + edited[b:]
+        assert (r.n_tokens, r.n_edits, r.n_tokens_after) == (n_tokens(text), len(edits), n_tokens(edited))
+        if not edits:
+            assert r.n_leaves == len(leaf_starts(text)) and not any(p.search(text) for p, _ in SCRUBBED)
