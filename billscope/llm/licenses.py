@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from billscope.llm.license_signatures import PRIORITY, SIGNATURES, SPDX, keyword
 from billscope.llm.text import batches, plain_words, texts
 
 #: The phrases every scan reports with all their places, and their labels.
@@ -132,7 +133,7 @@ WORDINGS = (
 
 
 def signature_rules() -> tuple[Rule, ...]:
-    """All rules in their order: by priority, then by the length of the name, so that the most specific one is first."""
+    """All rules in their order: by priority, then by the length of name or keyword, so that the most specific one is first."""
     named = [
         Rule(f"{label}:{kind}:{name}", label, priority, name, template.format(name=re.escape(name).replace(r"\ ", " ")))
         for label, names in LICENCES.items()
@@ -140,7 +141,17 @@ def signature_rules() -> tuple[Rule, ...]:
         for kind, template, priority in TEMPLATES
     ]
     worded = [Rule(f"{label}:wording:{keyword}", label, priority, keyword, pattern) for label, keyword, pattern, priority in WORDINGS]
-    return tuple(sorted(named + worded, key=lambda rule: (-rule.priority, -len(rule.keyword), rule.name)))
+    signed = [
+        Rule(f"{label}:{kind}:{pattern}", label, PRIORITY[kind], keyword(pattern), pattern)
+        for kind, signatures in SIGNATURES.items()
+        for label, pattern in signatures
+    ]
+    listed = [
+        Rule(f"{label}:spdx:{identifier}", label, PRIORITY["spdx"], f"identifier {identifier}", f"spdx license identifier {identifier}")
+        for label, identifiers in SPDX.items()
+        for identifier in identifiers
+    ]
+    return tuple(sorted(named + worded + signed + listed, key=lambda rule: (-rule.priority, -len(rule.keyword), rule.name)))
 
 
 def normalised(text: str) -> str:

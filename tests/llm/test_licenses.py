@@ -2,7 +2,12 @@ import random
 import re
 import time
 
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from billscope.llm.catalog import op5_license_scan
+from billscope.llm.license_signatures import PRIORITY, SIGNATURES, SPDX, keyword
 from billscope.llm.licenses import BASE_PHRASES, Scanner, _Intervals, base_places, normalised, scan_licenses, signature_rules
 from tests.llm.helpers import DATA, SCHEMA, planted_documents
 
@@ -17,8 +22,11 @@ def places(text):
     return sorted((k, label) for phrase, label in BASE_PHRASES.items() for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split())
 
 
+SCANNER = Scanner(signature_rules())
+
+
 def labels(text):
-    return [x[1] for x in Scanner(signature_rules()).detections(normalised(text))]
+    return [x[1] for x in SCANNER.detections(normalised(text))]
 
 
 def test_hundreds_of_rules():
@@ -35,6 +43,81 @@ def test_every_rule_needs_its_keyword():
             assert scanner.detections(f" {rule.keyword} "), rule
 
 
+SIGNED = [(kind, label, pattern) for kind, some in SIGNATURES.items() for label, pattern in some]
+
+
+def test_signatures_are_hundreds_and_each_has_a_keyword():
+    assert len(SIGNED) > 250 and len({x[2] for x in SIGNED}) == len(SIGNED)
+    assert set(SIGNATURES) | {"spdx"} == set(PRIORITY)
+    for _, _, pattern in SIGNED:
+        assert len(keyword(pattern).split()) >= 2 and normalised(keyword(pattern)) == f" {keyword(pattern)} ", pattern
+    assert keyword("with reserved font names?") == "with reserved font"
+    assert keyword("used by(?: kind)? permission") == "used by" and keyword("no rights reserved") == "no rights reserved"
+    assert keyword("by share ?alike") == "by" and keyword("a b? c") == "a"
+    assert keyword("eclipse org legal epl (?:v10|v20)") == "eclipse org legal epl"
+
+
+@pytest.mark.parametrize("kind", SIGNATURES)
+@settings(max_examples=200, deadline=None)
+@given(st.data())
+def test_every_match_of_a_signature_passes_its_keyword(kind, data):
+    """Texts drawn from the pattern itself: its keyword stands in them as whole words, and a rule at least as strong covers them."""
+    _, pattern = data.draw(st.sampled_from(SIGNATURES[kind]))
+    words = data.draw(st.from_regex(pattern.replace(r"\S+", "[a-z0-9]{1,5}"), fullmatch=True, alphabet=st.characters(max_codepoint=0x17F)))
+    assert f" {keyword(pattern)} " in f" {words} "
+    found = SCANNER.detections(f" before {words} after ")
+    assert any(priority >= PRIORITY[kind] and first <= 1 and first + n >= 1 + len(words.split()) for _, _, priority, first, n in found), words
+
+
+def test_spdx_identifiers():
+    for label, identifiers in SPDX.items():
+        for identifier in identifiers:
+            text = f"// SPDX-License-Identifier: {identifier.replace(' ', '-')}\nint main() {{}}"
+            assert labels(text) == [label], identifier
+    assert labels("SPDX-License-Identifier: GPL-2.0-or-later") == ["gpl-or-later"]
+    assert labels("an identifier mit der Zahl") == []
+
+
+#: Passages as licences and notices print them, and a label that each must get.
+PASSAGES = [
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("0bsd", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\""),
+    ("bsd", " * 1. Redistributions of source code must retain the above copyright\n *    notice"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd-3-clause", "Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software"),
+    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES"),
+    ("apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0"),
+    ("gpl-any", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY"),
+    ("lgpl-any", "You should have received a copy of the GNU Lesser General Public License along with this library"),
+    ("gfdl", "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3"),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it"),
+    ("boost", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("cc0", "To the extent possible under law, Jane Doe has waived all copyright and related or neighboring rights to this work."),
+    ("cc-by-nc-sa", "see https://creativecommons.org/licenses/by-nc-sa/4.0/"),
+    ("cc-by-4.0", "(http://creativecommons.org/licenses/by/4.0/)"),
+    ("cc-any", "Dieses Werk ist lizenziert unter einer Creative Commons Namensnennung 4.0 International Lizenz."),
+    ("reserved", "© 2019 Editorial X. Todos los derechos reservados."),
+    ("no-reproduction", "This material may not be published, broadcast, rewritten. It may not be reproduced in any form without prior written permission."),
+    ("no-training", "This text may not be used for training artificial intelligence systems."),
+    ("eula", "This End-User License Agreement is a legal agreement"),
+    ("us-government", "This article is a work of the United States Government."),
+    ("odbl", "https://opendatacommons.org/licenses/odbl/1-0/"),
+    ("ofl", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
+]
+
+
+@pytest.mark.parametrize(("label", "passage"), PASSAGES)
+def test_passages(label, passage):
+    assert label in labels(passage)
+
+
+def test_plain_prose_has_no_detection():
+    assert labels("The court granted permission to build a bridge; everyone is free to copy the plan, and the author thanked the public.") == []
+
+
 def test_the_more_specific_detection_suppresses_those_inside():
     assert labels("Licensed under the GNU General Public License, version 3.") == ["gpl-3.0"]
     assert labels("GNU General Public License") == ["gpl-any"]
