@@ -131,17 +131,22 @@ def mrr_state(
     )
 
 
-def mrr_totals(state: DataFrame) -> DataFrame:
+def mrr_totals(state: DataFrame, one_row_each: bool = False) -> DataFrame:
     """Total MRR, customers and subscriptions per month.
 
     Two distinct counts side by side would send every state row three times. Here each
     (subscription, month) marks one of its rows, on the partitioning a lazy state already has,
     and one aggregation by (month, customer) gives both counts and the sum.
+
+    `one_row_each` says that the state is known to repeat no (subscription, month), as stored
+    states are: every row is then a subscription, and nothing is shuffled or sorted by it.
     """
-    one_row = Window.partitionBy("subscription_id", "mrr_month").orderBy("customer_id")
-    first = F.col("subscription_id").isNotNull() & (F.row_number().over(one_row) == 1)
+    subscription = F.col("subscription_id").isNotNull()
+    if not one_row_each:
+        one_row = Window.partitionBy("subscription_id", "mrr_month").orderBy("customer_id")
+        subscription = subscription & (F.row_number().over(one_row) == 1)
     return (
-        state.select("mrr_month", "customer_id", "mrr_cents", flag(first).alias("subscription"))
+        state.select("mrr_month", "customer_id", "mrr_cents", flag(subscription).alias("subscription"))
         .groupBy("mrr_month", "customer_id")
         .agg(F.sum("mrr_cents").alias("mrr_cents"), F.sum("subscription").alias("subscriptions"))
         .groupBy("mrr_month")
@@ -161,8 +166,8 @@ def mrr_totals(state: DataFrame) -> DataFrame:
     )
 
 
-def mrr_rate_of_change(state: DataFrame, year: int) -> DataFrame:
-    """Month-over-month change of total MRR in `year`.
+def mrr_rate_of_change(state: DataFrame, year: int, one_row_each: bool = False) -> DataFrame:
+    """Month-over-month change of total MRR in `year`; `one_row_each` as in `mrr_totals`.
 
     The LAG runs over the monthly totals (one row per month, whatever the input size), and the
     year is cut out after it, so January still sees the December before.
@@ -170,7 +175,7 @@ def mrr_rate_of_change(state: DataFrame, year: int) -> DataFrame:
     previous = F.lag("mrr_cents").over(Window.orderBy("mrr_month"))
     change = F.col("mrr_cents") - F.col("prev_mrr_cents")
     return (
-        mrr_totals(state)
+        mrr_totals(state, one_row_each)
         .withColumn("prev_mrr_cents", previous)
         .filter(in_year(F.col("mrr_month"), year))
         .select(

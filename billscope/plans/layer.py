@@ -110,13 +110,18 @@ class Layer:
         changed = refresh.changed_keys(earlier, s.subscription_events, "subscription_id")
         return refresh.refreshed_state(known, s.subscription_events, s.subscriptions, changed, *of)
 
+    @property
+    def _state_repeats_nothing(self) -> bool:
+        """A store that refuses a state with a broken grain has only states without repeats."""
+        return "mrr_state" in getattr(self.keep, "refuses_repeats_in", ())
+
     @cached_property
     def mrr_totals(self) -> DataFrame:
-        return mrr.mrr_totals(self.mrr_state)
+        return mrr.mrr_totals(self.mrr_state, self._state_repeats_nothing)
 
     @cached_property
     def mrr_rate_of_change(self) -> DataFrame:
-        rates = mrr.mrr_rate_of_change(self.mrr_state, self.periods.year)
+        rates = mrr.mrr_rate_of_change(self.mrr_state, self.periods.year, self._state_repeats_nothing)
         return self.keep("mrr_rate_of_change", rates)
 
     @cached_property
@@ -312,6 +317,7 @@ class in_folder:  # noqa: N801: reads as a place, in_folder(root)
     """Store tables as parquet under a folder all executors share."""
 
     root: str
+    refuses_repeats_in = frozenset(COUNTED)
 
     def __call__(self, name: str, df: DataFrame) -> DataFrame:
         return replace_table(df, f"{self.root}/{name}", PARTITIONED.get(name, ()), COUNTED.get(name, ()))
@@ -333,6 +339,7 @@ class in_database:  # noqa: N801
 
     database: str
     buckets: int = 0
+    refuses_repeats_in = frozenset(COUNTED)
 
     def __call__(self, name: str, df: DataFrame) -> DataFrame:
         bucket_by = BUCKETED.get(name, ())

@@ -193,6 +193,19 @@ def test_steps_by_key_shuffle_no_bucketed_table(bucketed):
     assert "Exchange" not in plan(gaps) + plan(movements)
 
 
+@pytest.mark.parametrize("place", ["stored", "bucketed"])
+def test_totals_of_a_stored_state_sort_and_shuffle_nothing_by_subscription(place, request, spark):
+    """The store has refused repeats, so the distinct counts need one shuffle of (month, customer) and one of months."""
+    found = request.getfixturevalue(place)
+    layer = found[1] if place == "stored" else found
+    totals = plan(layer.mrr_totals)
+    assert "Window" not in totals and "Sort" not in totals and "subscription_id" not in "".join(re.findall("Exchange.*", totals))
+    assert totals.count("Exchange") == 2
+    lazy = sample_layer(spark, SMALL)
+    assert "Window" in plan(lazy.mrr_totals), "a plan may repeat rows and stays exact"
+    assert layer.mrr_totals.exceptAll(lazy.mrr_totals).count() == 0 == lazy.mrr_totals.exceptAll(layer.mrr_totals).count()
+
+
 def test_every_stored_table_declares_its_grain(stored):
     _, layer = stored
     assert set(GRAINS) == set(STORED) >= set(BUCKETED)

@@ -196,6 +196,26 @@ def test_repeated_subscription_months_are_refused(spark):
         mrr.mrr_movement_drivers(state, 2024).collect()
 
 
+STATE = "subscription_id string, customer_id string, mrr_month date, mrr_cents bigint"
+
+
+def test_totals_count_repeated_subscriptions_and_customers_once(spark):
+    jan, feb = date(2024, 1, 1), date(2024, 2, 1)
+    rows = [("s", "c", jan, 100), ("s", "c", jan, 100), ("s", "d", jan, 5), ("t", "c", jan, 7), (None, "c", jan, 1), ("u", None, jan, 2), ("s", "c", feb, 3)]
+    totals = by_key(mrr.mrr_totals(spark.createDataFrame(rows, STATE)), "mrr_month")
+    assert {m: (r["customer_count"], r["subscription_count"], r["mrr_cents"]) for m, r in totals.items()} == {jan: (2, 3, 215), feb: (1, 1, 3)}
+
+
+def test_totals_of_a_state_without_repeats_need_no_marks(spark):
+    jan, feb = date(2024, 1, 1), date(2024, 2, 1)
+    rows = [(f"s{k}", f"c{k % 7}", month, k) for k in range(40) for month in (jan, feb)]
+    rows += [(None, "c1", jan, 1), (None, "c1", jan, 1), (None, None, feb, 9), ("alone", None, feb, 2)]
+    state = spark.createDataFrame(rows, STATE)
+    marked, counted = mrr.mrr_totals(state), mrr.mrr_totals(state, one_row_each=True)
+    assert sorted(map(tuple, marked.collect())) == sorted(map(tuple, counted.collect())) and marked.schema == counted.schema
+    assert mrr.mrr_totals(state.limit(0), one_row_each=True).count() == 0
+
+
 def test_movements_add_up_to_the_change_in_total(state):
     totals = by_key(mrr.mrr_rate_of_change(state, 2024), "mrr_month")
     drivers = by_key(mrr.mrr_movement_drivers(state, 2024), "mrr_month")
