@@ -22,6 +22,15 @@ _PART = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTER}]+| ?[0-9]+| ?[{_MARK}]+
 _LONGEST = 64
 
 
+def _alphabet() -> dict[int, str]:
+    """The letter that stands for each byte in the vocabulary, read off the library's own mapping of characters that have it."""
+    whole = ByteLevel(add_prefix_space=False, use_regex=False)
+    found = {}
+    for code in (*range(0x800), *range(0x800, 0xD800, 0x400), *range(0xE000, 0x110000, 0x1000)):
+        found.update(zip(chr(code).encode(), whole.pre_tokenize_str(chr(code))[0][0], strict=True))
+    return found
+
+
 class CachedTokenizer:
     """Ids of whole texts as little-endian bytes, equal to those of the tokenizer itself.
 
@@ -47,7 +56,7 @@ class CachedTokenizer:
         self.dtype = np.dtype("<u2" if max(largest, end_id or 0) < 1 << 16 else "<u4")
         assert sys.byteorder == "little"
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.of_parts.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)  # they are cut already
+        self.alphabet = _alphabet()
         self.limit, self.known, self.before = limit, {}, {}
 
     @cached_property
@@ -62,16 +71,11 @@ class CachedTokenizer:
         return found
 
     def _parts(self, words: list[str]) -> list[bytes]:
-        """The ids of pre-tokens: many in one encoding, cut by the pre-token that each id is of."""
-        found = []
-        for at in range(0, len(words), 5000):
-            some = words[at : at + 5000]
-            encoded = self.of_parts.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ends = np.cumsum(np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(some))) * self.dtype.itemsize
-            ids, start = np.array(encoded.ids, self.dtype).tobytes(), 0
-            for end in ends.tolist():
-                found.append(ids[start:end])
-                start = end
+        """The ids of pre-tokens, by the model alone: nothing else is left to do for a word that is cut and holds no special token."""
+        tokenize, alphabet, found = self.of_parts.model.tokenize, self.alphabet, []
+        for word in words:
+            letters = (word if word.isascii() else word.encode().decode("latin-1")).translate(alphabet)
+            found.append(array(self.code, [token.id for token in tokenize(letters)]).tobytes())
         return found
 
     def _split(self, text: str) -> list[str] | None:
