@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from billscope.llm import bloom
 from billscope.llm.scratch import stored
-from billscope.llm.text import WordHashes, batches, plain_words, texts, window_hashes
+from billscope.llm.text import WordHashes, batches, pieces, plain_words, texts, window_hashes
 
 #: Every stretch of ten or more words of which one in five, its ends apart, is substituted holds one of these, as a search
 #: over all such patterns of 10 to 14 words and a sample of those up to 25 has found.
@@ -112,7 +112,7 @@ def find_contamination(
     def of_documents(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             hashes = WordHashes()
-            for batch in parts:
+            for batch in pieces(parts):
                 for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
                     words = hashes.of(plain_words(text))
                     found, places = seeds(words, masks)
@@ -149,7 +149,7 @@ def find_contamination(
 
     def verified(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for batch in parts:
+            for batch in pieces(parts):
                 for row in batch.to_pylist():
                     item = np.frombuffer(row["item_words"], np.uint64)
                     low, high = max(0, row["first"] - context), min(len(item), row["last"] + span + context)

@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from billscope.llm.components import components
 from billscope.llm.scratch import stored
-from billscope.llm.text import WordHashes, batches, lower_words, mixed, texts, window_hashes
+from billscope.llm.text import WordHashes, batches, lower_words, mixed, pieces, texts, window_hashes
 
 WORDS_OF_SHINGLE = 5
 ROWS = 5
@@ -80,7 +80,7 @@ def sketches(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     def sketched(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             hashes = WordHashes()
-            for batch in parts:
+            for batch in pieces(parts):
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
                     found = shingles(text, hashes)
                     if doc_id is None or not len(found):
@@ -122,7 +122,7 @@ def differences(members: DataFrame, documents: DataFrame, percent: int = PERCENT
     def compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             hashes, last, of_hub = WordHashes(), None, np.empty(0, np.uint64)
-            for batch in parts:
+            for batch in pieces(parts):
                 for hub, doc, own, hub_text in zip(*(batch.column(k).to_pylist() for k in ("hub", "doc", "own", "of_hub")), strict=True):
                     if last != (hub, hub_text):  # rows of a hub come one after another
                         last, of_hub = (hub, hub_text), shingles(hub_text or "", hashes)

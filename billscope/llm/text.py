@@ -1,5 +1,7 @@
 """Words, keys and hashes shared by the operators; plain functions over whole texts."""
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,12 +76,35 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
+def release_memory() -> None:
+    """Gives freed memory back to the system. Arrow and libc keep it otherwise, and a worker lives on through all later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError, TypeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def pieces(parts: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few, views of those that came: so many texts at a time become Python objects."""
+    for batch in parts:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+        release_memory()
+
+
+def _weight(x: object) -> int:
+    """Bytes in memory, about: a list's entries are objects of their own."""
+    if isinstance(x, np.ndarray):
+        return x.nbytes
+    return 40 * len(x) if isinstance(x, list) else len(x) if isinstance(x, (str, bytes)) else 8
+
+
 def batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Rows in Arrow batches of bounded bytes (strings and binaries counted) and of 10,000 rows at most."""
+    """Rows in Arrow batches of bounded bytes (strings, binaries, lists and arrays counted) and of 10,000 rows at most."""
     held, weight = [], 0
     for row in rows:
         held.append(row)
-        weight += sum(len(x) if isinstance(x, (str, bytes, list, np.ndarray)) else 8 for x in row)
+        weight += sum(map(_weight, row))
         if weight >= size or len(held) >= 10_000:
             yield _batch(held, schema)
             held, weight = [], 0

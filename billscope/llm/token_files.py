@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billscope.llm.text import batches, texts
+from billscope.llm.text import batches, pieces, release_memory, texts
 from billscope.llm.tokenizing import cached_tokenizer
 
 NO_ID = np.iinfo(np.int64).min
@@ -67,7 +67,7 @@ def write_token_files(
 
     Documents are written in ascending doc_id order, rows without doc_id first; rows that repeat a doc_id are all written,
     ordered by a hash of their text. A null text is empty: its only id is end_id. An empty table writes no part. Other
-    columns are ignored. Each task holds the ids of one batch and the lengths of its documents.
+    columns are ignored. Each task holds the ids of one portion, the lengths of its documents and the pre-tokens it has encoded.
     """
     spark = documents.sparkSession
     store, path = pa.fs.FileSystem.from_uri(folder)
@@ -79,14 +79,18 @@ def write_token_files(
         end = np.array([end_id], tokenizer.dtype).tobytes()
         part, name = TaskContext.get().partitionId(), f"part-{uuid.uuid4().hex}"
         ids, lengths, file = [], [], None
-        for batch in parts:
-            for some in _portions(texts(batch)):
-                if file is None:
-                    file = store.open_output_stream(f"{path}/{name}.bin")
-                for one in tokenizer.encode(some):
-                    file.write(one + end)
-                    lengths.append(len(one) // width + 1)
-            ids += [NO_ID if x is None else x for x in batch.column("doc_id").to_pylist()]
+        try:
+            for batch in pieces(parts, 1000):
+                for some in _portions(texts(batch)):
+                    if file is None:
+                        file = store.open_output_stream(f"{path}/{name}.bin")
+                    for one in tokenizer.encode(some):
+                        file.write(one + end)
+                        lengths.append(len(one) // width + 1)
+                ids += [NO_ID if x is None else x for x in batch.column("doc_id").to_pylist()]
+        finally:
+            tokenizer.forget()  # the worker goes on to tasks of other stages
+            release_memory()
         if file is not None:
             file.close()
             _write(folder, f"{name}.doc", np.array(ids, "<i8"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billscope.llm.scratch import stored
-from billscope.llm.text import batches, plain_words, texts
+from billscope.llm.text import batches, pieces, plain_words, release_memory, texts
 
 #: Bounds of what is fitted on: toxic examples, unlabelled documents, and features that the classifier may use.
 MAX_TOXIC = 4000
@@ -131,12 +131,16 @@ def _examples(both: DataFrame) -> DataFrame:
 
     def featured(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for batch in parts:
+            for batch in pieces(parts):
                 for doc_id, text, toxic in zip(batch.column("doc_id").to_pylist(), texts(batch), batch.column("toxic").to_pylist(), strict=True):
                     found, n_words = features(text)
                     yield doc_id, toxic, n_words, sketch(found, doc_id), found
 
-        return batches(rows(), schema)
+        try:
+            yield from batches(rows(), schema)
+        finally:
+            _cached_features.cache_clear()  # the worker goes on to tasks of other stages
+            release_memory()
 
     return both.mapInArrow(featured, "doc_id long, toxic int, n_words long, sketch long, features array<int>")
 
@@ -226,6 +230,8 @@ def with_toxicity(documents: DataFrame, model: Model | None, name: str = "score"
 
         for part in parts:
             yield pd.Series(_sigmoid(np.array([margin(text) for text in part], float)) if model else np.zeros(len(part)))
+            del part
+            release_memory()
 
     return documents.withColumn(name, score(F.col(text_column)))
 

@@ -1,0 +1,79 @@
+"""What a reused Python worker keeps from task to task, and how much a batch of lists may hold."""
+
+import subprocess
+import sys
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+
+from billscope.llm.text import batches, pieces
+from billscope.llm.tokenizing import CachedTokenizer
+
+#: Three tasks over 8,000 texts of 2,000 characters, as Spark hands them to one worker; prints the MB that are left over.
+TASKS = """
+import ctypes, gc, io, re
+import numpy as np, pyarrow as pa
+from billscope.llm import {module}
+
+def held():
+    gc.collect()
+    return sum(map(int, re.findall(r"Pss_Anon: +([0-9]+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+class Rows:
+    def mapInArrow(self, function, columns):
+        return function
+
+def task(k):
+    rng = np.random.default_rng(k)
+    words = np.array(["word%d" % x for x in rng.integers(0, 20_000, 40_000)])
+    whole = [" ".join(words[rng.integers(0, len(words), 220)]) for _ in range(8000)]
+    batch = pa.record_batch(dict(doc_id=pa.array(range(8000)), text=whole, toxic=pa.array([0] * 8000, pa.int32())))
+    sink = io.BytesIO()
+    with pa.ipc.new_stream(sink, batch.schema) as stream:
+        stream.write_batch(batch)
+    return sink.getvalue()
+
+def run(data):
+    for _ in {module}.{call}(pa.ipc.open_stream(pa.py_buffer(data))):
+        pass
+
+some = task(0)
+pa.default_memory_pool().release_unused()
+ctypes.CDLL(None).malloc_trim(0)
+before = held()
+for _ in range(3):
+    run(some)
+print(held() - before)
+"""
+
+
+@pytest.mark.parametrize(("module", "call"), [("minhash", "sketches(Rows(), 80)"), ("toxicity", "_examples(Rows())")])
+def test_little_stays_in_a_worker_after_its_tasks(module, call):
+    code = TASKS.format(module=module, call=call)
+    left = float(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=200).stdout)
+    assert left < 20, f"{left:.0f} MB"
+
+
+@pytest.mark.parametrize("make", [list, lambda x: np.array(list(x), np.int64)])
+def test_batches_of_lists_are_bounded_in_bytes(make):
+    schema = pa.schema([("of", pa.list_(pa.int64()))])
+    found = list(batches(((make(range(10_000)),) for _ in range(300)), schema))
+    assert max(x.nbytes for x in found) < 6_000_000
+    assert [x for batch in found for x in batch.column("of").to_pylist()] == [list(range(10_000))] * 300
+
+
+def test_pieces_hold_all_rows_in_order():
+    whole = [pa.record_batch({"x": list(range(n))}) for n in (0, 3, 1000, 501)]
+    found = list(pieces(iter(whole)))
+    assert [x for batch in found for x in batch.column("x").to_pylist()] == [x for batch in whole for x in batch.column("x").to_pylist()]
+    assert max(batch.num_rows for batch in found) <= 250
+
+
+def test_a_tokenizer_that_forgot_gives_the_same_ids():
+    tokenizer = CachedTokenizer(public_tokenizers.path("byte_bpe_50k.json"), 2)
+    before = tokenizer.encode(["some words, some more", "and words"])
+    tokenizer.forget()
+    assert not tokenizer.known and not tokenizer.before
+    assert tokenizer.encode(["some words, some more", "and words"]) == before
